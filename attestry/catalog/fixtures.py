@@ -168,7 +168,14 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         attachments(spark, sf_dir)
         .where("file_name is not null")
         .withColumn("body", _answer_body())
-        .select(F.col("att_id").cast("string").alias("request_id"), fenced.alias("raw"))
+        .withColumns(
+            {
+                "raw": fenced,
+                "error": F.lit(None).cast("string"),
+                "blob_path": F.col("path"),
+            }
+        )
+        .drop("body")
     )
 
 

@@ -38,23 +38,23 @@ def _routed(spark: SparkSession, d: str) -> DataFrame:
     return extract.route_files(named.withColumn("blob_path", F.col("path")))
 
 
-def _checked(spark: SparkSession, d: str) -> DataFrame:
-    """The same, with files missing from the inventory marked."""
-    named = fx.located(spark, d).where(F.col("file_name").isNotNull())
-    candidates = named.withColumn("blob_path", F.col("path"))
-    return extract.route_files(resolve.mark_missing(candidates, fx.objects(spark, d)))
+def _responses(spark: SparkSession, d: str) -> DataFrame:
+    """An answer for every named attachment, routed; every file counts as present."""
+    return extract.route_files(fx.responses(spark, d))
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return extract.extracted_documents(_routed(spark, d), fx.responses(spark, d))
+    return extract.extracted_documents(_responses(spark, d))
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
-    return extract.extraction_results(_checked(spark, d), fx.responses(spark, d))
+    """Results with the files missing from the inventory among them."""
+    marked = resolve.mark_missing(fx.responses(spark, d), fx.objects(spark, d))
+    return extract.extraction_results(extract.route_files(marked))
 
 
 def _parsed(spark: SparkSession, d: str) -> DataFrame:
-    return responses.parse_responses(fx.responses(spark, d))
+    return responses.parse_responses(_responses(spark, d))
 
 
 # ---- inventory ----
@@ -208,7 +208,8 @@ def extract_batch(spark: SparkSession, d: str) -> DataFrame:
     )
     requests = extract.build_requests(inputs.withColumn("route", _as_text_route()))
     options = extract.ExtractOptions(min_interval_s=0.0)
-    return extract.call_model(requests, fx.client_factory(), options)
+    answers = extract.call_model(requests, fx.client_factory(), options)
+    return answers.select("request_id", "raw", "error", "attempts")
 
 
 def _as_text_route():
@@ -240,7 +241,7 @@ def message_parts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def clean_response(spark: SparkSession, d: str) -> DataFrame:
-    return fx.responses(spark, d).select(
+    return _responses(spark, d).select(
         "request_id", responses.clean_response("raw").alias("cleaned")
     )
 
@@ -250,10 +251,8 @@ def parse_status(spark: SparkSession, d: str) -> DataFrame:
 
 
 def typed_fields(spark: SparkSession, d: str) -> DataFrame:
-    fields = responses.typed_answer("answer")
     rows = _parsed(spark, d).where(F.col("status") == "success")
-    typed = rows.select("request_id", *(c.alias(n) for n, c in fields.items()))
-    return typed.select(
+    return responses.with_typed_answer(rows).select(
         "request_id",
         F.col("document_classification.verified_type").alias("verified_type"),
         F.col("document_classification.confidence").alias("confidence"),
@@ -268,18 +267,10 @@ def typed_fields(spark: SparkSession, d: str) -> DataFrame:
 
 def latest_docs(spark: SparkSession, d: str) -> DataFrame:
     """Of the answers stored under one key, the last one."""
-    named = _routed(spark, d)
-    answers = _parsed(spark, d).where(F.col("status") == "success").select("request_id", "answer")
-    keyed = named.join(answers, "request_id").withColumn(
-        "json_file", F.concat(paths.doc_key("ras_id", "file_name"), F.lit(".json"))
-    )
-    return extract.latest_per_key(keyed).select(
-        "json_file",
-        "att_id",
-        "uploaded_on",
-        responses.answer_field("answer", "document_classification.verified_type").alias(
-            "verified_type"
-        ),
+    answers = _parsed(spark, d).where(F.col("status") == "success")
+    kind = responses.answer_field("answer", "document_classification.verified_type")
+    return extract.latest_per_key(extract.with_json_file(answers)).select(
+        "json_file", "att_id", "uploaded_on", kind.alias("verified_type")
     )
 
 

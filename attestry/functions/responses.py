@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from attestry.functions.text import as_column, strip
 from attestry.schemas import ANSWER
@@ -23,9 +24,16 @@ def clean_response(raw: Column | str) -> Column:
     by a plain one loses both, and an upper-case ``JSON`` tag stays.
     """
     text = strip(raw)
-    for fence in OPENING_FENCES:
-        text = F.regexp_replace(text, f"^{fence}", "")
-    return strip(F.regexp_replace(text, rf"{CLOSING_FENCE}\z", ""))
+    tagged, plain = OPENING_FENCES
+    opening = (
+        F.when(text.startswith(tagged + plain), len(tagged + plain))
+        .when(text.startswith(tagged), len(tagged))
+        .when(text.startswith(plain), len(plain))
+        .otherwise(0)
+    )
+    closed = text.endswith(CLOSING_FENCE) & (F.length(text) >= opening + len(CLOSING_FENCE))
+    closing = F.when(closed, len(CLOSING_FENCE)).otherwise(0)
+    return strip(F.substring(text, opening + 1, F.length(text) - opening - closing))
 
 
 def sealed_variant(text: Column | str) -> Column:
@@ -99,31 +107,51 @@ def is_quotation(answer: Column | str) -> Column:
     return F.coalesce(answer_field(answer, "is_quotation", "boolean"), F.lit(False))
 
 
+def numeric_text(text: Column | str) -> Column:
+    """Plain numeric text as a double; anything else is null."""
+    text = strip(text)
+    return F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double"))
+
+
 def price_field(answer: Column | str, path: str) -> Column:
     """A price given as a number or as plain numeric text; anything else is null."""
-    numeric = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-    text = strip(answer_field(answer, path))
-    return F.when(text.rlike(numeric), text.try_cast("double"))
+    return numeric_text(answer_field(answer, path))
 
 
 def typed_answer(answer: Column | str) -> dict[str, Column]:
-    """All fields of an answer by the fixed schema, one column per top-level field."""
-
-    def value(path: str, kind) -> Column:
-        if path in ("quotation_data.quoted_price", "quotation_data.unit_price"):
-            return price_field(answer, path)
-        return answer_field(answer, path, kind.simpleString())
-
-    columns = {}
-    for member in ANSWER.fields:
-        if member.dataType.typeName() == "struct":
-            columns[member.name] = F.struct(
-                *(
-                    value(f"{member.name}.{sub.name}", sub.dataType).alias(sub.name)
-                    for sub in member.dataType.fields
-                )
-            )
-        else:
-            columns[member.name] = value(member.name, member.dataType)
+    """All fields of an answer by the fixed schema, one column per top-level field.
+
+    Objects are cast as a whole, which walks the variant once. A member of the
+    wrong type becomes null and leaves the others alone. Prices are read as text
+    first, since a price may come as numeric text.
+    """
+    columns = {
+        member.name: answer_field(answer, member.name, _lenient(member.dataType).simpleString())
+        for member in ANSWER.fields
+    }
     columns["is_quotation"] = is_quotation(answer)
     return columns
+
+
+def with_typed_answer(rows: DataFrame, answer: str = "answer") -> DataFrame:
+    """Add the typed fields of ``answer`` as columns."""
+    typed = rows.withColumns(typed_answer(answer))
+    prices = {
+        price: numeric_text(f"quotation_data.{price}") for price in ("quoted_price", "unit_price")
+    }
+    quotation = F.col("quotation_data")
+    for price, value in prices.items():
+        quotation = quotation.withField(price, value)
+    return typed.withColumn("quotation_data", quotation)
+
+
+def _lenient(kind: T.DataType) -> T.DataType:
+    """The type with its doubles read as text."""
+    if not isinstance(kind, T.StructType):
+        return kind
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType() if f.dataType == T.DoubleType() else f.dataType)
+            for f in kind.fields
+        ]
+    )

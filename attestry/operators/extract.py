@@ -20,11 +20,15 @@ from attestry.functions.prompts import (
     render_prompt,
     with_document_text,
 )
-from attestry.functions.responses import NO_RESPONSE, answer_field, parse_responses, typed_answer
+from attestry.functions.responses import (
+    answer_field,
+    parse_responses,
+    price_field,
+    with_typed_answer,
+)
 from attestry.functions.responses import is_quotation as is_quotation_of
-from attestry.functions.responses import price_field
 from attestry.functions.routing import media_type, route, unsupported_reason
-from attestry.schemas import DOC, EXTRACTION_RESULT, RAW_RESPONSE
+from attestry.schemas import DOC, EXTRACTION_RESULT, REQUEST_KEYS, RESPONSE
 
 # How the model is called, and the least time between two calls.
 TEMPERATURE = 0.1
@@ -85,7 +89,7 @@ def build_requests(inputs: DataFrame, template: PromptTemplate = DEFAULT_TEMPLAT
     images, or the image itself) and ``text`` (workbook text). Rows are filtered
     first, so no message is built for a file that is not sent.
     """
-    sendable = inputs.where(F.col("found") & (F.col("route") != "unsupported"))
+    sendable = inputs.where(is_sent())
     prompt = render_prompt(template, "file_name", "att_type")
     excel = F.col("route") == "excel"
     shown = F.when(excel, with_document_text(template, prompt, F.coalesce("text", F.lit(""))))
@@ -95,7 +99,7 @@ def build_requests(inputs: DataFrame, template: PromptTemplate = DEFAULT_TEMPLAT
         .withColumn("media_type", media)
         .withColumn("pages", F.when(~excel, F.col("pages")))
         .select(
-            "request_id",
+            *REQUEST_KEYS.names,
             F.lit(template.version).alias("prompt_version"),
             F.lit(template.system).alias("system"),
             message_parts("prompt", "media_type", "pages").alias("parts"),
@@ -113,44 +117,46 @@ def call_model(
     """
     temperature, max_tokens = options.temperature, options.max_tokens
     interval, attempts_allowed = options.min_interval_s, max(1, options.max_attempts)
-    fields = RAW_RESPONSE.names
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [(n, pa.int32() if n == "attempts" else pa.string()) for n in fields]
-        )
         client, due = None, 0.0
+
+        def ask(system, parts):
+            nonlocal client, due
+            raw = error = None
+            attempts = 0
+            while raw is None and attempts < attempts_allowed:
+                attempts += 1
+                time.sleep(max(0.0, due - time.monotonic()))
+                try:
+                    client = client_factory() if client is None else client
+                    raw, error = client.complete(system, parts, temperature, max_tokens), None
+                except Exception as failure:  # noqa: BLE001 - kept as the outcome of the row
+                    error = str(failure) or type(failure).__name__
+                due = time.monotonic() + interval
+            return raw, error, attempts
+
         for batch in batches:
-            answers = []
-            for row in batch.to_pylist():
-                raw = error = None
-                attempts = 0
-                while raw is None and attempts < attempts_allowed:
-                    attempts += 1
-                    time.sleep(max(0.0, due - time.monotonic()))
-                    try:
-                        client = client_factory() if client is None else client
-                        raw = client.complete(
-                            row["system"], row["parts"], temperature, max_tokens
-                        )
-                        error = None
-                    except Exception as failure:  # noqa: BLE001 - kept as the row's outcome
-                        error = str(failure) or type(failure).__name__
-                    due = time.monotonic() + interval
-                answers.append(
-                    {
-                        "request_id": row["request_id"],
-                        "raw": raw,
-                        "error": error,
-                        "attempts": attempts,
-                    }
-                )
-            yield pa.RecordBatch.from_pylist(answers, schema=schema)
-
-    sent = requests.select("request_id", "system", "parts")
+            carried = batch.drop_columns(["system", "parts"])
+            answers = [
+                ask(system.as_py(), parts.as_py())
+                for system, parts in zip(batch.column("system"), batch.column("parts"))
+            ]
+            raws, errors, attempts = zip(*answers) if answers else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *carried.columns,
+                    pa.array(raws, pa.string()),
+                    pa.array(errors, pa.string()),
+                    pa.array(attempts, pa.int32()),
+                ],
+                [*carried.schema.names, "raw", "error", "attempts"],
+            )
+
+    sent = requests.select(*REQUEST_KEYS.names, "prompt_version", "system", "parts")
     if options.partitions:
         sent = sent.repartition(options.partitions, "request_id")
-    return sent.mapInArrow(send, RAW_RESPONSE)
+    return sent.mapInArrow(send, RESPONSE)
 
 
 def store_responses(
@@ -165,78 +171,76 @@ def store_responses(
     before anything is derived from them. A second run sends only what is missing.
     """
     spark = requests.sparkSession
-    spark.createDataFrame([], RAW_RESPONSE).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], RESPONSE).write.mode("ignore").parquet(path)
     for wave in range(options.waves):
-        stored = spark.read.schema(RAW_RESPONSE).parquet(path).select("request_id")
+        stored = spark.read.schema(RESPONSE).parquet(path).select("request_id")
         pending = requests
         if options.waves > 1:
             slot = F.pmod(F.xxhash64("request_id"), F.lit(options.waves))
             pending = requests.where(slot == wave)
         pending = pending.join(stored, "request_id", "left_anti")
         call_model(pending, client_factory, options).write.mode("append").parquet(path)
-    return spark.read.schema(RAW_RESPONSE).parquet(path)
+    return spark.read.schema(RESPONSE).parquet(path)
+
+
+def is_sent() -> Column:
+    return F.col("found") & (F.col("route") != "unsupported")
+
 
+def with_skipped(responses: DataFrame, routed: DataFrame) -> DataFrame:
+    """Responses together with the routed rows that were never sent."""
+    skipped = routed.where(~is_sent()).select(*REQUEST_KEYS.names)
+    return responses.unionByName(skipped, allowMissingColumns=True)
 
-def extraction_results(routed: DataFrame, responses: DataFrame) -> DataFrame:
+
+def extraction_results(outcomes: DataFrame) -> DataFrame:
     """One row per manifest row: what happened to it, and the leading fields.
 
-    Fields that do not belong to a status are null, so rows of all statuses
-    share one schema.
+    ``outcomes`` are routed rows with ``raw`` and ``error``. Fields that do not
+    belong to a status are null, so rows of all statuses share one schema.
     """
-    parsed = parse_responses(responses, error="error" if "error" in responses.columns else None)
-    parsed = parsed.select(
-        "request_id", F.col("status").alias("_parsed"), F.col("error").alias("_error"), "answer"
+    parsed = (
+        outcomes.withColumn("raw", F.when(is_sent(), F.col("raw")))
+        .transform(parse_responses, error="error")
+        .withColumnsRenamed({"status": "_parsed", "error": "_error"})
     )
-    sent = F.col("found") & (F.col("route") != "unsupported")
     status = (
         F.when(~F.col("found"), "not_found")
         .when(F.col("route") == "unsupported", "unsupported")
-        .otherwise(F.coalesce("_parsed", F.lit("error")))
-    )
-    error = F.when(
-        F.col("status") == "error", F.coalesce("_error", F.lit(NO_RESPONSE))
+        .otherwise(F.col("_parsed"))
     )
     ok = F.col("status") == "success"
     quoted = ok & is_quotation_of("answer")
+    label = "document_classification"
+    offer = "quotation_data"
     fields = {
         "ext": F.when(F.col("status").isin("success", "unsupported"), F.col("ext")),
-        "verified_type": answer_field("answer", "document_classification.verified_type"),
+        "verified_type": answer_field("answer", f"{label}.verified_type"),
         "att_type_from_db": F.when(ok, F.col("att_type")),
-        "att_type_matches": answer_field(
-            "answer", "document_classification.att_type_matches_content", "boolean"
-        ),
+        "att_type_matches": answer_field("answer", f"{label}.att_type_matches_content", "boolean"),
         "is_quotation": F.when(ok, is_quotation_of("answer")),
-        "canonical_item_name": F.when(
-            quoted, answer_field("answer", "quotation_data.canonical_item_name")
-        ),
-        "quoted_price": F.when(quoted, price_field("answer", "quotation_data.quoted_price")),
-        "supplier_name": F.when(quoted, answer_field("answer", "quotation_data.supplier_name")),
-        "error": error,
+        "canonical_item_name": F.when(quoted, answer_field("answer", f"{offer}.canonical_item_name")),
+        "quoted_price": F.when(quoted, price_field("answer", f"{offer}.quoted_price")),
+        "supplier_name": F.when(quoted, answer_field("answer", f"{offer}.supplier_name")),
+        "error": F.when(F.col("status") == "error", F.col("_error")),
     }
-    joined = routed.join(parsed, "request_id", "left").withColumn(
-        "answer", F.when(sent, F.col("answer"))
-    )
-    return joined.withColumn("status", status).withColumns(fields).select(*EXTRACTION_RESULT.names)
+    return parsed.withColumn("status", status).withColumns(fields).select(*EXTRACTION_RESULT.names)
 
 
 def extracted_documents(
-    routed: DataFrame, responses: DataFrame, extracted_at: Column | datetime | None = None
+    responses: DataFrame, extracted_at: Column | datetime | None = None
 ) -> DataFrame:
     """Typed documents of all successful answers, one per stored key.
 
     Files of one case with the same safe name are stored under one key; the one
-    handled last stays. The row limit of that choice is applied before the
-    shuffle, so any number of copies sends one row per map task.
+    handled last stays.
     """
     if extracted_at is None:
         extracted_at = F.current_timestamp()
     elif not isinstance(extracted_at, Column):
         extracted_at = F.lit(extracted_at)
-    parsed = parse_responses(responses, error="error" if "error" in responses.columns else None)
-    answers = parsed.where(F.col("answer").isNotNull()).select("request_id", "answer")
-    sent = routed.where(F.col("found") & (F.col("route") != "unsupported"))
-    keyed = sent.join(answers, "request_id").withColumn(
-        "json_file", F.concat(doc_key("ras_id", "file_name"), F.lit(".json"))
+    answers = parse_responses(responses.where(is_sent()), error="error").where(
+        F.col("status") == "success"
     )
     meta = F.struct(
         F.col("ras_id").cast("string").alias("ras_id"),
@@ -247,15 +251,24 @@ def extracted_documents(
         extracted_at.cast("timestamp").alias("extraction_timestamp"),
     )
     return (
-        latest_per_key(keyed)
-        .withColumns(typed_answer("answer"))
+        with_typed_answer(latest_per_key(with_json_file(answers)))
         .withColumn("meta", meta)
         .select(*DOC.names)
     )
 
 
+def with_json_file(rows: DataFrame) -> DataFrame:
+    """Add the key a document is stored under."""
+    key = F.concat(doc_key("ras_id", "file_name"), F.lit(".json"))
+    return rows.withColumn("json_file", key)
+
+
 def latest_per_key(keyed: DataFrame) -> DataFrame:
-    """Of the rows that share ``json_file``, the one handled last."""
+    """Of the rows that share ``json_file``, the one handled last.
+
+    Spark keeps only the first row of each key on every map task before the
+    shuffle (a window group limit), so any number of copies sends one row each.
+    """
     last_first = [F.desc(c) for c in ("uploaded_on", "att_id", "blob_path")]
     copies = Window.partitionBy("json_file").orderBy(*last_first)
     return (

@@ -68,9 +68,9 @@ def extract_documents(
     routed = extract.route_files(inputs)
     requests = extract.build_requests(routed, options.template)
     responses = extract.store_responses(requests, responses_path, client_factory, options)
-    narrow = routed.drop("pages", "text", "content")
-    documents = extract.extracted_documents(narrow, responses, extracted_at)
-    return documents, extract.extraction_results(narrow, responses)
+    outcomes = extract.with_skipped(responses, routed)
+    documents = extract.extracted_documents(responses, extracted_at)
+    return documents, extract.extraction_results(outcomes)
 
 
 def validate_documents(docs: DataFrame, items: DataFrame) -> dict[str, DataFrame]:

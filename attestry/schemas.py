@@ -89,9 +89,23 @@ SHEET_ROW = _struct(
     ("row_no", T.IntegerType()),
     ("row_text", T.StringType()),
 )
-RAW_RESPONSE = _struct(
-    ("request_id raw error", T.StringType()),
-    ("attempts", T.IntegerType()),
+# A manifest row on its way through the model, and what came back. The manifest
+# columns travel along, so nothing has to be joined to a response later.
+REQUEST_KEYS = _struct(
+    ("request_id", T.StringType()),
+    ("ras_id", T.LongType()),
+    ("file_name ext route att_type", T.StringType()),
+    ("found", T.BooleanType()),
+    ("supplier_id", T.LongType()),
+    ("blob_path", T.StringType()),
+    ("att_id", T.LongType()),
+    ("uploaded_on", T.TimestampNTZType()),
+)
+RESPONSE = T.StructType(
+    [
+        *REQUEST_KEYS.fields,
+        *_struct(("prompt_version raw error", T.StringType()), ("attempts", T.IntegerType())).fields,
+    ]
 )
 
 DOCUMENT_CLASSIFICATION = _struct(
