@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from attestry.functions.text import as_column, strip, without_prefix
+from attestry.functions.text import as_column, strip
 
 # How names carry a case id, and the label of a missing extension.
 CASE_FOLDER = r"^R_(\d+)_\d{4}/"
@@ -47,7 +47,7 @@ def normalise_location(location: Column | str, container: str) -> Column:
     container name in front, or with any mix of these.
     """
     stripped = F.nullif(strip(location), F.lit(""))
-    return without_prefix(without_prefix(stripped, "/"), f"{container}/")
+    return F.regexp_replace(stripped, rf"^/?(?:\Q{container}/\E)?", "")
 
 
 def safe_name(file_name: Column | str) -> Column:

@@ -84,8 +84,10 @@ def parse_responses(responses: DataFrame, raw: str = "raw", error: str | None =
         .when(F.col("_valid") & ~is_object, NOT_AN_OBJECT)
     )
     return (
-        responses.withColumn("_text", F.explode(F.array(clean_response(raw))))
-        .withColumn("_sealed", F.explode(F.array(sealed_variant(text))))
+        responses.withColumn("_text", clean_response(raw))
+        .withColumn("_text", F.explode(F.array("_text")))
+        .withColumn("_sealed", sealed_variant(text))
+        .withColumn("_sealed", F.explode(F.array("_sealed")))
         .withColumn("_valid", seal_holds("_sealed", text))
         .withColumns({"status": outcome, "error": reason})
         .withColumn(

@@ -22,12 +22,5 @@ def strip(text: Column | str) -> Column:
     return F.btrim(as_column(text), F.lit(WHITESPACE))
 
 
-def without_prefix(text: Column, prefix: str) -> Column:
-    """Drop ``prefix`` once if the text starts with it."""
-    return F.when(
-        text.startswith(prefix), F.substring(text, len(prefix) + 1, 2**31 - 1)
-    ).otherwise(text)
-
-
 def shorten(text: Column | str, length: int) -> Column:
     return F.substring(as_column(text), 1, length)
