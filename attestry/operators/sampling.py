@@ -16,6 +16,10 @@ SAMPLE_SIZE = 5
 NULL_LABEL = "NULL"
 
 
+def _candidate_order() -> list[Column]:
+    return [F.desc("num_suppliers"), F.desc("num_attachments"), F.asc("ras_id")]
+
+
 def select_cases(
     attachments: DataFrame,
     as_of: datetime | Column,
@@ -27,37 +31,42 @@ def select_cases(
 ) -> DataFrame:
     """Recent cases with several files and suppliers, most suppliers first.
 
-    The first aggregation leaves one row per case, supplier and label, which
-    splits a case of any size over many tasks. The second one then needs no
-    pass per distinct count: suppliers and labels are counted on those rows.
+    Counts come first, over all cases; the list of labels is put together only
+    for the few cases that are kept. A list in the first aggregation would take
+    it off the hash path and sort every group.
     """
     upper = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
     since = upper - F.expr(f"INTERVAL {int(months)} MONTH")
     recent = attachments.where(F.col("uploaded_on") >= since)
-    cases = recent.groupBy("ras_id").agg(
+    counts = recent.groupBy("ras_id").agg(
         F.count("*").alias("num_attachments"),
         F.count_distinct("supplier_id").alias("num_suppliers"),
         F.count_distinct("att_type").alias("num_doc_types"),
-        F.array_join(
-            F.array_sort(F.collect_set(F.coalesce("att_type", F.lit(NULL_LABEL)))), ", "
-        ).alias("doc_types"),
         F.max("uploaded_on").alias("latest_upload"),
     )
-    return (
-        cases.where(
+    kept = (
+        counts.where(
             (F.col("num_attachments") >= min_files)
             & (F.col("num_suppliers") >= min_suppliers)
             & (F.col("num_doc_types") >= min_doc_types)
         )
-        .orderBy(F.desc("num_suppliers"), F.desc("num_attachments"), "ras_id")
+        .orderBy(*_candidate_order())
         .limit(top)
     )
+    labels = (
+        attachments_of_cases(recent, kept)
+        .groupBy("ras_id", F.coalesce("att_type", F.lit(NULL_LABEL)).alias("_label"))
+        .agg(F.count("*"))
+        .groupBy("ras_id")
+        .agg(F.array_join(F.array_sort(F.collect_list("_label")), ", ").alias("doc_types"))
+    )
+    columns = "ras_id num_attachments num_suppliers num_doc_types doc_types latest_upload".split()
+    return kept.join(labels, "ras_id").select(*columns)
 
 
 def pick_sample(candidates: DataFrame, size: int = SAMPLE_SIZE) -> DataFrame:
     """The first candidates, in the order of the ranking."""
-    ranking = [F.desc("num_suppliers"), F.desc("num_attachments"), F.asc("ras_id")]
-    return candidates.orderBy(*ranking).limit(size)
+    return candidates.orderBy(*_candidate_order()).limit(size)
 
 
 def items_of_cases(items: DataFrame, cases: DataFrame) -> DataFrame:
