@@ -196,27 +196,28 @@ def sheet_text(spark: SparkSession, d: str) -> DataFrame:
     return sheets.sheet_text(rows)
 
 
+def extract_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests for every routed file, all with text: the stand-in client reads no pages."""
+    named = fx.facts(spark, d).where(F.col("file_name").isNotNull())
+    routed = extract.route_files(named.withColumn("blob_path", F.col("path")))
+    as_text = F.when(F.col("route") != "unsupported", "excel").otherwise(F.col("route"))
+    inputs = routed.withColumns(
+        {
+            "route": as_text,
+            "text": F.col("facts"),
+            "pages": F.lit(None).cast("array<binary>"),
+        }
+    )
+    return extract.build_requests(inputs)
+
+
 def extract_batch(spark: SparkSession, d: str) -> DataFrame:
     """Every routed file through the model call, answered by the stand-in client."""
-    sendable = extract.route_files(
-        fx.facts(spark, d)
-        .where(F.col("file_name").isNotNull())
-        .withColumn("blob_path", F.col("path"))
-    )
-    inputs = sendable.withColumn("text", F.col("facts")).withColumn(
-        "pages", F.lit(None).cast("array<binary>")
-    )
-    requests = extract.build_requests(inputs.withColumn("route", _as_text_route()))
     options = extract.ExtractOptions(min_interval_s=0.0)
-    answers = extract.call_model(requests, fx.client_factory(), options)
+    answers = extract.call_model(extract_requests(spark, d), fx.client_factory(), options)
     return answers.select("request_id", "raw", "error", "attempts")
 
 
-def _as_text_route():
-    """The stand-in reads text only: what is routed at all goes as workbook text."""
-    return F.when(F.col("route") != "unsupported", "excel").otherwise(F.col("route"))
-
-
 def message_parts(spark: SparkSession, d: str) -> DataFrame:
     """Message parts of image and PDF files; the name stands in for page bytes."""
     routed = _routed(spark, d).where(F.col("route").isin("pdf", "image"))

@@ -32,8 +32,8 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
 def list_objects(spark: SparkSession, root: str, prefix: str | None = None) -> DataFrame:
     """List objects below a URI. Only path and length are read, never the content.
 
-    For containers of many millions of objects use an inventory export: listing
-    a store is bound by its listing calls.
+    Meant for small containers: Spark lists files through the driver, and its
+    file sources leave out empty files. Use an inventory export for the rest.
     """
     uri = _full_uri(root)
     listed = (
