@@ -14,6 +14,7 @@ from attestry.functions.checks import (
     price_in_range,
     supplier_match,
 )
+from attestry.operators.ranges import pairs_in_range
 
 EXAMPLES = 3
 
@@ -129,30 +130,36 @@ def supplier_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
-def _count_pairs(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.col("pairs"))), F.lit(0))
-
-
 def price_summary(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row: prices in range and checked, suppliers matched and checked."""
-    ours = _weighted(_quotations(docs), "ras_id", "extracted_price", weight="_docs")
-    stored = _weighted(
-        _items(items, original="original_inr"), "ras_id", "original", weight="_items"
+    """One row: prices in range and checked, suppliers matched and checked.
+
+    No pair of rows is built. Prices checked are the product of two counts per
+    case, prices in range are counted by ``pairs_in_range``, and suppliers by
+    their distinct names.
+    """
+    ours = _quotations(docs)
+    stored = _items(items, original="original_inr")
+    hits = pairs_in_range(
+        _weighted(ours, "ras_id", "extracted_price", weight="docs"),
+        _weighted(stored, "ras_id", "original", weight="items"),
     )
-    prices = ours.join(stored, "ras_id").select(
-        price_in_range("extracted_price", "original").alias("ok"),
-        (F.col("_docs") * F.col("_items")).alias("pairs"),
-        F.lit("price").alias("check"),
+    checked = (
+        _weighted(ours.where(F.col("extracted_price") != 0), "ras_id", weight="docs")
+        .join(_weighted(stored.where(F.col("original") > 0), "ras_id", weight="items"), "ras_id")
+        .agg(F.sum(F.col("docs") * F.col("items")).alias("price_checked"))
+    )
+    suppliers = supplier_pairs(docs, items).agg(
+        F.sum(F.when(F.col("supplier_match"), F.col("pairs"))).alias("supplier_hits"),
+        F.sum(F.when(F.col("supplier_match").isNotNull(), F.col("pairs"))).alias(
+            "supplier_checked"
+        ),
     )
-    suppliers = supplier_pairs(docs, items).select(
-        F.col("supplier_match").alias("ok"), "pairs", F.lit("supplier").alias("check")
+    parts = (
+        hits.withColumnRenamed("hits", "price_hits")
+        .unionByName(checked, allowMissingColumns=True)
+        .unionByName(suppliers, allowMissingColumns=True)
     )
-    totals = {
-        f"{check}_{name}": _count_pairs((F.col("check") == check) & condition)
-        for check in ("price", "supplier")
-        for name, condition in (("hits", F.col("ok")), ("checked", F.col("ok").isNotNull()))
-    }
-    return prices.unionByName(suppliers).agg(*(c.alias(n) for n, c in totals.items()))
+    return parts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns))
 
 
 def _our_names(docs: DataFrame) -> DataFrame:
