@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 from attestry.functions.paths import doc_key, extension
 from attestry.functions.prompts import (
     DEFAULT_TEMPLATE,
+    MAX_PAGES,
+    MAX_TEXT_CHARS,
     PromptTemplate,
     message_parts,
     render_prompt,
@@ -56,6 +58,8 @@ class ExtractOptions:
     max_tokens: int = MAX_TOKENS
     min_interval_s: float = MIN_INTERVAL_S
     max_attempts: int = 1
+    max_pages: int = MAX_PAGES
+    max_text_chars: int = MAX_TEXT_CHARS
     partitions: int | None = None
     waves: int = 1
 
@@ -82,7 +86,7 @@ def route_files(manifest: DataFrame) -> DataFrame:
     return routed if "found" in manifest.columns else routed.withColumn("found", F.lit(True))
 
 
-def build_requests(inputs: DataFrame, template: PromptTemplate = DEFAULT_TEMPLATE) -> DataFrame:
+def build_requests(inputs: DataFrame, options: ExtractOptions = ExtractOptions()) -> DataFrame:
     """One request per file that exists and can be read.
 
     ``inputs`` are routed manifest rows with ``pages`` (array<binary>: page
@@ -90,9 +94,11 @@ def build_requests(inputs: DataFrame, template: PromptTemplate = DEFAULT_TEMPLAT
     first, so no message is built for a file that is not sent.
     """
     sendable = inputs.where(is_sent())
+    template = options.template
     prompt = render_prompt(template, "file_name", "att_type")
     excel = F.col("route") == "excel"
-    shown = F.when(excel, with_document_text(template, prompt, F.coalesce("text", F.lit(""))))
+    text = F.coalesce("text", F.lit(""))
+    shown = F.when(excel, with_document_text(template, prompt, text, options.max_text_chars))
     media = F.when(F.col("route") == "image", media_type("ext")).otherwise("image/png")
     return (
         sendable.withColumn("prompt", shown.otherwise(prompt))
@@ -102,7 +108,7 @@ def build_requests(inputs: DataFrame, template: PromptTemplate = DEFAULT_TEMPLAT
             *REQUEST_KEYS.names,
             F.lit(template.version).alias("prompt_version"),
             F.lit(template.system).alias("system"),
-            message_parts("prompt", "media_type", "pages").alias("parts"),
+            message_parts("prompt", "media_type", "pages", options.max_pages).alias("parts"),
         )
     )
 

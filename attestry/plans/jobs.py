@@ -66,7 +66,7 @@ def extract_documents(
     at ``responses_path`` and derives both tables from there.
     """
     routed = extract.route_files(inputs)
-    requests = extract.build_requests(routed, options.template)
+    requests = extract.build_requests(routed, options)
     responses = extract.store_responses(requests, responses_path, client_factory, options)
     outcomes = extract.with_skipped(responses, routed)
     documents = extract.extracted_documents(responses, extracted_at)
