@@ -222,12 +222,13 @@ def stand_in_client():
             fits = supplier % 4 != 0 and label != ""
             match = "null" if supplier % 7 == 0 else str(fits).lower()
             quotation = part % 2 == 0
+            offer = self.offer(rn, part, supplier, price) if quotation else "null"
             return (
                 f'{{"document_classification": {{"verified_type": "{kind}",'
                 f' "confidence": "{("high", "medium", "low")[supplier % 3]}",'
                 f' "att_type_matches_content": {match}}},'
                 f' "is_quotation": {str(quotation).lower()},'
-                f' "quotation_data": {self.offer(rn, part, supplier, price) if quotation else "null"}}}'
+                f' "quotation_data": {offer}}}'
             )
 
         def offer(self, rn, part, supplier, price):

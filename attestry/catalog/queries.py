@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attestry.catalog import fixtures as fx
-from attestry.functions import amounts, checks, paths, prompts, responses, routing
+from attestry.functions import amounts, checks, prompts, responses, routing
 from attestry.operators import extract, inventory, resolve, sampling, sheets, validate
 from attestry.plans import jobs
 from attestry.session import configure

@@ -10,7 +10,6 @@ from datetime import datetime
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from attestry.functions.paths import doc_key, extension
 from attestry.functions.prompts import (
@@ -225,7 +224,9 @@ def extraction_results(outcomes: DataFrame) -> DataFrame:
         "att_type_from_db": F.when(ok, F.col("att_type")),
         "att_type_matches": answer_field("answer", f"{label}.att_type_matches_content", "boolean"),
         "is_quotation": F.when(ok, is_quotation_of("answer")),
-        "canonical_item_name": F.when(quoted, answer_field("answer", f"{offer}.canonical_item_name")),
+        "canonical_item_name": F.when(
+            quoted, answer_field("answer", f"{offer}.canonical_item_name")
+        ),
         "quoted_price": F.when(quoted, price_field("answer", f"{offer}.quoted_price")),
         "supplier_name": F.when(quoted, answer_field("answer", f"{offer}.supplier_name")),
         "error": F.when(F.col("status") == "error", F.col("_error")),

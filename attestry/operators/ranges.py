@@ -70,7 +70,11 @@ def _sure_pairs(ours: DataFrame, stored: DataFrame, first: Column, last: Column)
         .orderBy("at", "rank")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = Window.partitionBy("ras_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        Window.partitionBy("ras_id")
+        .orderBy("slice")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     slices = (
         events.withColumn("running", F.sum("items").over(inside))
         .groupBy("ras_id", "slice")

@@ -104,7 +104,10 @@ REQUEST_KEYS = _struct(
 RESPONSE = T.StructType(
     [
         *REQUEST_KEYS.fields,
-        *_struct(("prompt_version raw error", T.StringType()), ("attempts", T.IntegerType())).fields,
+        *_struct(
+            ("prompt_version raw error", T.StringType()),
+            ("attempts", T.IntegerType()),
+        ).fields,
     ]
 )
 
@@ -119,7 +122,8 @@ QUOTATION_DATA = _struct(
     ("quoted_price", T.DoubleType()),
     ("currency", T.StringType()),
     ("unit_price", T.DoubleType()),
-    ("quantity payment_terms delivery_terms warranty validity quotation_date quotation_reference", T.StringType()),
+    ("quantity payment_terms delivery_terms warranty validity", T.StringType()),
+    ("quotation_date quotation_reference", T.StringType()),
 )
 ADDITIONAL_ITEMS = T.ArrayType(_struct(
     ("item_name price specs", T.StringType()),

@@ -150,3 +150,21 @@ def test_route_of_object_names(spark):
     frame = spark.createDataFrame([("file:/a/b/c",), ("s3://x/y",)], "p string")
     names = [r[0] for r in frame.select(objects.object_name(F.col("p"), "file:/a")).collect()]
     assert names == ["b/c", "s3://x/y"]
+
+
+def test_contents_tables(spark):
+    from attestry.operators.contents import image_contents, page_contents, workbook_contents
+
+    pages = spark.createDataFrame(
+        [("a.pdf", n, bytearray(b"%d" % n)) for n in range(9, 0, -1)] + [("b.pdf", 4, bytearray(b"x"))],
+        "blob_path string, page_no int, content binary",
+    )
+    kept = {r["blob_path"]: [bytes(p) for p in r["pages"]] for r in page_contents(pages).collect()}
+    assert kept == {"a.pdf": [b"1", b"2", b"3", b"4", b"5"], "b.pdf": [b"x"]}
+    rows = spark.createDataFrame(
+        [("w.xlsx", 1, "S", 1, "cell")], "file string, sheet_no int, sheet string, row_no int, row_text string"
+    )
+    images = spark.createDataFrame([("i.png", bytearray(b"i"))], "name string, content binary")
+    together = page_contents(pages).unionByName(workbook_contents(rows)).unionByName(image_contents(images))
+    assert together.count() == 4
+    assert workbook_contents(rows).first()["text"] == "=== Sheet: S ===\n\ncell"

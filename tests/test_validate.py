@@ -4,7 +4,6 @@ import itertools
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from attestry import validate_documents
 from attestry.operators import validate
