@@ -8,9 +8,11 @@ import compare
 import pytest
 
 import __spark_entry__ as entry_module
+from attestry.catalog import oracle
+from attestry.catalog import queries as catalog
 
-QUERIES = entry_module.queries()
-SQL = entry_module.oracle_sql()
+QUERIES = catalog.queries()
+SQL = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
