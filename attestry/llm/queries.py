@@ -146,7 +146,7 @@ with given as (
       '\[(/?INST\])', '\\o\1', 'g'),
       '<(<ROLE |</ROLE>>|</?SYS>>|/?s>)', '\\l\1', 'g'),
       '>(>)', '\\g\1', 'g') as escaped,
-    case role when 'user' then 13 when 'assistant' then 7 when 'system' then 16 end as marks
+    case role when 'user' then 13 when 'assistant' then 7 when 'system' then 15 end as marks
   from given
 ), level as (
   select *, bool_or(odd) over (partition by conv_id) as escape from marked
