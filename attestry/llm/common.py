@@ -92,3 +92,51 @@ def worker_memory(name: str, build):
             holder.kept.clear()
         holder.kept[name] = build()
     return holder.kept[name]
+
+
+def whole_groups(batches):
+    """Batches cut so that rows of one first column, which must be sorted, stay together."""
+    import numpy as np
+    import pyarrow as pa
+
+    rest = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if rest is not None and rest.num_rows:
+            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+        keys = batch.column(0).to_numpy()
+        other = np.flatnonzero(keys != keys[-1])
+        cut = int(other[-1]) + 1 if len(other) else 0
+        if cut:
+            yield batch.slice(0, cut)
+        rest = batch.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
+def runs(keys):
+    """Start and end of each run of equal keys."""
+    import numpy as np
+
+    starts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
+    return zip(starts[:-1], starts[1:])
+
+
+def in_block_pairs(rows: DataFrame, group: str, item: str, size: int) -> DataFrame:
+    """``rows`` dealt so that any two of a group meet in one block pair.
+
+    A group is cut into blocks of about ``size`` by a hash of ``item``. Each row goes
+    to the pairs of its block with every block of the group, with ``pair`` (the name
+    of the pair) and ``side``: 0 or 1 in a pair of different blocks, 2 where a block
+    meets itself.
+    """
+    sizes = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
+    blocks = rows.join(sizes, group).withColumn("_blocks", F.ceil(F.col("_n") / size).cast("int"))
+    blocks = blocks.withColumn("_own", F.pmod(F.xxhash64(item, F.lit(31)), "_blocks").cast("int"))
+    spread = blocks.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    name = F.xxhash64(group, F.least("_own", "_other"), F.greatest("_own", "_other"))
+    side = F.when(F.col("_own") == F.col("_other"), 2).when(F.col("_own") < F.col("_other"), 0)
+    return spread.select(
+        *rows.columns, name.alias("pair"), side.otherwise(1).cast("int").alias("side")
+    )

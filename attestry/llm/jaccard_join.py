@@ -17,8 +17,10 @@ the part of the prefix that these sizes need. Candidates are verified on whole t
 
 Groups of copies: sets that are equal are one node. In each bucket every member is
 first compared with one hub, the member that needs the shortest prefix; components
-of these links are formed, and only buckets whose members are not yet of one
-component are joined with themselves, over members of different components. So no
+of these links are formed. Only buckets whose members are not yet of one component
+are looked at again, in blocks against blocks: pairs of different components whose
+sizes, prefixes and sketches (numbers of shingles by hash bin, whose differences
+cannot exceed those of the sets) allow a link come out of a block, no others. So no
 bucket's pairs are emitted, and no link that could join components is lost.
 
 Cases: null or empty text, or text without words, has no shingles and no links; a
@@ -29,19 +31,24 @@ by 64-bit hashes. Component ids are the smallest key, ties cannot occur.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.common import stored
+from attestry.llm.common import in_block_pairs, partitions, runs, stored, whole_groups
 from attestry.llm.components import connected
 
 WORDS = 4
 PERCENT = 85
 # A shingle is frequent if this many sets have it in their prefix; the most frequent
 # MAX_FREQUENT are told to all tasks. Both only steer the order, not the result.
-FREQUENT = 32
-MAX_FREQUENT = 131_072
+FREQUENT = 4
+MAX_FREQUENT = 262_144
 MAX_WORDS = 300_000
+# Bins of the sketch that bounds how much two sets differ, and rows of a block.
+BINS = 64
+BLOCK = 512
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -138,21 +145,67 @@ def signatures(shingles, ranks, frequent, percent: int) -> tuple[list, list]:
     return keys, needs
 
 
-def _overlap(a: str, b: str, percent: int):
-    """Least overlap of similar sets of sizes ``a`` and ``b``."""
-    return F.ceil((F.col(a) + F.col(b)) * percent / (100 + percent) - 1e-9)
-
+def possible(a, b, need_a, need_b, percent: int):
+    """Whether sizes and prefixes allow a pair; for columns and for arrays alike.
 
-def _possible(a: str, b: str, need_a: str, need_b: str, percent: int):
-    """Whether sizes and prefixes allow a pair: both sides need the signature at these sizes."""
-    overlap = _overlap(a, b, percent)
+    With the least overlap of similar sets of these sizes, both sides must need the
+    signature.
+    """
+    # percent * (a + b) / (100 + percent), rounded up
+    overlap = (percent * (a + b) + 99 + percent - (percent * (a + b) + 99 + percent) % (100 + percent)) / (
+        100 + percent
+    )
     return (
-        (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
-        & (F.col(need_a) <= F.col(a) - overlap + 1)
-        & (F.col(need_b) <= F.col(b) - overlap + 1)
+        (a * 100 >= b * percent)
+        & (b * 100 >= a * percent)
+        & (need_a <= a - overlap + 1)
+        & (need_b <= b - overlap + 1)
     )
 
 
+def sketch(shingles) -> bytes:
+    """Number of shingles in each hash bin, up to 255."""
+    import numpy as np
+
+    counts = np.bincount((shingles >> np.uint64(7)).astype(np.int64) % BINS, minlength=BINS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
+def across_blocks(batches, percent: int):
+    """Rows (pair, side, set_id, size, need, root, hub, sketch) sorted by pair -> possible pairs."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in whole_groups(batches):
+        keys, side, ids, size, need, root, hub = (batch.column(i).to_numpy() for i in range(7))
+        bins = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
+        out = ([], [])
+        for start, end in runs(keys):
+            part = np.arange(start, end)
+            left, right = part[side[start:end] != 1], part[side[start:end] != 0]
+            a, b = left[:, None], right[None, :]
+            good = (root[a] != root[b]) & (ids[a] != hub[a]) & (ids[b] != hub[b])
+            if side[start] == 2:
+                good &= ids[a] < ids[b]
+            if not good.any():
+                continue
+            good &= possible(size[a], size[b], need[a], need[b], percent)
+            i, j = np.nonzero(good)
+            i, j = left[i], right[j]
+            for at in range(0, len(i), 1 << 16):
+                x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
+                apart = np.abs(bins[x].astype(np.int16) - bins[y]).sum(axis=1)
+                # size_a + size_b - 2 * overlap, with the least overlap of similar sets
+                most = (size[x] + size[y]) * (100 - percent) / (100 + percent)
+                near = apart <= most + 1e-6
+                x, y = ids[x[near]], ids[y[near]]
+                out[0].append(np.minimum(x, y))
+                out[1].append(np.maximum(x, y))
+        if out[0]:
+            pairs = np.unique(np.stack([np.concatenate(o) for o in out]), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"])
+
+
 def shingle_sets(documents: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
     """(key, n_shingles, set_id, head): each document's set, and the shortest prefix by hash."""
     kind = documents.schema[key].dataType.simpleString()
@@ -180,7 +233,7 @@ def shingle_sets(documents: DataFrame, key: str, text: str, n: int, percent: int
 
 
 def set_signatures(documents: DataFrame, text: str, n: int, percent: int, frequent) -> DataFrame:
-    """(set_id, size, keys, needs), at most once for each set and task."""
+    """(set_id, size, keys, needs, sketch), at most once for each set and task."""
     import numpy as np
 
     order = np.argsort(np.array(frequent, dtype=np.int64).view(np.uint64), kind="stable")
@@ -197,7 +250,7 @@ def set_signatures(documents: DataFrame, text: str, n: int, percent: int, freque
         ranks = np.frombuffer(packed.value[1], dtype=np.int64)
         seen = set()
         for batch in batches:
-            columns = ([], [], [], [])
+            columns = ([], [], [], [], [])
             for value in batch.column(0).to_pylist():
                 own = shingles(value)
                 name = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
@@ -207,7 +260,7 @@ def set_signatures(documents: DataFrame, text: str, n: int, percent: int, freque
                     seen.add(name)
                 keys, needs = signatures(own, ranks, common, percent)
                 if keys:
-                    for column, item in zip(columns, (name, len(own), keys, needs)):
+                    for column, item in zip(columns, (name, len(own), keys, needs, sketch(own))):
                         column.append(item)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -215,12 +268,13 @@ def set_signatures(documents: DataFrame, text: str, n: int, percent: int, freque
                     pa.array(columns[1], pa.int32()),
                     pa.array(columns[2], pa.list_(pa.int64())),
                     pa.array(columns[3], pa.list_(pa.int32())),
+                    pa.array(columns[4], pa.binary()),
                 ],
-                names=["set_id", "size", "keys", "needs"],
+                names=["set_id", "size", "keys", "needs", "sketch"],
             )
 
     return documents.select(text).mapInArrow(
-        run, "set_id bigint, size int, keys array<bigint>, needs array<int>"
+        run, "set_id bigint, size int, keys array<bigint>, needs array<int>, sketch binary"
     )
 
 
@@ -320,7 +374,7 @@ def components(
     )
     by_hub = (
         members.where(F.col("set_id") != F.col("hub"))
-        .where(_possible("size", "hub_size", "need", "hub_need", percent))
+        .where(possible(*(F.col(c) for c in ("size", "hub_size", "need", "hub_need")), percent))
         .select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
         .distinct()
     )
@@ -337,18 +391,14 @@ def components(
         .where("_least < _most")
         .select("key")
     )
-    left = stored(rooted.join(open_, "key"), "open")
-    a, b = (
-        left.where(F.col("set_id") != F.col("hub")).select(
-            "key", *(F.col(c).alias(f"{c}_{side}") for c in ("set_id", "size", "need", "root"))
-        )
-        for side in "ab"
-    )
+    sketches = signed.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
+    left = stored(rooted.join(open_, "key").join(sketches, "set_id"), "open")
     across = (
-        a.join(b, "key")
-        .where((F.col("set_id_a") < F.col("set_id_b")) & (F.col("root_a") != F.col("root_b")))
-        .where(_possible("size_a", "size_b", "need_a", "need_b", percent))
-        .select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b"))
+        in_block_pairs(left, "key", "set_id", BLOCK)
+        .select("pair", "side", "set_id", F.col("size").cast("bigint"), F.col("need").cast("bigint"), "root", "hub", "sketch")
+        .repartition(partitions(documents.sparkSession), "pair")
+        .sortWithinPartitions("pair")
+        .mapInArrow(partial(across_blocks, percent=percent), "a bigint, b bigint")
         .distinct()
     )
     more = stored(verified(across, texts, n, percent), "links")

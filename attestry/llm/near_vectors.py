@@ -29,7 +29,7 @@ from functools import partial
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestry.llm.common import partitions, stored
+from attestry.llm.common import in_block_pairs, partitions, runs, stored, whole_groups
 from attestry.llm.components import connected
 
 THRESHOLD = 0.9
@@ -73,35 +73,6 @@ def unit_vectors(vectors: DataFrame, key: str, column: str) -> DataFrame:
     return vectors.select(key, column).mapInArrow(run, f"`{key}` {kind}, x binary")
 
 
-def whole_groups(batches):
-    """Batches cut so that rows of one first column, which must be sorted, stay together."""
-    import numpy as np
-    import pyarrow as pa
-
-    rest = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if rest is not None and rest.num_rows:
-            batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
-        keys = batch.column(0).to_numpy()
-        other = np.flatnonzero(keys != keys[-1])
-        cut = int(other[-1]) + 1 if len(other) else 0
-        if cut:
-            yield batch.slice(0, cut)
-        rest = batch.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
-def runs(keys):
-    """Start and end of each run of equal keys."""
-    import numpy as np
-
-    starts = np.r_[0, np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys)]
-    return zip(starts[:-1], starts[1:])
-
-
 def matrix(column, start, end):
     import numpy as np
 
@@ -331,22 +302,9 @@ def dense_links(nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFr
 
     ``groups`` are (id, grp). Sums of n by u are exact numbers of links.
     """
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
-    blocks = (
-        groups.join(sizes, "grp")
-        .withColumn("_blocks", F.ceil(F.col("_n") / BLOCK).cast("int"))
-        .withColumn("_block", F.pmod(F.xxhash64("id", F.lit(SEED)), F.col("_blocks")).cast("int"))
-    )
-    other = F.sequence(F.lit(0), F.col("_blocks") - 1)
-    pair = F.xxhash64("grp", F.least("_block", "_other"), F.greatest("_block", "_other"))
-    side = F.when(F.col("_block") == F.col("_other"), 2).when(F.col("_block") < F.col("_other"), 0).otherwise(1)
-    dealt = (
-        blocks.join(nodes, "id")
-        .withColumn("_other", F.explode(other))
-        .select(pair.alias("pair"), side.cast("int").alias("side"), "id", "weight", "x")
-        .repartition(partitions(nodes.sparkSession), "pair")
-        .sortWithinPartitions("pair")
-    )
+    dealt = in_block_pairs(groups, "grp", "id", BLOCK).join(nodes, "id")
+    dealt = dealt.select("pair", "side", "id", "weight", "x")
+    dealt = dealt.repartition(partitions(nodes.sparkSession), "pair").sortWithinPartitions("pair")
     return dealt.mapInArrow(partial(block_pairs, threshold=threshold), "u bigint, v bigint, n bigint")
 
 
