@@ -31,12 +31,12 @@ from pyspark.sql import DataFrame
 
 from attestry.llm.common import worker_memory
 
-# Bounds of what a worker remembers. A full memory keeps what it has; what is not in it is
-# computed when met, so results do not change.
+# Bounds of what a worker remembers. Full states, pairs and pieces keep what they have, full
+# chunks are emptied; what is not remembered is computed when met, so results do not change.
 MAX_STATES = 200_000
 MAX_PAIRS = 400_000
 MAX_PIECES = 300_000
-MAX_CHUNKS = 300_000
+MAX_CHUNKS = 500_000
 # Bytes of a match that are taken in one step once they have been met.
 STRIDE = 6
 # Matches taken from a text at a time, and ids decoded at a time.
@@ -247,16 +247,27 @@ class Chunks(dict):
         if chunk.isalpha():  # one match
             packed = self.pieces.transducer.encode(b" " + chunk.encode())
         elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":  # two matches
-            return self[chunk[:-1]] + self.pieces[chunk[-1]]
+            packed = self[chunk[:-1]] + self.pieces[chunk[-1]]
         elif not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise Uneven
         else:
             found = self.pattern.findall(" " + chunk)
-            return b"".join(map(self.pieces.__getitem__, found))
-        if len(self) < MAX_CHUNKS and len(chunk) <= 64:
+            packed = b"".join(map(self.pieces.__getitem__, found))
+        if len(chunk) <= 64:
             self[chunk] = packed
         return packed
 
+    def prepare(self, texts: list[str]) -> None:
+        """Encode the new chunks of these texts in order, so that neighbours share their states."""
+        if len(self) > MAX_CHUNKS:
+            self.clear()
+        new = set()
+        for text in texts:
+            new.update(text.split(" "))
+        for chunk in sorted(new.difference(self)):
+            if chunk.isalpha() or chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                self[chunk]
+
     def encode(self, text: str) -> bytes:
         """Packed ids of a whole text."""
         first, *rest = text.split(" ")
@@ -367,8 +378,10 @@ def encode_decode(
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
                 columns = {name: [] for name in wanted}
-                for value in part.column(1).to_pylist():
-                    packed = chunks.encode(value or "")
+                texts_ = [value or "" for value in part.column(1).to_pylist()]
+                chunks.prepare(texts_)
+                for value in texts_:
+                    packed = chunks.encode(value)
                     ids = np.frombuffer(packed, dtype="<u4")
                     row = {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(packed).hexdigest()}
                     if "ids" in columns:

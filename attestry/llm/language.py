@@ -22,58 +22,49 @@ PROFILE = 300
 # Languages are a closed label set; profiles are PROFILE rows for each.
 MAX_LANGUAGES = 2_000
 UNKNOWN = "und"
-# Bounds of what a task remembers or holds back.
-MAX_WORDS = 100_000
-FLUSH = 200_000
+# Counts a task holds back, and characters of a text that are taken at a time.
+FLUSH = 4_000_000
+PART = 1_000_000
 BLANK = 1
 
 
-def word_grams(word: str):
-    """Codes of the 1- to 3-grams of a padded word: 21 bits for each character."""
-    import numpy as np
-
-    letters = [ord(c) for c in word if c.isalpha()]
-    if not letters:
-        return np.empty(0, dtype=np.int64)
-    c = np.array([BLANK, *letters, BLANK], dtype=np.int64)
-    return np.concatenate(
-        [c[1:-1] << 42, (c[:-1] << 42) | (c[1:] << 21), (c[:-2] << 42) | (c[1:-1] << 21) | c[2:]]
-    )
-
-
 class Grams:
-    """Distinct n-grams of texts with their counts."""
+    """Distinct n-grams of texts with their counts: 21 bits for each character."""
 
     def __init__(self):
-        import re
+        import numpy as np
 
-        self.words = re.compile(r"[^\W\d_]+").findall
-        self.known = {}
+        self.letters = np.array([chr(i).isalpha() for i in range(0x110000)])
 
     def counts(self, text: str | None):
-        from collections import Counter
-
         import numpy as np
 
-        words = Counter(self.words(text.lower())) if text else {}
-        lists = []
-        for word in words:
-            grams = self.known.get(word)
-            if grams is None:
-                grams = word_grams(word)
-                if len(word) <= 64 and len(self.known) < MAX_WORDS:
-                    self.known[word] = grams
-            lists.append(grams)
-        if not lists:
+        codes = np.frombuffer((text or "").lower().encode("utf-32-le"), dtype="<u4")
+        letters = self.letters[codes]
+        # Runs of other characters become one blank, with one at both ends.
+        marked = np.concatenate([[BLANK], np.where(letters, codes, BLANK), [BLANK]]).astype(np.int64)
+        kept = np.concatenate([[True], letters | np.concatenate([[True], letters[:-1]]), [True]])
+        if len(letters) == 0 or not letters.any():
             return np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64)
-        codes = np.concatenate(lists)
-        weights = np.repeat(
-            np.fromiter(words.values(), dtype=np.int64, count=len(words)), [len(g) for g in lists]
-        )
-        order = np.argsort(codes, kind="stable")
-        codes, weights = codes[order], weights[order]
-        starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]]) if len(codes) else []
-        return codes[starts], np.add.reduceat(weights, starts) if len(codes) else weights
+        kept[1] = letters[0]
+        kept[-1] = letters[-1]
+        marked = marked[kept]
+        found = []
+        for start in range(0, len(marked), PART):
+            c = marked[start : start + PART + 2]
+            first, word = c[:PART] << 42, c != BLANK
+            pairs = first[: len(c) - 1] | (c[1 : PART + 1] << 21)
+            triples = pairs[: len(c) - 2] | c[2:]
+            found.append(
+                np.unique(
+                    np.concatenate([first[word[:PART]], pairs, triples[word[1 : len(triples) + 1]]]),
+                    return_counts=True,
+                )
+            )
+        if len(found) == 1:
+            return found[0]
+        codes, at = np.unique(np.concatenate([f[0] for f in found]), return_inverse=True)
+        return codes, np.bincount(at, np.concatenate([f[1] for f in found])).astype(np.int64)
 
 
 def ranked(codes, counts, size: int):
@@ -117,7 +108,7 @@ def learn_profiles(
                 codes, counts = grams.counts(value)
                 held.setdefault(name, []).append((codes, counts))
                 total += len(codes)
-                if total > FLUSH * 20:
+                if total > FLUSH:
                     yield from flush()
                     total = 0
         yield from flush()

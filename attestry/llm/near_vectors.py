@@ -35,14 +35,14 @@ from attestry.llm.components import connected
 THRESHOLD = 0.9
 LOOSE = 0.8
 NEIGHBOURS = 10
-MOST_NEIGHBOURS = 40
+MOST_NEIGHBOURS = 20
 TREES = 6
 LEAF = 40
 ROUNDS = 8
 SETTLED = 0.01  # share of list places that may still change
 PROBES = 256
 RECALL = 0.98
-BLOCK = 512
+BLOCK = 128
 SEED = 97
 
 EDGE = "u bigint, v bigint, sim double"
