@@ -47,7 +47,7 @@ FREQUENT = 4
 MAX_FREQUENT = 262_144
 MAX_WORDS = 300_000
 # Bins of the sketch that bounds how much two sets differ, and rows of a block.
-BINS = 64
+BINS = 256
 BLOCK = 512
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -56,8 +56,9 @@ def mix(x):
     """A one-to-one scramble of 64-bit numbers."""
     import numpy as np
 
-    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
-        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    with np.errstate(over="ignore"):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
     return x ^ (x >> np.uint64(31))
 
 
@@ -194,7 +195,7 @@ def across_blocks(batches, percent: int):
             i, j = left[i], right[j]
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
-                apart = np.abs(bins[x].astype(np.int16) - bins[y]).sum(axis=1)
+                apart = (np.maximum(bins[x], bins[y]) - np.minimum(bins[x], bins[y])).sum(axis=1)
                 # size_a + size_b - 2 * overlap, with the least overlap of similar sets
                 most = (size[x] + size[y]) * (100 - percent) / (100 + percent)
                 near = apart <= most + 1e-6
