@@ -7,8 +7,6 @@ collisions, odd locations and malformed answers over the rows by their keys.
 
 from __future__ import annotations
 
-from decimal import ROUND_HALF_UP, Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,85 +175,3 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .drop("body")
     )
-
-
-def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attachments with ``facts``: one line of text that says what their document holds."""
-    line = F.concat_ws(
-        ";",
-        *(F.col(c).cast("string") for c in ("rn", "l_partkey", "l_suppkey", "l_extendedprice")),
-        F.coalesce("att_type", F.lit("")),
-    )
-    return located(spark, sf_dir).withColumn("facts", line)
-
-
-def stand_in_client():
-    """Factory of a client that answers by rule from the ``facts`` line of its prompt.
-
-    It gives for every attachment the answer of ``responses``, and depends on
-    nothing but the request. Everything is nested in here so that the factory
-    reaches workers that lack this package.
-    """
-
-    class Responder:
-        def complete(self, system, parts, temperature, max_tokens):
-            line = parts[0]["text"].rsplit("\n", 1)[-1]
-            rn, part, supplier, price, label = line.split(";")
-            rn, part, supplier = int(rn), int(part), int(supplier)
-            fence = "```"
-            body = self.body(rn, part, supplier, price, label)
-            shapes = (
-                body,
-                f"{fence}json\n{body}\n{fence}",
-                f"{fence}{body}{fence}",
-                f"  {body}\n",
-                f"{fence}json{body}",
-            )
-            return shapes[rn % 5] + (" trailing prose" if part % 17 == 0 else "")
-
-        def body(self, rn, part, supplier, price, label):
-            if part % 19 == 0:
-                return "[1]"
-            if part % 37 == 0:
-                return "null"
-            kind = "Invoice" if supplier % 4 == 0 else label or "Other"
-            fits = supplier % 4 != 0 and label != ""
-            match = "null" if supplier % 7 == 0 else str(fits).lower()
-            quotation = part % 2 == 0
-            offer = self.offer(rn, part, supplier, price) if quotation else "null"
-            return (
-                f'{{"document_classification": {{"verified_type": "{kind}",'
-                f' "confidence": "{("high", "medium", "low")[supplier % 3]}",'
-                f' "att_type_matches_content": {match}}},'
-                f' "is_quotation": {str(quotation).lower()},'
-                f' "quotation_data": {offer}}}'
-            )
-
-        def offer(self, rn, part, supplier, price):
-            if part % 41 == 0:
-                return "null"
-            name = "null" if part % 13 == 0 else f'"Item {part} model X"'
-            return (
-                f'{{"supplier_name": "Supplier#{supplier:09d}", "canonical_item_name": {name},'
-                f' "quoted_price": {self.price(rn, part, price)}}}'
-            )
-
-        def price(self, rn, part, price):
-            if part % 43 == 0:
-                return f'"{Decimal(price).quantize(Decimal("0.01"), ROUND_HALF_UP)}"'
-            if part % 47 == 0:
-                return '"8,623"'
-            total = float(price) * (1.5 if rn % 3 == 0 else 1.1)
-            return str(Decimal(repr(total)).quantize(Decimal(1), ROUND_HALF_UP))
-
-    return Responder()
-
-
-def client_factory():
-    """``stand_in_client`` as a function pickled by value."""
-    from pyspark import cloudpickle
-
-    import attestry.catalog.fixtures as module
-
-    cloudpickle.register_pickle_by_value(module)
-    return stand_in_client

@@ -311,7 +311,7 @@ _LABEL = "coalesce(att_type, 'unknown')"
 _FILE_PROMPT = _prompt("file_name", _LABEL)
 _DOC_PROMPT = (
     _prompt("'doc_' || doc_id || '.xlsx'", "'unknown'")
-    + f" || {_text(DEFAULT_TEMPLATE.text_header)} || substr(text, 1, 12000)"
+    + f" || {_text(DEFAULT_TEMPLATE.text_header)} || text"
 )
 _DOMAIN = ", ".join(f"({i}, {_text(b)})" for i, b in enumerate(SIZE_BUCKETS, start=1))
 _FILE_TYPES = f"""
@@ -339,6 +339,15 @@ _SQL = {
               left join (select {_BUCKET} as bucket from blob) b on b.bucket = d.bucket
               group by 1, 2)""",
     "q04_case_coverage": f"""
+        select ras_id, num_files, total_bytes, {_size_text("total_bytes")} as total_size,
+               file_types
+        from (select {_case("name")} as ras_id, count(*) as num_files,
+                     sum(size)::bigint as total_bytes, min(name) as first_name,
+                     string_agg(distinct {_ext_label("name")}, ', '
+                                order by {_ext_label("name")}) as file_types
+              from blob where {_case("name")} is not null group by 1
+              order by num_files desc, first_name)""",
+    "q04b_largest_cases": f"""
         select ras_id, num_files, total_bytes, {_size_text("total_bytes")} as total_size,
                file_types
         from (select {_case("name")} as ras_id, count(*) as num_files,
@@ -387,6 +396,11 @@ _SQL = {
     "q16_missing_files": """
         select ras_id, att_id, blob_path, blob_path in (select name from blob) as found
         from norm where blob_path is not null""",
+    "q16b_read_contents": """
+        select 'pages/' || page_id || '.html' as name, page_id % 3 <> 0 as found,
+               case when page_id % 3 <> 0 then octet_length(encode(html)) end as size,
+               case when page_id % 3 <> 0 then sha256(html) end as sha256
+        from pages""",
     "q17_route": "select att_id, file_name, ext, route, reason from routed",
     "q18_media_type": f"select att_id, ext, {_MEDIA} as media_type from routed",
     "q19_render_prompt": f"""
@@ -402,15 +416,10 @@ _SQL = {
         from (select lang as file, sheet, sheet_no, count(*) as n,
                      string_agg(cell, chr(10) order by doc_id) as body
               from (select lang, source as sheet, substr(source, 4)::int + 1 as sheet_no, doc_id,
-                           substr(text, 1, 50) as cell,
-                           row_number() over (partition by lang, source order by doc_id) as place
+                           text as cell
                     from documents)
-              where place <= 100 and sheet_no <= 5 group by all)
+              group by all)
         group by file""",
-    "q21_extract_batch": """
-        select request_id, raw, null::varchar as error, 1 as attempts
-        from resp where request_id in
-          (select att_id::varchar from routed where route <> 'unsupported')""",
     "q21b_message_parts": f"""
         select att_id::varchar as request_id, part_no::integer as part_no,
                case when part_no = 0 then 'text' else 'image_url' end as type,
@@ -419,7 +428,7 @@ _SQL = {
                  else {_MEDIA} end || ';base64,' || to_base64(encode(path)) end as url,
                case when part_no > 0 then 'high' end as detail
         from (select *, unnest(range(0, 1 + case when route = 'image' then 1
-                else least(5, rn % 8) end)) as part_no
+                else rn % 8 end)) as part_no
               from routed where route in ('pdf', 'image'))""",
     "q22_clean_response": "select request_id, cleaned from cleaned",
     "q23_parse_status": "select request_id, status, error from parsed",

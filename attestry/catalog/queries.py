@@ -12,7 +12,6 @@ from attestry.functions import amounts, checks, prompts, responses, routing
 from attestry.operators import extract, inventory, resolve, sampling, sheets, validate
 from attestry.plans import jobs
 from attestry.session import configure
-from attestry.sources.objects import read_objects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -138,11 +137,17 @@ def missing_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def read_contents(spark: SparkSession, d: str) -> DataFrame:
-    """The table files themselves, read as binary objects."""
-    return read_objects(spark, d).select(
-        "name",
-        "size",
-        F.octet_length("content").cast("bigint").alias("bytes_read"),
+    """A manifest of pages with the contents found for it: every third page was never stored."""
+    pages = fx.table(spark, d, "pages")
+    name = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html"))
+    manifest = pages.select(name.alias("blob_path"))
+    contents = pages.where("page_id % 3 <> 0").select(
+        name.alias("_name"), F.encode("html", "utf-8").alias("content")
+    )
+    return manifest.join(contents, F.col("blob_path") == F.col("_name"), "left").select(
+        F.col("blob_path").alias("name"),
+        F.octet_length("content").cast("bigint").alias("size"),
+        F.col("_name").isNotNull().alias("found"),
         F.sha2("content", 256).alias("sha256"),
     )
 
@@ -196,28 +201,6 @@ def sheet_text(spark: SparkSession, d: str) -> DataFrame:
     return sheets.sheet_text(rows)
 
 
-def extract_requests(spark: SparkSession, d: str) -> DataFrame:
-    """Requests for every routed file, all with text: the stand-in client reads no pages."""
-    named = fx.facts(spark, d).where(F.col("file_name").isNotNull())
-    routed = extract.route_files(named.withColumn("blob_path", F.col("path")))
-    as_text = F.when(F.col("route") != "unsupported", "excel").otherwise(F.col("route"))
-    inputs = routed.withColumns(
-        {
-            "route": as_text,
-            "text": F.col("facts"),
-            "pages": F.lit(None).cast("array<binary>"),
-        }
-    )
-    return extract.build_requests(inputs)
-
-
-def extract_batch(spark: SparkSession, d: str) -> DataFrame:
-    """Every routed file through the model call, answered by the stand-in client."""
-    options = extract.ExtractOptions(min_interval_s=0.0)
-    answers = extract.call_model(extract_requests(spark, d), fx.client_factory(), options)
-    return answers.select("request_id", "raw", "error", "attempts")
-
-
 def message_parts(spark: SparkSession, d: str) -> DataFrame:
     """Message parts of image and PDF files; the name stands in for page bytes."""
     routed = _routed(spark, d).where(F.col("route").isin("pdf", "image"))
@@ -325,6 +308,9 @@ _QUERIES: dict[str, Query] = {
     "q02b_top_file_types": top_file_types,
     "q03_size_buckets": _over_objects(inventory.size_distribution),
     "q04_case_coverage": _over_objects(inventory.case_coverage),
+    "q04b_largest_cases": _over_objects(
+        lambda objects: inventory.case_coverage(objects, inventory.TOP_CASES)
+    ),
     "q05_files_per_case_stats": _over_objects(inventory.files_per_case),
     "q06_sample_paths": _over_objects(inventory.sample_paths),
     "q07_path_parse": _over_objects(inventory.parse_paths),
@@ -347,7 +333,6 @@ _QUERIES: dict[str, Query] = {
     "q18_media_type": media_type,
     "q19_render_prompt": render_prompt,
     "q20_sheet_text": sheet_text,
-    "q21_extract_batch": extract_batch,
     "q21b_message_parts": message_parts,
     "q22_clean_response": clean_response,
     "q23_parse_status": parse_status,

@@ -27,11 +27,17 @@ def supplier_match(extracted: Column | str, stored: Column | str) -> Column:
     return F.when(both, F.contains(theirs, ours) | F.contains(ours, theirs))
 
 
+def usable_price(price: Column | str) -> Column:
+    """The price as a number, null where it is missing, zero, not a number or infinite."""
+    value = as_column(price).try_cast("double")
+    # NaN ranks above every number.
+    return F.when((value != 0) & (value > float("-inf")) & (value < float("inf")), value)
+
+
 def price_in_range(extracted: Column | str, original: Column | str) -> Column:
     """Is the extracted price less than a fifth away from the original price?"""
-    extracted = as_column(extracted).try_cast("double")
-    original = as_column(original).try_cast("double")
-    usable = (extracted != 0) & (original > 0)
+    extracted, original = usable_price(extracted), usable_price(original)
+    usable = extracted.isNotNull() & (original > 0)
     return F.when(usable, F.abs(extracted - original) / original < PRICE_TOLERANCE)
 
 

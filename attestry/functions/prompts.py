@@ -16,9 +16,7 @@ from pyspark.sql import types as T
 from attestry.functions.text import as_column, shorten
 from attestry.schemas import ANSWER, CONFIDENCES, CURRENCIES, DOCUMENT_TYPES
 
-# Bounds on what is sent to the model.
-MAX_TEXT_CHARS = 12_000
-MAX_PAGES = 5
+# Fixed value of the message format.
 IMAGE_DETAIL = "high"
 
 PARTS = "array<struct<type:string,text:string,url:string,detail:string>>"
@@ -106,9 +104,9 @@ def render_prompt(
 
 
 def with_document_text(
-    template: PromptTemplate, prompt: Column, text: Column | str, limit: int = MAX_TEXT_CHARS
+    template: PromptTemplate, prompt: Column, text: Column | str, limit: int | None = None
 ) -> Column:
-    """Prompt followed by the text of the document, up to the model's bound."""
+    """Prompt followed by the whole text of the document, or by its first ``limit`` characters."""
     return F.concat(prompt, F.lit(template.text_header), shorten(text, limit))
 
 
@@ -126,9 +124,9 @@ def message_parts(
     prompt: Column | str,
     media_type: Column | str,
     pages: Column | str,
-    max_pages: int = MAX_PAGES,
+    max_pages: int | None = None,
 ) -> Column:
-    """One text part, then one image part per page up to ``max_pages``."""
+    """One text part, then one image part per page, up to ``max_pages`` if given."""
     media = as_column(media_type)
     nothing = F.lit(None).cast("string")
 
@@ -137,7 +135,9 @@ def message_parts(
             F.lit(kind).alias("type"), text.alias("text"), url.alias("url"), detail.alias("detail")
         )
 
-    shown = F.slice(F.coalesce(as_column(pages), F.array().cast("array<binary>")), 1, max_pages)
+    shown = F.coalesce(as_column(pages), F.array().cast("array<binary>"))
+    if max_pages is not None:
+        shown = F.slice(shown, 1, max_pages)
     images = F.transform(
         shown,
         lambda page: part("image_url", nothing, data_url(media, page), F.lit(IMAGE_DETAIL)),

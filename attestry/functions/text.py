@@ -22,5 +22,6 @@ def strip(text: Column | str) -> Column:
     return F.btrim(as_column(text), F.lit(WHITESPACE))
 
 
-def shorten(text: Column | str, length: int) -> Column:
-    return F.substring(as_column(text), 1, length)
+def shorten(text: Column | str, length: int | None) -> Column:
+    """The first ``length`` characters; the whole text without a length."""
+    return as_column(text) if length is None else F.substring(as_column(text), 1, length)

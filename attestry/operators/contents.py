@@ -5,20 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestry.functions.prompts import MAX_PAGES
 from attestry.operators.sheets import sheet_text
 
 
-def page_contents(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
-    """The first page images of every file, from ``(blob_path, page_no, content)``.
+def page_contents(pages: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """All page images of every file, from ``(blob_path, page_no, content)``.
 
-    The cap is applied on every map task before the shuffle, so later pages of a
-    long file never travel.
+    With ``max_pages`` the first ones: that cap is applied on every map task before
+    the shuffle, so later pages of a long file never travel.
     """
-    in_file = Window.partitionBy("blob_path").orderBy("page_no")
-    first = pages.withColumn("_position", F.row_number().over(in_file)).where(
-        F.col("_position") <= max_pages
-    )
+    first = pages.withColumn("_position", F.col("page_no"))
+    if max_pages is not None:
+        in_file = Window.partitionBy("blob_path").orderBy("page_no")
+        first = pages.withColumn("_position", F.row_number().over(in_file)).where(
+            F.col("_position") <= max_pages
+        )
     ordered = F.array_sort(F.collect_list(F.struct("_position", "content")))
     return first.groupBy("blob_path").agg(
         F.transform(ordered, lambda page: page["content"]).alias("pages"),
@@ -27,7 +28,7 @@ def page_contents(pages: DataFrame, max_pages: int = MAX_PAGES) -> DataFrame:
 
 
 def workbook_contents(sheet_rows: DataFrame) -> DataFrame:
-    """The bounded text of every workbook, from rows whose ``file`` is the object name."""
+    """The text of every workbook, from rows whose ``file`` is the object name."""
     return sheet_text(sheet_rows).select(
         F.col("file").alias("blob_path"), F.lit(None).cast("array<binary>").alias("pages"), "text"
     )

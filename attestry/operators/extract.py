@@ -14,8 +14,6 @@ from pyspark.sql import functions as F
 from attestry.functions.paths import doc_key, extension
 from attestry.functions.prompts import (
     DEFAULT_TEMPLATE,
-    MAX_PAGES,
-    MAX_TEXT_CHARS,
     PromptTemplate,
     message_parts,
     render_prompt,
@@ -36,6 +34,9 @@ TEMPERATURE = 0.1
 MAX_TOKENS = 3000
 MIN_INTERVAL_S = 2.0
 
+# A response answers one version of the prompt.
+ASKED = ("request_id", "prompt_version")
+
 # A client has one method:
 #     complete(system, parts, temperature, max_tokens) -> str
 # A factory makes one; it is sent to the executors, so it must be picklable.
@@ -49,7 +50,7 @@ class ExtractOptions:
     ``partitions`` is the number of calls in flight, so ``partitions`` divided
     by ``min_interval_s`` bounds the request rate. ``waves`` cuts the work into
     parts whose responses are stored one after the other; a job that dies loses
-    one wave at most.
+    one wave at most. Pages and text are sent whole unless bounds are set.
     """
 
     template: PromptTemplate = DEFAULT_TEMPLATE
@@ -57,10 +58,10 @@ class ExtractOptions:
     max_tokens: int = MAX_TOKENS
     min_interval_s: float = MIN_INTERVAL_S
     max_attempts: int = 1
-    max_pages: int = MAX_PAGES
-    max_text_chars: int = MAX_TEXT_CHARS
+    max_pages: int | None = None
+    max_text_chars: int | None = None
     partitions: int | None = None
-    waves: int = 1
+    waves: int = 4
 
 
 def request_id(att_id: Column | str = "att_id", blob_path: Column | str = "blob_path") -> Column:
@@ -170,22 +171,35 @@ def store_responses(
     client_factory: ClientFactory,
     options: ExtractOptions = ExtractOptions(),
 ) -> DataFrame:
-    """Call the model for all requests without a stored response; return the stored table.
+    """Call the model for all requests without a stored answer; return one response for each.
 
     Responses are costly and cannot be had again alike, so they are written
-    before anything is derived from them. A second run sends only what is missing.
+    before anything is derived from them. A second run sends only what has no answer
+    to this version of the prompt yet, so failed calls are made again. The table at
+    ``path`` may serve other batches: only responses to ``requests`` are returned,
+    for each the last answer, or the last failure where there is none.
     """
     spark = requests.sparkSession
     spark.createDataFrame([], RESPONSE).write.mode("ignore").parquet(path)
     for wave in range(options.waves):
-        stored = spark.read.schema(RESPONSE).parquet(path).select("request_id")
+        stored = spark.read.schema(RESPONSE).parquet(path).where("raw is not null")
+        stored = stored.select(*ASKED)
         pending = requests
         if options.waves > 1:
             slot = F.pmod(F.xxhash64("request_id"), F.lit(options.waves))
             pending = requests.where(slot == wave)
-        pending = pending.join(stored, "request_id", "left_anti")
+        pending = pending.join(stored, list(ASKED), "left_anti")
         call_model(pending, client_factory, options).write.mode("append").parquet(path)
-    return spark.read.schema(RESPONSE).parquet(path)
+    kept = spark.read.schema(RESPONSE).parquet(path)
+    kept = kept.join(requests.select(*ASKED).distinct(), list(ASKED), "left_semi")
+    order = Window.partitionBy(*ASKED).orderBy(
+        F.col("raw").isNotNull().desc(), F.desc("attempts"), "raw", "error"
+    )
+    return (
+        kept.withColumn("_place", F.row_number().over(order))
+        .where("_place = 1")
+        .select(*RESPONSE.names)
+    )
 
 
 def is_sent() -> Column:

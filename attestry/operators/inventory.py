@@ -114,8 +114,8 @@ def _case_totals(objects: DataFrame) -> DataFrame:
     )
 
 
-def case_coverage(objects: DataFrame, top: int = TOP_CASES) -> DataFrame:
-    """The cases with the most files: files, bytes and the extensions found.
+def case_coverage(objects: DataFrame, top: int | None = None) -> DataFrame:
+    """Files, bytes and the extensions found for every case, or the ``top`` cases by files.
 
     Of equals, the case listed first comes first. Names of a case start with
     ``R_<id>_``, so comparing the ids with that underscore gives listing order.
@@ -130,16 +130,14 @@ def case_coverage(objects: DataFrame, top: int = TOP_CASES) -> DataFrame:
         )
     )
     listing_order = F.concat("ras_id", F.lit("_"))
-    return (
-        cases.orderBy(F.desc("num_files"), listing_order)
-        .limit(top)
-        .select(
-            "ras_id",
-            "num_files",
-            "total_bytes",
-            format_size("total_bytes").alias("total_size"),
-            "file_types",
-        )
+    if top is not None:
+        cases = cases.orderBy(F.desc("num_files"), listing_order).limit(top)
+    return cases.select(
+        "ras_id",
+        "num_files",
+        "total_bytes",
+        format_size("total_bytes").alias("total_size"),
+        "file_types",
     )
 
 

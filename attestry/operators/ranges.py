@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from sys import float_info
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from attestry.functions.checks import PRICE_TOLERANCE, price_in_range
+from attestry.functions.checks import PRICE_TOLERANCE, price_in_range, usable_price
 
 # Bounds are certain only up to this relative distance; what lies closer to a
 # bound is tested by the rule itself. It is far above the error of doubles.
@@ -27,10 +29,11 @@ def pairs_in_range(ours: DataFrame, stored: DataFrame) -> DataFrame:
     ``e / 1.2 .. e / 0.8``. Its sure part is counted by running totals, the two
     narrow edges by the rule, so the result is exactly that of the pairs.
     """
-    ours = ours.where(F.col("extracted_price") > 0)
-    stored = stored.where(F.col("original") > 0)
+    ours = ours.where(usable_price("extracted_price") > 0)
+    stored = stored.where(usable_price("original") > 0)
     low = F.col("extracted_price") / (1 + PRICE_TOLERANCE)
-    high = F.col("extracted_price") / (1 - PRICE_TOLERANCE)
+    # The bound of the largest prices is beyond all numbers: the largest number will do.
+    high = F.least(F.col("extracted_price") / (1 - PRICE_TOLERANCE), F.lit(float_info.max))
     parts = _sure_pairs(ours, stored, low * (1 + SLACK), high * (1 - SLACK)).unionByName(
         _edge_pairs(ours, stored, low, high)
     )

@@ -1,4 +1,4 @@
-"""Workbook rows to bounded text."""
+"""Workbook rows to text."""
 
 from __future__ import annotations
 
@@ -7,35 +7,34 @@ from pyspark.sql import functions as F
 
 from attestry.functions.text import as_column, shorten
 
-# How much of a workbook is shown, and how its parts are put together.
-MAX_SHEETS = 5
-MAX_ROWS = 100
-MAX_CELL_CHARS = 50
+# How the parts of a workbook are put together.
 SHEET_HEADER = "=== Sheet: {sheet} ==="
 PART_SEPARATOR = "\n\n"
 ROW_SEPARATOR = "\n"
 
 
-def bound_cell(cell: Column | str) -> Column:
-    return shorten(as_column(cell), MAX_CELL_CHARS)
+def bound_cell(cell: Column | str, max_chars: int | None = None) -> Column:
+    return shorten(as_column(cell), max_chars)
 
 
 def sheet_text(
-    sheet_rows: DataFrame, max_sheets: int = MAX_SHEETS, max_rows: int = MAX_ROWS
+    sheet_rows: DataFrame, max_sheets: int | None = None, max_rows: int | None = None
 ) -> DataFrame:
     """One text per workbook from ``(file, sheet_no, sheet, row_no, row_text)``.
 
-    Sheets are numbered from 1 in workbook order. Only the first rows of a sheet
-    are kept, and the row cap is applied on every map task before the shuffle
-    (a window group limit), so a sheet of any length sends few rows. After it a
-    workbook holds at most ``max_sheets * max_rows`` bounded rows.
+    Sheets are numbered from 1 in workbook order. All rows are taken; with
+    ``max_rows`` only the first of a sheet, a cap that is applied on every map task
+    before the shuffle (a window group limit). The text of a workbook is one value,
+    so a workbook has to fit in one row.
     """
-    in_sheet = Window.partitionBy("file", "sheet_no", "sheet").orderBy("row_no")
-    kept = (
-        sheet_rows.where(F.col("sheet_no") <= max_sheets)
-        .withColumn("_position", F.row_number().over(in_sheet))
-        .where(F.col("_position") <= max_rows)
-    )
+    kept = sheet_rows.withColumn("_position", F.col("row_no"))
+    if max_sheets is not None:
+        kept = kept.where(F.col("sheet_no") <= max_sheets)
+    if max_rows is not None:
+        in_sheet = Window.partitionBy("file", "sheet_no", "sheet").orderBy("row_no")
+        kept = kept.withColumn("_position", F.row_number().over(in_sheet)).where(
+            F.col("_position") <= max_rows
+        )
     rows_of_sheet = F.array_sort(F.collect_list(F.struct("_position", "row_text")))
     header, tail = SHEET_HEADER.split("{sheet}")
     body = F.array_join(F.transform(F.col("_rows"), lambda row: row["row_text"]), ROW_SEPARATOR)

@@ -13,6 +13,7 @@ from attestry.functions.checks import (
     name_length,
     price_in_range,
     supplier_match,
+    usable_price,
 )
 from attestry.operators.ranges import pairs_in_range
 
@@ -144,8 +145,8 @@ def price_summary(docs: DataFrame, items: DataFrame) -> DataFrame:
         _weighted(stored, "ras_id", "original", weight="items"),
     )
     checked = (
-        _weighted(ours.where(F.col("extracted_price") != 0), "ras_id", weight="docs")
-        .join(_weighted(stored.where(F.col("original") > 0), "ras_id", weight="items"), "ras_id")
+        _weighted(ours.where(usable_price("extracted_price").isNotNull()), "ras_id", weight="docs")
+        .join(_weighted(stored.where(usable_price("original") > 0), "ras_id", weight="items"), "ras_id")
         .agg(F.sum(F.col("docs") * F.col("items")).alias("price_checked"))
     )
     suppliers = supplier_pairs(docs, items).agg(

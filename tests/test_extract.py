@@ -109,10 +109,10 @@ def test_extract_documents(spark, inputs, tmp_path):
     assert documents["RAS_1_book.xlsx.json"]["quotation_data"]["canonical_item_name"] == "12345"
     assert documents["RAS_1_q1.pdf.json"]["meta"]["extraction_timestamp"] == at
     assert documents["RAS_1_q1.pdf.json"]["meta"]["ras_id"] == "1"
-    # Six calls: the missing and the unsupported file are never sent; pages are bounded.
+    # Six calls: the missing and the unsupported file are never sent; all pages are.
     calls = notes(log)
     assert len(calls) == 6
-    assert sorted(c[1] for c in calls) == ["1", "2", "2", "2", "2", "6"]
+    assert sorted(c[1] for c in calls) == ["1", "2", "2", "2", "2", "8"]
     assert {tuple(c[2:]) for c in calls} == {("0.1", "3000")}
     totals = summarise_extraction(results).first()
     assert tuple(totals) == (8, 3, 1, 1)
@@ -125,22 +125,45 @@ def test_stored_responses_are_not_asked_again(spark, inputs, tmp_path):
     routed = extract.route_files(inputs)
     requests = extract.build_requests(routed)
     first = requests.where("ras_id = 1")
-    extract.store_responses(first, stored, recorder(str(log)), FAST)
-    assert len(notes(log)) == 3
+    rows = extract.store_responses(first, stored, recorder(str(log)), FAST).collect()
+    failed = sum(r["raw"] is None for r in rows)
+    assert len(notes(log)) == len(rows) == 3
     waves = ExtractOptions(min_interval_s=0.0, waves=3, partitions=2)
     table = extract.store_responses(requests, stored, recorder(str(log)), waves)
-    assert len(notes(log)) == 6
+    assert len(notes(log)) == 6 + failed  # a failed call is made again, an answered one is not
     assert table.schema.simpleString() == RESPONSE.simpleString()
     assert table.count() == table.select("request_id").distinct().count() == 6
 
 
+def test_failed_calls_are_made_again_and_batches_kept_apart(spark, inputs, tmp_path):
+    class Working:
+        def complete(self, system, parts, temperature, max_tokens):
+            return "{}"
+
+    def broken():
+        raise ValueError("no credentials")
+
+    stored = str(tmp_path / "responses")
+    requests = extract.build_requests(extract.route_files(inputs))
+    first = extract.store_responses(requests, stored, broken, FAST).collect()
+    assert {r["error"] for r in first} == {"no credentials"} and len(first) == 6
+    part = requests.where("ras_id = 1")
+    again = extract.store_responses(part, stored, Working, FAST).collect()
+    assert [(r["raw"], r["error"]) for r in again] == [("{}", None)] * 3
+    whole = extract.store_responses(requests, stored, Working, FAST).collect()
+    assert len(whole) == 6 and {r["raw"] for r in whole} == {"{}"}
+    other = requests.withColumn("prompt_version", F.lit("2"))
+    assert len(extract.store_responses(other, stored, broken, FAST).collect()) == 6
+    assert spark.read.parquet(stored).count() == 6 + 3 + 3 + 6
+
+
 def test_partitions_do_not_change_responses(spark, sf_dir):
-    from attestry.catalog import queries
+    import stand_in
 
-    answers = queries.queries()["q21_extract_batch"](spark, sf_dir)
-    requests = queries.extract_requests(spark, sf_dir)
+    answers = stand_in.extract_batch(spark, sf_dir)
+    requests = stand_in.extract_requests(spark, sf_dir)
     one, eight = (
-        extract.call_model(requests, queries.fx.client_factory(), ExtractOptions(min_interval_s=0.0, partitions=n))
+        extract.call_model(requests, stand_in.client_factory(), ExtractOptions(min_interval_s=0.0, partitions=n))
         .select("request_id", "raw", "error", "attempts")
         for n in (1, 8)
     )

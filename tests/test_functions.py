@@ -172,16 +172,19 @@ def test_default_prompt_lists_every_answer_field():
     assert "meta" not in text
 
 
-def test_document_text_is_bounded(evaluate):
+def test_document_text_is_whole_unless_bounded(evaluate):
     template = prompts.PromptTemplate("1", "s", "p", text_header="|")
+    rows = [("é word " * 20_000,), ("ab",)]
     whole = prompts.with_document_text(template, F.lit("p"), "x")
-    assert evaluate([("é" * 12_001,), ("ab",)], "x string", whole) == ["p|" + "é" * 12_000, "p|ab"]
+    assert evaluate(rows, "x string", whole) == ["p|" + "é word " * 20_000, "p|ab"]
+    bounded = prompts.with_document_text(template, F.lit("p"), "x", 12)
+    assert evaluate(rows, "x string", bounded) == ["p|" + ("é word " * 2)[:12], "p|ab"]
 
 
 def test_message_parts(evaluate):
     pages = [bytearray(b"x" * 200)] * 7
     parts = evaluate([(pages,), (None,)], "x array<binary>", prompts.message_parts(F.lit("p"), F.lit("image/png"), "x"))
-    assert [p["type"] for p in parts[0]] == ["text"] + ["image_url"] * 5
+    assert [p["type"] for p in parts[0]] == ["text"] + ["image_url"] * 7
     assert parts[0][1]["url"].startswith("data:image/png;base64,eHh4")
     assert "\n" not in parts[0][1]["url"] and "\r" not in parts[0][1]["url"]
     assert parts[0][1]["detail"] == "high" and parts[0][0]["text"] == "p"
@@ -362,3 +365,10 @@ def test_is_better(evaluate):
     verdict = checks.is_better(F.col("a"), F.col("d"), F.col("b"), F.col("g"))
     rows = [(5, True, 4, False), (5, False, 4, False), (4, True, 4, False), (0, False, 9, True)]
     assert evaluate(rows, "a int, d boolean, b int, g boolean", verdict) == [True, False, False, True]
+
+
+def test_prices_that_are_no_numbers_are_not_checked(evaluate):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1.0, nan), (nan, 1.0), (inf, 1.0), (1.0, inf), (1e308, 1.1e308), (0.0, 1.0), (-inf, 1.0)]
+    found = evaluate(rows, "a double, b double", checks.price_in_range("a", "b"))
+    assert found == [None, None, None, None, True, None, None]

@@ -85,7 +85,9 @@ def test_buckets_keep_empty_ones(objects):
 
 
 def test_coverage_order_is_listing_order(objects):
-    rows = inventory.case_coverage(objects).collect()
+    every = {r["ras_id"] for r in inventory.case_coverage(objects).collect()}
+    rows = inventory.case_coverage(objects, top=10).collect()
+    assert every == {r["ras_id"] for r in rows}
     assert [(r["ras_id"], r["num_files"], r["file_types"]) for r in rows] == [
         ("10", 3, "(no extension), .pdf"),
         ("1", 2, ".png, .xlsx"),
@@ -223,12 +225,22 @@ def test_mark_missing(stored):
 def test_sheet_text_is_bounded_and_ordered(spark):
     rows = [("w", s, f"s{s}", r, f"c{s}-{r}") for s in range(1, 8) for r in range(150, 0, -1) if s != 2]
     frame = spark.createDataFrame(rows, "file string, sheet_no int, sheet string, row_no int, row_text string")
-    row = sheets.sheet_text(frame).first()
+    row = sheets.sheet_text(frame, max_sheets=5, max_rows=100).first()
     parts = row["text"].split("\n\n")
     assert row["num_sheets"] == 4 and row["num_rows"] == 400
     assert parts[0::2] == [f"=== Sheet: s{s} ===" for s in (1, 3, 4, 5)]
     assert parts[1].split("\n") == [f"c1-{r}" for r in range(1, 101)]
 
 
-def test_cells_are_cut(evaluate):
-    assert evaluate([("x" * 60,)], "x string", sheets.bound_cell("x")) == ["x" * 50]
+def test_sheets_are_whole_unless_bounded(spark):
+    frame = spark.range(10_000).selectExpr(
+        "'w' as file", "1 as sheet_no", "'s' as sheet", "cast(id as int) as row_no", "'c' || id as row_text"
+    )
+    row = sheets.sheet_text(frame).first()
+    assert row["num_rows"] == 10_000
+    assert row["text"].split("\n\n")[1].split("\n") == [f"c{i}" for i in range(10_000)]
+
+
+def test_cells_are_cut_on_request(evaluate):
+    assert evaluate([("x" * 60,)], "x string", sheets.bound_cell("x")) == ["x" * 60]
+    assert evaluate([("x" * 60,)], "x string", sheets.bound_cell("x", 50)) == ["x" * 50]

@@ -159,8 +159,10 @@ def test_contents_tables(spark):
         [("a.pdf", n, bytearray(b"%d" % n)) for n in range(9, 0, -1)] + [("b.pdf", 4, bytearray(b"x"))],
         "blob_path string, page_no int, content binary",
     )
-    kept = {r["blob_path"]: [bytes(p) for p in r["pages"]] for r in page_contents(pages).collect()}
+    kept = {r["blob_path"]: [bytes(p) for p in r["pages"]] for r in page_contents(pages, 5).collect()}
     assert kept == {"a.pdf": [b"1", b"2", b"3", b"4", b"5"], "b.pdf": [b"x"]}
+    whole = {r["blob_path"]: len(r["pages"]) for r in page_contents(pages).collect()}
+    assert whole == {"a.pdf": 9, "b.pdf": 1}
     rows = spark.createDataFrame(
         [("w.xlsx", 1, "S", 1, "cell")], "file string, sheet_no int, sheet string, row_no int, row_text string"
     )

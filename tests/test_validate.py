@@ -137,3 +137,11 @@ def test_price_hits_at_the_edges(spark):
     items = spark.createDataFrame([(1, "n", "c", "s", "S", o, 1.0) for o in stored], ITEM)
     expected = sum(abs(e - o) / o < 0.2 for e, o in itertools.product(ours, stored))
     assert validate.price_summary(docs, items).first()["price_hits"] == expected
+
+
+def test_odd_prices_do_not_end_the_summary(spark):
+    from attestry.operators.ranges import pairs_in_range
+
+    prices = [1e308, 1.2e308, float("inf"), float("nan"), 1e-320, 5.0, -3.0]
+    sides = [spark.createDataFrame([(1, p, 1) for p in prices], f"ras_id int, {name} double, {n} bigint") for name, n in (("extracted_price", "docs"), ("original", "items"))]
+    assert pairs_in_range(*sides).first()["hits"] == 6
