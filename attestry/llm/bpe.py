@@ -85,8 +85,9 @@ class State:
 class Transducer:
     """Encodes one pattern match at a time."""
 
-    def __init__(self, ranks: dict[bytes, int]):
+    def __init__(self, ranks: dict[bytes, int], remember: float = 1.0):
         self.ranks = ranks
+        self.remember = remember
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.starts = {token[:i] for token in ranks for i in range(1, len(token))}
         self.made: dict[bytes, list[bytes]] = {}
@@ -115,7 +116,7 @@ class Transducer:
             known = len(right) == 1 or bool(self.halves(right))
             if known and left is not None:
                 known = self.stays_apart(left, right)
-            if len(self.pairs) < MAX_PAIRS:
+            if len(self.pairs) < MAX_PAIRS * self.remember:
                 self.pairs[left, right] = known
         return known
 
@@ -203,7 +204,7 @@ class Transducer:
             arc = state.next.get(byte)
             if arc is None:
                 # Built when met for the second time: most ends of rare words are met once.
-                if i == end or byte not in state.next or len(self.states) >= MAX_STATES:
+                if i == end or byte not in state.next or len(self.states) >= MAX_STATES * self.remember:
                     state.next[byte] = None
                     return ids + self.finish(state, piece[i:])
                 arc = self.step(state, byte)
@@ -223,7 +224,7 @@ class Pieces(dict):
 
     def __missing__(self, piece: str) -> bytes:
         packed = self.transducer.encode(piece.encode())
-        if len(self) < MAX_PIECES and len(piece) <= 64:
+        if len(self) < MAX_PIECES * self.transducer.remember and len(piece) <= 64:
             self[piece] = packed
         return packed
 
@@ -259,7 +260,7 @@ class Chunks(dict):
 
     def prepare(self, texts: list[str]) -> None:
         """Encode the new chunks of these texts in order, so that neighbours share their states."""
-        if len(self) > MAX_CHUNKS:
+        if len(self) > MAX_CHUNKS * self.pieces.transducer.remember:
             self.clear()
         new = set()
         for text in texts:
@@ -331,12 +332,12 @@ def decode_ids(ids: Iterable[int], tokens, errors: str = "strict") -> Iterator[t
         yield b"", tail
 
 
-def machinery(rank_lines: bytes, pattern: str) -> tuple[Chunks, dict[int, bytes]]:
+def machinery(rank_lines: bytes, pattern: str, remember: float = 1.0) -> tuple[Chunks, dict[int, bytes]]:
     """The encoder of a rank file, and the bytes of each id."""
     import regex
 
     ranks = parse_ranks(rank_lines)
-    chunks = Chunks(Pieces(Transducer(ranks)), regex.compile(pattern))
+    chunks = Chunks(Pieces(Transducer(ranks, remember)), regex.compile(pattern))
     return chunks, {rank: token for token, rank in ranks.items()}
 
 
@@ -347,12 +348,14 @@ def encode_decode(
     key: str = "doc_id",
     text: str = "text",
     outputs: tuple[str, ...] = ("n_tokens", "ids", "decoded"),
+    remember: float = 1.0,
 ) -> DataFrame:
     """``key`` and the wanted ``outputs`` (see ``OUTPUTS``) for every document.
 
     ``ids`` and ``decoded`` are the real results; the digests are over the ids as
     little-endian unsigned 32-bit numbers and over the decoded bytes. ``rank_file``
-    is read by the driver and broadcast: a vocabulary, under a few MB.
+    is read by the driver and broadcast: a vocabulary, under a few MB. ``remember``
+    scales what a worker remembers: less memory, more time, the same result.
     """
     spark = documents.sparkSession
     with open(rank_file, "rb") as file:
@@ -371,8 +374,8 @@ def encode_decode(
         import pyarrow as pa
 
         gc.disable()  # the memory below is many small objects without cycles
-        name = f"bpe {hashlib.sha256(content.value).hexdigest()} {pattern}"
-        chunks, tokens = worker_memory(name, lambda: machinery(content.value, pattern))
+        name = f"bpe {hashlib.sha256(content.value).hexdigest()} {pattern} {remember}"
+        chunks, tokens = worker_memory(name, lambda: machinery(content.value, pattern, remember))
         decoding = "decoded" in wanted or "decoded_sha256" in wanted
         for batch in batches:
             for start in range(0, batch.num_rows, 512):

@@ -43,7 +43,10 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokenised(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document's text, with digests of the ids and of what they decode to."""
     return bpe.encode_decode(
-        docs, *vocabulary(), outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+        docs,
+        *vocabulary(),
+        outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"),
+        remember=0.25,  # the executors still hold what earlier stages left
     )
 
 
