@@ -20,8 +20,11 @@ first compared with one hub, the member that needs the shortest prefix; componen
 of these links are formed. Only buckets whose members are not yet of one component
 are looked at again, in blocks against blocks: pairs of different components whose
 sizes, prefixes and sketches (numbers of shingles by hash bin, whose differences
-cannot exceed those of the sets) allow a link come out of a block, no others. So no
-bucket's pairs are emitted, and no link that could join components is lost.
+cannot exceed those of the sets) allow a link. Of these, each pair of blocks first
+gives a spanning forest, the nearest sketches before others; these are verified and
+the components formed anew. Where the forest left pairs out, those of them that are
+still between different components come out in a second pass. So no bucket's pairs
+are emitted, and no link that could join components is lost.
 
 Cases: null or empty text, or text without words, has no shingles and no links; a
 text of fewer than ``n`` words is one shingle; equal texts are linked; repeated rows
@@ -172,15 +175,49 @@ def sketch(shingles) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def across_blocks(batches, percent: int):
-    """Rows (pair, side, set_id, size, need, root, hub, sketch) sorted by pair -> possible pairs."""
+def spanning(left, right, weight):
+    """Places of pairs that connect all that the pairs connect, the lightest ones first.
+
+    Each round takes the lightest pair that leaves each component and joins the two.
+    """
+    import numpy as np
+
+    names, ends = np.unique(np.concatenate([left, right]), return_inverse=True)
+    u, v = ends[: len(left)], ends[len(left) :]
+    order = np.argsort(weight, kind="stable")
+    label, chosen = np.arange(len(names)), []
+    while True:
+        order = order[label[u[order]] != label[v[order]]]
+        if not len(order):
+            return np.unique(np.concatenate(chosen)) if chosen else order
+        _, first = np.unique(np.concatenate([label[u[order]], label[v[order]]]), return_index=True)
+        taken = np.unique(order[first % len(order)])
+        chosen.append(taken)
+        x, y = u[taken], v[taken]
+        while (label[x] != label[y]).any():
+            # Hang the larger of two labels on the smaller one, then follow the labels to their ends.
+            a, b = label[x], label[y]
+            to = np.arange(len(names))
+            np.minimum.at(to, np.maximum(a, b), np.minimum(a, b))
+            while (to[to] != to).any():
+                to = to[to]
+            label = to[label]
+
+
+def across_blocks(batches, percent: int, forest: bool):
+    """Rows (pair, side, set_id, size, need, root, hub, sketch, key) sorted by pair -> possible pairs.
+
+    With ``forest``, only pairs that connect what the possible ones of a block pair
+    connect, and a row with the key alone where others are left out.
+    """
     import numpy as np
     import pyarrow as pa
 
     for batch in whole_groups(batches):
         keys, side, ids, size, need, root, hub = (batch.column(i).to_numpy() for i in range(7))
         bins = np.frombuffer(b"".join(batch.column(7).to_pylist()), dtype=np.uint8).reshape(-1, BINS)
-        out = ([], [])
+        bucket = batch.column(8).to_numpy()
+        out, again = [], []
         for start, end in runs(keys):
             part = np.arange(start, end)
             left, right = part[side[start:end] != 1], part[side[start:end] != 0]
@@ -193,18 +230,32 @@ def across_blocks(batches, percent: int):
             good &= possible(size[a], size[b], need[a], need[b], percent)
             i, j = np.nonzero(good)
             i, j = left[i], right[j]
+            found = ([], [], [])
             for at in range(0, len(i), 1 << 16):
                 x, y = i[at : at + (1 << 16)], j[at : at + (1 << 16)]
                 apart = (np.maximum(bins[x], bins[y]) - np.minimum(bins[x], bins[y])).sum(axis=1)
                 # size_a + size_b - 2 * overlap, with the least overlap of similar sets
                 most = (size[x] + size[y]) * (100 - percent) / (100 + percent)
                 near = apart <= most + 1e-6
-                x, y = ids[x[near]], ids[y[near]]
-                out[0].append(np.minimum(x, y))
-                out[1].append(np.maximum(x, y))
-        if out[0]:
-            pairs = np.unique(np.stack([np.concatenate(o) for o in out]), axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(p) for p in pairs], names=["a", "b"])
+                for column, item in zip(found, (x[near], y[near], (apart / most.clip(1e-6))[near])):
+                    column.append(item)
+            if not found[0]:
+                continue
+            x, y, weight = map(np.concatenate, found)
+            if forest and len(x) > 1:
+                few = spanning(root[x], root[y], weight)
+                if len(few) < len(x):
+                    again.append(bucket[start])
+                x, y = x[few], y[few]
+            out.append(np.stack([np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])]))
+        if out:
+            pairs = np.unique(np.concatenate(out, axis=1), axis=1)
+            nulls = pa.nulls(pairs.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([*map(pa.array, pairs), nulls], names=["a", "b", "again"])
+        if again:
+            again = np.unique(again)
+            nulls = pa.nulls(len(again), pa.int64())
+            yield pa.RecordBatch.from_arrays([nulls, nulls, pa.array(again)], names=["a", "b", "again"])
 
 
 def shingle_sets(documents: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
@@ -317,6 +368,40 @@ def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFr
     return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
 
 
+def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with their root, of buckets that hold different ones."""
+    rooted = members.join(roots.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
+        "root", F.coalesce("root", "set_id")
+    )
+    keys = (
+        rooted.groupBy("key")
+        .agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
+        .where("_least < _most")
+        .select("key")
+    )
+    return rooted.join(keys, "key")
+
+
+def block_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """``across_blocks`` of all buckets, dealt by pairs of blocks."""
+    return (
+        in_block_pairs(members, "key", "set_id", BLOCK)
+        .select(
+            "pair", "side", "set_id", F.col("size").cast("bigint"), F.col("need").cast("bigint"),
+            "root", "hub", "sketch", "key",
+        )
+        .repartition(partitions(members.sparkSession), "pair")
+        .sortWithinPartitions("pair")
+        .mapInArrow(
+            partial(across_blocks, percent=percent, forest=forest), "a bigint, b bigint, again bigint"
+        )
+    )
+
+
+def pairs_of(found: DataFrame) -> DataFrame:
+    return found.where("a is not null").select("a", "b").distinct()
+
+
 def components(
     documents: DataFrame,
     key: str = "doc_id",
@@ -382,28 +467,18 @@ def components(
     hub_links = stored(verified(by_hub, texts, n, percent), "links")
     first = stored(connected(hub_links), "roots")
 
-    # Buckets that still hold members of different components.
-    rooted = members.join(first.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn(
-        "root", F.coalesce("root", "set_id")
-    )
-    open_ = (
-        rooted.groupBy("key")
-        .agg(F.min("root").alias("_least"), F.max("root").alias("_most"))
-        .where("_least < _most")
-        .select("key")
-    )
+    # Buckets that still hold members of different components: first the pairs that suffice
+    # to connect what may be near, then, where pairs were left out, all that are still open.
     sketches = signed.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
-    left = stored(rooted.join(open_, "key").join(sketches, "set_id"), "open")
-    across = (
-        in_block_pairs(left, "key", "set_id", BLOCK)
-        .select("pair", "side", "set_id", F.col("size").cast("bigint"), F.col("need").cast("bigint"), "root", "hub", "sketch")
-        .repartition(partitions(documents.sparkSession), "pair")
-        .sortWithinPartitions("pair")
-        .mapInArrow(partial(across_blocks, percent=percent), "a bigint, b bigint")
-        .distinct()
-    )
-    more = stored(verified(across, texts, n, percent), "links")
-    roots = connected(hub_links.unionByName(more)).withColumnRenamed("node", "set_id")
+    open_ = stored(still_open(members, first).join(sketches, "set_id"), "open")
+    tried = stored(block_pairs(open_, percent, forest=True), "tried")
+    links = hub_links.unionByName(stored(verified(pairs_of(tried), texts, n, percent), "links"))
+    second = stored(connected(links), "roots")
+    again = tried.select(F.col("again").alias("key")).where("key is not null").distinct()
+    left = still_open(open_.drop("root").join(again, "key", "left_semi"), second)
+    rest = pairs_of(block_pairs(left, percent, forest=False))
+    more = stored(verified(rest, texts, n, percent), "links")
+    roots = connected(links.unionByName(more)).withColumnRenamed("node", "set_id")
 
     placed = sets.select(key, "n_shingles", "set_id").join(roots, "set_id", "left")
     root = F.when(F.col("n_shingles") > 0, F.coalesce("root", "set_id"))
