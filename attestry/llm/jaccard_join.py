@@ -433,6 +433,9 @@ def components(
     rows = signed.select(
         "set_id", "size", F.explode(F.arrays_zip("keys", "needs")).alias("s")
     ).select(F.col("s.keys").alias("key"), "set_id", "size", F.col("s.needs").alias("need"))
+    # Most signatures occur once: only what is left without them is carried further.
+    repeated = rows.groupBy("key").count().where("count > 1").select("key")
+    rows = stored(rows.join(repeated, "key", "left_semi").distinct(), "shared")
     # The hub of a bucket needs the shortest prefix to be in it.
     rank = F.col("need").cast("bigint") * (1 << 40) + F.pmod(F.col("set_id"), F.lit(1 << 40))
     buckets = (
