@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 # Rows that one window partition of ``numbered`` is meant to hold.
 BLOCK_ROWS = 65_536
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,11 +31,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """``frame`` written as Parquet to the shared folder and read back.
 
     This cuts the lineage: what follows rereads files that every executor sees,
-    and random or physical choices made before are fixed from here on.
+    and random or physical choices made before are fixed from here on. The shuffle
+    files of the write go when it has ended, as nothing reads them again.
     """
     spark = frame.sparkSession
     path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(frame.schema).parquet(path)
 
 
