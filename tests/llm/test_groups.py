@@ -143,3 +143,29 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
 def test_near_vectors_of_an_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert near_vectors.near_duplicates(frame).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_spanning_pairs_connect_what_all_pairs_connect(seed):
+    from attestry.llm.jaccard_join import spanning
+
+    rng = np.random.default_rng(seed)
+    left, right = rng.integers(0, 60, (2, 80))
+    apart = left != right
+    left, right, weight = left[apart], right[apart], rng.integers(0, 4, apart.sum())
+
+    def roots(places):
+        root = {int(x): int(x) for x in np.concatenate([left, right])}
+        changed = True
+        while changed:
+            changed = False
+            for i in places:
+                least = min(root[int(left[i])], root[int(right[i])])
+                for x in (int(left[i]), int(right[i])):
+                    changed |= root[x] != least
+                    root[x] = least
+        return root
+
+    few = spanning(left, right, weight)
+    assert roots(few) == roots(range(len(left)))
+    assert len(few) < len(left)
