@@ -48,7 +48,9 @@ PERCENT = 85
 # MAX_FREQUENT are told to all tasks. Both only steer the order, not the result.
 FREQUENT = 4
 MAX_FREQUENT = 262_144
-MAX_WORDS = 300_000
+MAX_SEEN = 300_000
+# Bytes of text that are hashed at a time.
+PIECE = 1 << 15
 # Bins of the sketch that bounds how much two sets differ, and rows of a block.
 BINS = 256
 BLOCK = 512
@@ -65,38 +67,95 @@ def mix(x):
     return x ^ (x >> np.uint64(31))
 
 
+class Words:
+    """64-bit hashes of the words of a text, in order.
+
+    A word is a polynomial in its bytes, each of which stands for a fixed random number,
+    blanks for zero: one sum over a piece of text gives the hashes of all words in it.
+    Pieces end at blanks; words of PIECE bytes and more are hashed by themselves.
+    """
+
+    def __init__(self):
+        import re
+
+        import numpy as np
+
+        self.blank = re.compile(rb"[\x09-\x0D\x20]")
+        kinds = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8).astype(np.uint64)
+        self.letters = mix(mix((kinds + np.uint64(1)) * np.uint64(FACTORS[0])) + np.uint64(FACTORS[1]))
+        self.inside = np.ones(256, dtype=np.int8)
+        for code in (*range(0x09, 0x0E), 0x20):
+            self.letters[code], self.inside[code] = 0, 0
+        base = FACTORS[2] | 3
+        self.powers = self._powers(base)
+        self.inverse = self._powers(pow(base, -1, 1 << 64))
+
+    @staticmethod
+    def _powers(base: int):
+        import numpy as np
+
+        factors = np.full(2 * PIECE, base, dtype=np.uint64)
+        factors[0] = 1
+        return np.multiply.accumulate(factors)
+
+    def _piece(self, raw: bytes):
+        import numpy as np
+
+        codes = np.frombuffer(raw, dtype=np.uint8)
+        inside = self.inside[codes]
+        starts = np.flatnonzero(np.diff(inside, prepend=np.int8(0)) > 0)
+        if not len(starts):
+            return np.empty(0, dtype=np.uint64)
+        terms = self.letters[codes] * self.powers[: len(codes)]
+        return np.add.reduceat(terms, starts) * self.inverse[starts]
+
+    def __call__(self, text: str | None):
+        import numpy as np
+        import xxhash
+
+        raw = text.encode() if text else b""
+        if len(raw) < PIECE:
+            return self._piece(raw)
+        found, at = [], 0
+        while at < len(raw):
+            cut = self.blank.search(raw, at + PIECE)
+            end = cut.start() if cut else len(raw)
+            # Only the last word of a piece can be so long.
+            last = end - len(b"".join(raw[at:end].rsplit(None, 1)[-1:]))
+            if end - last >= PIECE:
+                found.append(self._piece(raw[at:last]))
+                whole = xxhash.xxh3_64_intdigest(raw[last:end].lower())
+                found.append(np.array([whole], dtype=np.uint64))
+            else:
+                found.append(self._piece(raw[at:end]))
+            at = end
+        return np.concatenate(found)
+
+
 class Shingles:
     """Sorted distinct shingle hashes of a text."""
 
     def __init__(self, n: int):
-        import xxhash
-
-        class Words(dict):
-            def __missing__(self, word):
-                value = xxhash.xxh3_64_intdigest(word)
-                if len(self) < MAX_WORDS:
-                    self[word] = value
-                return value
+        import numpy as np
 
-        self.n = n
-        self.lookup = Words().__getitem__
+        self.n, self.words = n, Words()
+        # An odd factor of its own for each place: the order of words counts.
+        self.factors = mix(np.arange(1, n + 1, dtype=np.uint64) * np.uint64(FACTORS[0])) | np.uint64(1)
 
     def __call__(self, text: str | None):
         import numpy as np
 
-        # bytes.lower and bytes.split know the letters A-Z and the blanks of ASCII only.
-        words = text.encode().lower().split() if text else []
-        hashes = np.fromiter(map(self.lookup, words), dtype=np.uint64, count=len(words))
+        hashes = self.words(text)
         n, count = self.n, len(hashes)
         if not count:
             return hashes
         width = min(n, count)
         total = np.full(max(1, count - n + 1), width, dtype=np.uint64)
+        hashes = mix(hashes)
         for i in range(width):
-            # A factor of its own for each place: the order of words counts.
-            factor = FACTORS[i % len(FACTORS)] + 2 * (i // len(FACTORS))
-            total += mix(hashes[i : i + len(total)] * np.uint64(factor))
-        return np.unique(mix(total))
+            total += hashes[i : i + len(total)] * self.factors[i]
+        total = np.sort(mix(total))
+        return total[np.r_[True, total[1:] != total[:-1]]]
 
 
 def losses(size: int, percent: int) -> int:
@@ -308,7 +367,7 @@ def set_signatures(documents: DataFrame, text: str, n: int, percent: int, freque
                 name = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
                 if name in seen:
                     continue
-                if len(seen) < MAX_WORDS:
+                if len(seen) < MAX_SEEN:
                     seen.add(name)
                 keys, needs = signatures(own, ranks, common, percent)
                 if keys:

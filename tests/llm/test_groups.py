@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import random
 
 import numpy as np
@@ -169,3 +170,27 @@ def test_spanning_pairs_connect_what_all_pairs_connect(seed):
     few = spanning(left, right, weight)
     assert roots(few) == roots(range(len(left)))
     assert len(few) < len(left)
+
+
+def test_word_hashes_do_not_depend_on_pieces():
+    """Words are the same wherever they stand, also at the ends of pieces and beyond them."""
+    long = jaccard_join.PIECE
+    texts = [
+        "", " \t\n", "a", "A a", "a\x0bb\x1cc", "é É ß", "x" * (long - 1), "x" * long, "x" * long + " y",
+        "y " + "X" * long, "y " * 20000 + "x" * long + " y y z", " " * (3 * long), " " * long + "z",
+        "x" * (long - 1) + " " + "x" * (long - 1) + " b c", ("é" * 3 * long + " ") * 2 + "z",
+    ]
+    words, names = jaccard_join.Words(), {}
+    for text in texts:
+        expected = text.encode().lower().split()
+        hashes = words(text).tolist()
+        assert len(hashes) == len(expected)
+        for word, value in zip(expected, hashes):
+            assert names.setdefault(word, value) == value
+    assert len(set(names.values())) == len(names)
+
+
+def test_places_of_words_count():
+    shingles = jaccard_join.Shingles(8)
+    made = {tuple(shingles(" ".join(words)).tolist()) for words in itertools.product("ab", repeat=8)}
+    assert len(made) == 2**8
