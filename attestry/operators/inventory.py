@@ -57,15 +57,18 @@ def file_types(objects: DataFrame, *extra: Column) -> DataFrame:
         .agg(F.count("*").alias("num_files"), F.sum("size").alias("total_bytes"), *extra)
     )
     total = _one_row_total(groups, "num_files")
+    # Bound by a one-element explode: as a plain column it would be copied to every use.
     return (
-        groups.withColumn("avg_bytes", F.col("total_bytes") / F.col("num_files"))
+        groups.withColumn("_total", F.explode(F.array(total)))
+        .withColumn("avg_bytes", F.col("total_bytes") / F.col("num_files"))
         .withColumns(
             {
-                "pct": percentage("num_files", total),
+                "pct": percentage("num_files", "_total"),
                 "total_size": format_size("total_bytes"),
                 "avg_size": format_size("avg_bytes"),
             }
         )
+        .drop("_total")
     )
 
 
