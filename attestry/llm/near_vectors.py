@@ -8,9 +8,12 @@ are the links.
 
 Lists full of links may hide more of them. First such lists are enlarged and
 refined again. What is still full then lies in a dense group: groups are the
-components of all edges above a looser threshold, and those with full lists are
-counted exactly in blocks of vectors against blocks, by matrix products. A block
-pair gives counts and a spanning forest of its links, never its pairs.
+components of all edges above a looser threshold. A link missing from the lists of
+both its ends has two full ends, so it lies within a dense group or between two of
+them. Dense groups are cut into cells of near vectors, each with a centre and the
+largest angle to it; all pairs of cells that these bounds allow a link are compared
+exactly by matrix products, of one group or of two. A pair of cells gives counts and
+a spanning forest of its links, never its pairs.
 
 Recall is audited: a bounded probe of vectors is compared with all others, and the
 rounds go on with longer lists while the share of found links is below the target.
@@ -43,6 +46,8 @@ SETTLED = 0.01  # share of list places that may still change
 PROBES = 256
 RECALL = 0.98
 BLOCK = 128
+CELLS = 512  # centres of cells that one task compares with as many
+SLACK = 1e-6  # of angles, far above their rounding
 SEED = 97
 
 EDGE = "u bigint, v bigint, sim double"
@@ -267,7 +272,7 @@ def block_pairs(batches, threshold: float):
             out[0].append(ids[left])
             out[1].append(forest(near, ids[left], ids[right]))
             out[2].append(near @ weight[right])
-            if side[start] != 2:  # two different blocks: the other way too
+            if side[start] != 2:  # two different cells: the other way too
                 out[0].append(ids[right])
                 out[1].append(ids[right])
                 out[2].append(near.T @ weight[left])
@@ -276,9 +281,9 @@ def block_pairs(batches, threshold: float):
                 out[1].append(rows)
                 out[2].append(np.zeros(len(right), dtype=np.int64))
         if out[0]:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(o).astype(np.int64)) for o in out], names=["u", "v", "n"]
-            )
+            u, v, n = (np.concatenate(o).astype(np.int64) for o in out)
+            kept = (n > 0) | (u != v)  # most pairs of cells hold no link
+            yield pa.RecordBatch.from_arrays([pa.array(c[kept]) for c in (u, v, n)], names=["u", "v", "n"])
 
 
 def forest(near, left, right, of_right: bool = False):
@@ -297,14 +302,110 @@ def forest(near, left, right, of_right: bool = False):
         a, b = new_a, new_b
 
 
+def celled(nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cell, id, weight, x): groups cut by hyperplanes into cells of about BLOCK near vectors."""
+
+    def sides(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        planes = {}
+        for batch in batches:
+            ids, bits, xs = batch.column(0), batch.column(1).to_numpy(), batch.column(2).to_pylist()
+            sizes = np.array([len(x) for x in xs])
+            codes = np.zeros(len(xs), dtype=np.int64)
+            for size in np.unique(sizes):
+                rows = np.flatnonzero(sizes == size)
+                if size not in planes:
+                    random = np.random.default_rng([SEED + 1, int(size)])
+                    planes[size] = random.standard_normal((int(size) // 8, 30))
+                above = (matrix([xs[r] for r in rows], 0, len(rows)) @ planes[size]) > 0
+                used = np.arange(30)[None, :] < bits[rows][:, None]
+                codes[rows] = ((above & used) << np.arange(30, dtype=np.int64)).sum(axis=1) + (int(size) << 30)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(codes)], names=["id", "code"])
+
+    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("_n"))
+    bits = F.least(F.greatest(F.ceil(F.log2(F.col("_n") / BLOCK)), F.lit(0)), F.lit(30)).cast("int")
+    dealt = groups.join(sizes, "grp").select("id", "grp", bits.alias("bits"))
+    coded = dealt.join(nodes, "id").select("id", "bits", "x").mapInArrow(sides, "id bigint, code bigint")
+    coded = stored(coded.join(groups, "id"), "cells")
+    counts = coded.groupBy("grp", "code").agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.pmod(F.xxhash64("id", F.lit(31)), F.ceil(F.col("_n") / BLOCK))
+    named = coded.join(counts, ["grp", "code"]).select(F.xxhash64("grp", "code", cut).alias("cell"), "id")
+    return named.join(nodes, "id").select("cell", "id", "weight", "x")
+
+
+def cell_bounds(batches):
+    """Rows (cell, x), sorted by cell -> a centre of each cell and the largest angle to it."""
+    import numpy as np
+    import pyarrow as pa
+
+    for batch in whole_groups(batches):
+        vectors, out = batch.column(1).to_pylist(), ([], [], [], [])
+        keys = batch.column(0).to_numpy()
+        for start, end in runs(keys):
+            x = matrix(vectors, start, end)
+            centre = x.sum(axis=0)
+            length = float(np.sqrt(centre @ centre))
+            centre = centre / length if length > 1e-9 else x[0]
+            out[0].append(int(keys[start]))
+            out[1].append(len(vectors[start]))
+            out[2].append(float(np.arccos(np.clip(x @ centre, -1.0, 1.0)).max()))
+            out[3].append(centre.tobytes())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2]), pa.array(out[3], pa.binary())],
+            names=["cell", "size", "angle", "centre"],
+        )
+
+
+def possible_pairs(batches, threshold: float):
+    """Rows (pair, side, cell, angle, centre), sorted by pair -> cells that may hold a link."""
+    import numpy as np
+    import pyarrow as pa
+
+    reach = float(np.arccos(np.clip(threshold, -1.0, 1.0))) + SLACK
+    for batch in whole_groups(batches):
+        keys, side = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        cells, angles = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+        centres, out = batch.column(4).to_pylist(), ([], [])
+        for start, end in runs(keys):
+            part = np.arange(start, end)
+            left, right = part[side[start:end] != 1], part[side[start:end] != 0]
+            if not len(left) or not len(right):
+                continue
+            a = matrix([centres[i] for i in left], 0, len(left))
+            b = matrix([centres[i] for i in right], 0, len(right))
+            apart = np.arccos(np.clip(a @ b.T, -1.0, 1.0))
+            near = apart <= angles[left][:, None] + angles[right][None, :] + reach
+            if side[start] == 2:
+                near &= cells[left][:, None] < cells[right][None, :]
+            i, j = np.nonzero(near)
+            out[0].append(cells[left][i])
+            out[1].append(cells[right][j])
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(o)) for o in out], names=["a", "b"])
+
+
 def dense_links(nodes: DataFrame, groups: DataFrame, threshold: float) -> DataFrame:
-    """(u, v, n): links within groups, in blocks: counts n, and edges u-v that span them.
+    """(u, v, n): links among all vectors of groups: counts n, and edges u-v that span them.
 
-    ``groups`` are (id, grp). Sums of n by u are exact numbers of links.
+    ``groups`` are (id, grp). Sums of n by u are exact numbers of links, within the
+    groups and between them: two cells are left out only where the angle between
+    their centres proves that they hold no link.
     """
-    dealt = in_block_pairs(groups, "grp", "id", BLOCK).join(nodes, "id")
-    dealt = dealt.select("pair", "side", "id", "weight", "x")
-    dealt = dealt.repartition(partitions(nodes.sparkSession), "pair").sortWithinPartitions("pair")
+    parts = partitions(nodes.sparkSession)
+    cells = stored(celled(nodes, groups), "cells")
+    bounds = cells.select("cell", "x").repartition(parts, "cell").sortWithinPartitions("cell")
+    bounds = stored(bounds.mapInArrow(cell_bounds, "cell bigint, size int, angle double, centre binary"), "bounds")
+    met = in_block_pairs(bounds, "size", "cell", CELLS).select("pair", "side", "cell", "angle", "centre")
+    met = met.repartition(parts, "pair").sortWithinPartitions("pair")
+    pairs = met.mapInArrow(partial(possible_pairs, threshold=threshold), "a bigint, b bigint")
+    pairs = pairs.unionByName(bounds.select(F.col("cell").alias("a"), F.col("cell").alias("b")))
+    side = F.when(F.col("a") == F.col("b"), F.array(F.lit(2))).otherwise(F.array(F.lit(0), F.lit(1)))
+    sent = pairs.select("a", "b", F.xxhash64("a", "b").alias("pair"), F.explode(side).alias("side"))
+    sent = sent.select("pair", "side", F.when(F.col("side") == 1, F.col("b")).otherwise(F.col("a")).alias("cell"))
+    dealt = sent.join(cells, "cell").select("pair", "side", "id", "weight", "x")
+    dealt = dealt.repartition(parts, "pair").sortWithinPartitions("pair")
     return dealt.mapInArrow(partial(block_pairs, threshold=threshold), "u bigint, v bigint, n bigint")
 
 

@@ -141,6 +141,34 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert all(found[i]["kept"] == (expected[i] == i) for i in range(len(rows)))
 
 
+def _linked(x):
+    near = x @ x.T >= 0.9
+    np.fill_diagonal(near, False)
+    return near.sum(axis=1).tolist(), _roots(len(x), list(zip(*np.nonzero(near))))
+
+
+def _two_groups():
+    """Two groups with more near members each than a list holds, and all links across."""
+    draw = np.random.default_rng(3)
+    axes = np.linalg.qr(draw.standard_normal((32, 32)))[0]
+    turn = 0.37
+    centers = [axes[0], np.cos(turn) * axes[0] + np.sin(turn) * axes[1]]
+    x = np.concatenate([c + 0.01 * draw.standard_normal((30, 32)) for c in centers])
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+@pytest.mark.parametrize("block", [8, 128])
+def test_links_between_dense_groups_count(spark, monkeypatch, block):
+    monkeypatch.setattr(near_vectors, "BLOCK", block)
+    x = _two_groups()
+    counts, roots = _linked(x)
+    assert (x[:30] @ x[30:].T).min() >= 0.9 and set(counts) == {59}
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = {r["vec_id"]: r for r in near_vectors.near_duplicates(frame).collect()}
+    assert [found[i]["n_links"] for i in range(len(x))] == counts
+    assert [found[i]["component_id"] for i in range(len(x))] == roots
+
+
 def test_near_vectors_of_an_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert near_vectors.near_duplicates(frame).count() == 0
