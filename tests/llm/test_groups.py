@@ -169,6 +169,33 @@ def test_links_between_dense_groups_count(spark, monkeypatch, block):
     assert [found[i]["component_id"] for i in range(len(x))] == roots
 
 
+def test_audit_goes_on_and_reports(spark, monkeypatch):
+    """Links of short lists that two descents lose beside a hot group come back; a missed target raises."""
+    draw = np.random.default_rng(4)
+    hot = draw.standard_normal(16) + 0.02 * draw.standard_normal((25, 16))
+    some = draw.standard_normal((20, 16))
+    x = np.concatenate([hot, some, some + 0.02 * draw.standard_normal((20, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    descend, calls = near_vectors.descend, []
+
+    def losing(nodes, lists, limit, count, *rest):
+        calls.append(limit)
+        made = descend(nodes, lists, limit, count, *rest)
+        many = made.where("sim >= 0.9").groupBy("u").count().where("count >= 10").select("u")
+        return made.join(many, "u", "left_semi") if len(calls) < 3 else made
+
+    monkeypatch.setattr(near_vectors, "descend", losing)
+    found = {r["vec_id"]: r for r in near_vectors.near_duplicates(frame).collect()}
+    counts, roots = _linked(x)
+    assert [found[i]["n_links"] for i in range(len(x))] == counts
+    assert [found[i]["component_id"] for i in range(len(x))] == roots
+    monkeypatch.setattr(near_vectors, "AUDITS", 1)
+    calls.clear()
+    with pytest.raises(RuntimeError, match="recall"):
+        near_vectors.near_duplicates(frame)
+
+
 def test_near_vectors_of_an_empty_table(spark):
     frame = spark.createDataFrame([], "vec_id bigint, embedding array<float>")
     assert near_vectors.near_duplicates(frame).count() == 0
