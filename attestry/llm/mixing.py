@@ -112,6 +112,17 @@ def words(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^ \t\n\x0B\f\r]+")), F.lit(0)).cast("bigint")
 
 
+def quota(n: int, weight: float, budget: float, target: Target) -> int:
+    """Tokens of a source with ``n``; without a given budget never below one whole pass.
+
+    Doubles are too coarse for that: the source that fixes the budget gets exactly ``n``.
+    """
+    share = floor(weight * budget + 1e-6)
+    if target.budget is not None:
+        return share
+    return n if weight and n / weight == budget else max(share, n)
+
+
 def plan(counted: DataFrame, target: Target) -> list[tuple]:
     """(source, tokens, weight, quota) of every source, from one row each."""
     rows = counted.orderBy("source").limit(MAX_SOURCES + 1).collect()
@@ -120,9 +131,7 @@ def plan(counted: DataFrame, target: Target) -> list[tuple]:
     tokens = [row["tokens"] for row in rows]
     weights = tempered(tokens, solve(tokens, target))
     budget = budget_of(tokens, weights, target)
-    return [
-        (row["source"], n, w, floor(w * budget + 1e-6)) for row, n, w in zip(rows, tokens, weights)
-    ]
+    return [(row["source"], n, w, quota(n, w, budget, target)) for row, n, w in zip(rows, tokens, weights)]
 
 
 def mix(

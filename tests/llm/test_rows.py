@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 from collections import Counter
 
@@ -248,3 +249,16 @@ def test_queries_are_registered():
     names = list(entry_module.queries())
     assert "pipeline" in names
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+
+
+def test_no_source_is_cut_by_rounding_without_a_budget():
+    """Quotas hold a whole pass of every source also where a double is coarser than a token."""
+    draw = random.Random(6)
+    for _ in range(3000):
+        tokens = [draw.randrange(1, 1 << draw.randint(30, 55)) for _ in range(draw.randint(1, 6))]
+        target = mixing.Target(entropy=0.97, repeats=2.0)
+        weights = mixing.tempered(tokens, draw.random())
+        budget = mixing.budget_of(tokens, weights, target)
+        quotas = [mixing.quota(n, w, budget, target) for n, w in zip(tokens, weights)]
+        assert all(q >= n for q, n in zip(quotas, tokens))
+        assert any(q == n for q, n in zip(quotas, tokens))
