@@ -11,6 +11,7 @@ from attestry.llm import (
     bpe,
     chat,
     edit_embedding,
+    hard_negatives,
     jaccard_join,
     language,
     mixing,
@@ -112,6 +113,13 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("bigint")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    given = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.mine(given)
+
+
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -125,6 +133,7 @@ _QUERIES: dict[str, Query] = {
         op8_edit_fingerprints,
         op9_language_id,
         op10_byte_bpe,
+        op11_hard_negatives,
     )
 }
 
@@ -161,5 +170,30 @@ from level group by conv_id
 """
 
 
+_OP11 = """
+with given as (
+  select vec_id, case when vec_id % 7 = 0 then (label::bigint + 1) % 10 else label end as label,
+    list_transform(embedding, lambda x: floor(256 * x::double)) as q
+  from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+    list_inner_product(a.q, b.q)::bigint as score
+  from given a join given b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+), positive as (
+  select anchor_id, other_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5
+), negative as (
+  select p.*, s.other_id as negative_id, s.score as negative_score,
+    row_number() over (partition by anchor_id, positive_id order by s.score desc, s.other_id) as rank
+  from positive p join scored s using (anchor_id)
+  where not s.same and 30 * positive_score <= 100 * s.score and 100 * s.score <= 90 * positive_score
+)
+select anchor_id, positive_id, rank::integer as rank, negative_id, positive_score, negative_score
+from negative where rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_formatting": _OP5}
+    return {"op5_chat_formatting": _OP5, "op11_hard_negatives": _OP11}
