@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from attestry.llm import (
     bpe,
     chat,
+    collocations,
     edit_embedding,
     hard_negatives,
     jaccard_join,
@@ -17,6 +18,7 @@ from attestry.llm import (
     mixing,
     near_vectors,
     sharding,
+    suffix_dedup,
     unigram,
     urls,
 )
@@ -120,6 +122,14 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(given)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 _QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -134,6 +144,8 @@ _QUERIES: dict[str, Query] = {
         op9_language_id,
         op10_byte_bpe,
         op11_hard_negatives,
+        op12_suffix_dedup,
+        op13_collocations,
     )
 }
 
@@ -194,6 +206,80 @@ select anchor_id, positive_id, rank::integer as rank, negative_id, positive_scor
 from negative where rank <= 10
 """
 
+_OP12 = """
+with given as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), doc as (
+  select *, length(h) // 2 as n, row_number() over (order by doc_id nulls last, sha256(unhex(h))) as d from given
+), parts as (
+  select d, 1000 * b as since, substr(h, 2000 * b + 1, 2198) as part
+  from (select d, h, unnest(range((n + 900) // 1000)) as b from doc where n >= 100)
+), strings as (
+  select d, since + j as i, substr(part, 2 * j + 1, 200) as string
+  from (select *, unnest(range(least(1000, length(part) // 2 - 99))) as j from parts)
+), repeated as (
+  select d, i from (
+    select d, i, row_number() over (partition by string order by d, i) as k from strings
+  ) where k > 1
+), marked as (
+  select *, case when i - lag(i) over (partition by d order by i) <= 100 then 0 else 1 end as opens from repeated
+), runs as (
+  select d, i, sum(opens) over (partition by d order by i) as run from marked
+), spans as (
+  select d, run, min(i) as start, max(i) + 100 as stop from runs group by d, run
+), gaps as (
+  select d, start, stop, coalesce(lag(stop) over (partition by d order by start), 0) as since from spans
+), kept as (
+  select d, sum(stop - start) as n_removed, count(*) as n_spans, max(stop) as last,
+    string_agg(substr(any_h, 2 * since + 1, 2 * (start - since)), '' order by start) as head
+  from (select g.*, doc.h as any_h from gaps g join doc using (d)) group by d
+)
+select doc_id, n::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+  coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from doc left join kept using (d)
+"""
+_OP13 = r"""
+with pieces as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents where text is not null
+), words as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') as w from pieces
+), starts as (
+  select lang, w, unnest(range(1, len(w) + 1)) as i from words
+), counted as (
+  select lang, k, array_to_string(w[i : i + k - 1], ' ') as phrase, count(*) as f
+  from starts, (values (1), (2), (3), (4)) as sizes(k) where i + k - 1 <= len(w) group by all
+), candidate as (
+  select *, string_split(phrase, ' ') as w from counted where k >= 2 and f >= 30
+), cuts as (
+  select c.lang, c.phrase, c.f as a, x.f as l, y.f as r, cut, (2000000::hugeint * c.f) // (x.f + y.f) as score
+  from (select *, unnest(range(1, k)) as cut from candidate) as c
+  join counted x on x.lang = c.lang and x.phrase = array_to_string(c.w[1 : cut], ' ')
+  join counted y on y.lang = c.lang and y.phrase = array_to_string(c.w[cut + 1 : ], ' ')
+  qualify row_number() over (partition by c.lang, c.phrase order by score, cut) = 1
+), inside as (
+  select lang, array_to_string(w[s : s + m - 1], ' ') as phrase, max(f) as longer
+  from (select *, unnest(range(2, k)) as m from candidate) join (values (1), (2), (3)) as places(s) on s + m - 1 <= k
+  group by all
+), ranked as (
+  select c.lang, row_number() over (partition by c.lang order by score desc, a desc, c.phrase) as rank,
+    c.phrase, a, l, r, score
+  from cuts c left join inside i on i.lang = c.lang and i.phrase = c.phrase
+  where longer is null or 100 * longer < 80 * a
+), total as (
+  select lang, sum(f)::bigint as n from counted where k = 1 group by lang
+)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join total using (lang) where rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_chat_formatting": _OP5, "op11_hard_negatives": _OP11}
+    return {
+        "op5_chat_formatting": _OP5,
+        "op11_hard_negatives": _OP11,
+        "op12_suffix_dedup": _OP12,
+        "op13_collocations": _OP13,
+    }
