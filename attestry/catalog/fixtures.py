@@ -10,20 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attestry.operators.numbering import number_within
-
 CONTAINER = "box"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages"
     " benchmark labels conversations"
 ).split()
 
-# Row order within a case; the leading column also cuts very large cases.
-_CASE_ORDER = (
-    "l_shipdate l_linenumber l_partkey l_suppkey l_quantity l_extendedprice l_discount l_tax"
-    " l_returnflag l_linestatus"
-).split()
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -35,8 +27,15 @@ def as_of(spark: SparkSession, sf_dir: str) -> Column:
 
 
 def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attachment rows, with the columns their rules are made of."""
-    rows = number_within(table(spark, sf_dir, "lineitem"), "l_orderkey", _CASE_ORDER)
+    """Attachment rows, with the columns their rules are made of.
+
+    Everything comes from the row itself: the id is a digest of it, ``rn`` a sum.
+    """
+    rows = table(spark, sf_dir, "lineitem")
+    digest = F.expr(
+        "md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|' || l_suppkey || '|'"
+        " || cast(l_shipdate as date) || '|' || l_returnflag || '|' || l_linestatus)"
+    )
     suffix = F.expr(
         "element_at(array('.pdf', '.PDF', '.xlsx', '.xls', '.png', '.jpeg', '.msg', '.docx', '',"
         " '.tiff'), cast((l_linenumber + l_partkey) % 10 as int) + 1)"
@@ -48,13 +47,13 @@ def attachments(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = rows.select(
         F.col("l_orderkey").alias("ras_id"),
         F.col("l_linenumber").cast("bigint").alias("dtl_id"),
-        (F.col("l_orderkey") * 100 + F.col("rn")).alias("att_id"),
+        F.conv(F.left(digest, F.lit(15)), 16, 10).cast("bigint").alias("att_id"),
         F.expr("case when l_partkey % 29 <> 0 then 'f' || (l_partkey % 7) end").alias("_stem"),
         suffix.alias("_suffix"),
         att_type.alias("att_type"),
         F.expr("case when l_partkey % 11 <> 0 then l_suppkey end").alias("supplier_id"),
         F.col("l_shipdate").alias("uploaded_on"),
-        "rn",
+        (F.col("l_partkey") * 3 + F.col("l_suppkey") * 5 + F.col("l_linenumber")).alias("rn"),
         "l_partkey",
         "l_suppkey",
         "l_extendedprice",
@@ -120,6 +119,48 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Workbook cells: one file per nation, one sheet per market segment, one row per customer.
+
+    Some cells are missing, one column has no name, one holds line breaks and tabs.
+    """
+    placed = table(spark, sf_dir, "customer").select(
+        F.expr("'nation_' || c_nationkey || '.xlsx'").alias("file"),
+        F.expr(
+            "case c_mktsegment when 'AUTOMOBILE' then 1 when 'BUILDING' then 2 when 'FURNITURE'"
+            " then 3 when 'HOUSEHOLD' then 4 else 5 end"
+        ).alias("sheet_no"),
+        F.col("c_mktsegment").alias("sheet"),
+        (F.col("c_custkey") + 2).alias("row_no"),
+        "c_custkey",
+        "c_name",
+        F.col("c_acctbal").cast("decimal(18,2)").cast("string").alias("_balance"),
+    )
+    key = ["file", "sheet_no", "sheet", "row_no"]
+    body = placed.select(
+        *key,
+        F.expr(
+            """stack(4, 1, case when c_custkey % 5 <> 0 then c_name end,
+                        2, case when c_custkey % 7 <> 3 then _balance end,
+                        3, case when c_custkey % 3 = 0 then 'a\\n' || c_custkey % 11 || '\\tb' end,
+                        5, case when c_custkey % 4 = 0 then c_name || ' ' || c_name || ' ' || c_name
+                                else 'é' end) as (col_no, cell)"""
+        ),
+    ).where("cell is not null")
+    header = (
+        placed.select("file", "sheet_no", "sheet")
+        .distinct()
+        .select(
+            "file",
+            "sheet_no",
+            "sheet",
+            F.lit(1).cast("bigint").alias("row_no"),
+            F.expr("stack(3, 1, 'customer', 2, 'account balance', 5, 'note') as (col_no, cell)"),
+        )
+    )
+    return header.unionByName(body)
+
+
 def _answer_body() -> Column:
     """The JSON answer for an attachment, before fences and noise."""
     return F.expr(
@@ -132,6 +173,8 @@ def _answer_body() -> Column:
           || '", "att_type_matches_content": '
           || case when l_suppkey % 7 = 0 then 'null'
                   when l_suppkey % 4 <> 0 and att_type is not null then 'true' else 'false' end
+          || ', "att_type_from_db": "' || coalesce(att_type, 'unknown') || '", "classification_reason": '
+          || case when l_suppkey % 5 = 0 then 'null' else '"part ' || l_partkey || ' is named"' end
           || '}, "is_quotation": ' || case when l_partkey % 2 = 0 then 'true' else 'false' end
           || ', "quotation_data": '
           || case when l_partkey % 2 = 1 or l_partkey % 41 = 0 then 'null' else
@@ -145,7 +188,20 @@ def _answer_body() -> Column:
                        when l_partkey % 47 = 0 then '"8,623"'
                        else cast(cast(l_extendedprice * case when rn % 3 = 0 then 1.5D else 1.1D end
                                       as decimal(18,0)) as string) end
+               || case when l_suppkey % 6 = 0 then '' else
+                    ', "currency": "' || element_at(array('INR', 'USD', 'EUR'), cast(l_suppkey % 3 as int) + 1)
+                    || '", "unit_price": ' || l_suppkey || '.5, "item_model": "M-' || l_partkey % 100
+                    || '", "technical_specifications": {"power": "' || l_partkey % 50 || ' kW", "weight": '
+                    || l_suppkey || '}, "quantity": "' || l_partkey % 9 || ' pcs", "payment_terms": "'
+                    || l_suppkey % 90 || ' days", "delivery_terms": "FOB", "warranty": null, "validity": "30 days"'
+                    || ', "quotation_date": "2024-01-0' || (l_partkey % 9 + 1) || '", "quotation_reference": "Q-'
+                    || l_partkey || '"' end
                || '}' end
+          || ', "additional_items": '
+          || case when l_partkey % 4 = 0
+               then '[{"item_name": "Spare ' || l_partkey || '", "price": ' || l_suppkey
+                    || ', "specs": null}, {"item_name": "Kit", "price": "on request"}]' else '[]' end
+          || ', "raw_summary": ' || case when l_partkey % 3 = 0 then 'null' else '"About part ' || l_partkey || '."' end
           || '}' end
         """
     )
@@ -175,3 +231,60 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .drop("body")
     )
+
+
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored model calls: finished, cut and failed ones, some asked again, some never asked."""
+    given = responses(spark, sf_dir).where("l_partkey % 13 <> 5")
+    first = given.withColumns(
+        {
+            "call_no": F.lit(1),
+            "max_tokens": F.lit(3000),
+            "outcome": F.expr(
+                "case l_partkey % 5 when 0 then 'failed' when 1 then 'cut' else 'finished' end"
+            ),
+        }
+    )
+    second = first.where("outcome <> 'finished' and l_suppkey % 4 <> 0").withColumns(
+        {
+            "call_no": F.lit(2),
+            "max_tokens": F.expr("case when outcome = 'cut' then 6000 else 3000 end"),
+            "outcome": F.expr(
+                "case when outcome = 'cut' and l_suppkey % 3 = 0 then 'cut'"
+                " when l_suppkey % 3 = 1 then 'failed' else 'finished' end"
+            ),
+        }
+    )
+    return first.unionByName(second).select(
+        F.col("att_id").cast("string").alias("request_id"),
+        F.lit("1").alias("prompt_version"),
+        "call_no",
+        "max_tokens",
+        "outcome",
+        F.lit(1).alias("attempts"),
+        F.expr(
+            "case outcome when 'finished' then raw when 'cut' then left(raw, length(raw) div 2) end"
+        ).alias("raw"),
+        F.expr("case when outcome = 'failed' then 'timeout' end").alias("error"),
+    )
+
+
+def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON texts made from ``events`` and their own JSON member, some of them broken."""
+    good = F.expr(
+        """'{"json_file": ' || case when event_id % 17 = 0 then 'null' else '"e' || event_id || '"' end
+           || ', "is_quotation": ' || case when user_id % 2 = 0 then 'true' else 'false' end
+           || ', "quotation_data": {"supplier_name": "' || event_type || '", "quoted_price": '
+           || case when event_id % 11 = 0 then '"n/a"' else cast(cast(value as decimal(18,2)) as string) end
+           || ', "currency": "' || element_at(array('INR', 'USD', 'EUR'), cast(user_id % 3 as int) + 1)
+           || '", "technical_specifications": ' || props || '}, "raw_summary": "user ' || user_id
+           || '", "meta": {"ras_id": "' || user_id || '", "supplier_id_from_db": ' || user_id || '}}'"""
+    )
+    broken = F.expr(
+        "case event_id % 10 when 3 then left(_good, length(_good) - 1) when 4 then '[' || props || ']'"
+        " when 5 then _good || ' and more' when 6 then event_type else _good end"
+    )
+    rows = table(spark, sf_dir, "events").withColumn("_good", good)
+    return rows.select(
+        broken.alias("raw"), F.lit(None).cast("string").alias("json_file"), "event_id"
+    )

@@ -94,7 +94,7 @@ _GRADE = (
 
 _TABLES = {
     "att": """
-        select l_orderkey as ras_id, l_linenumber::bigint as dtl_id, l_orderkey * 100 + rn as att_id,
+        select l_orderkey as ras_id, l_linenumber::bigint as dtl_id, att_id,
                case when l_partkey % 29 <> 0 then 'f' || (l_partkey % 7) || ext end as file_name,
                case l_partkey % 6 when 0 then 'Quotation' when 1 then 'MPBP' when 2 then 'BER'
                  when 3 then 'Email' when 4 then 'PO' end as att_type,
@@ -102,9 +102,10 @@ _TABLES = {
                l_shipdate as uploaded_on, rn, l_partkey, l_suppkey, l_extendedprice,
                'R_' || l_orderkey || '_2025/' || file_name as path
         from (select *,
-                row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber,
-                  l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
-                  l_returnflag, l_linestatus) as rn,
+                l_partkey * 3 + l_suppkey * 5 + l_linenumber as rn,
+                ('0x' || left(md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|'
+                  || l_suppkey || '|' || l_shipdate::date || '|' || l_returnflag || '|'
+                  || l_linestatus), 15))::bigint as att_id,
                 case (l_linenumber + l_partkey) % 10 when 0 then '.pdf' when 1 then '.PDF'
                   when 2 then '.xlsx' when 3 then '.xls' when 4 then '.png' when 5 then '.jpeg'
                   when 6 then '.msg' when 7 then '.docx' when 8 then '' else '.tiff' end as ext
@@ -148,6 +149,8 @@ _TABLES = {
             || '", "att_type_matches_content": '
             || case when l_suppkey % 7 = 0 then 'null' when l_suppkey % 4 <> 0
                  and att_type is not null then 'true' else 'false' end
+            || ', "att_type_from_db": "' || coalesce(att_type, 'unknown') || '", "classification_reason": '
+            || case when l_suppkey % 5 = 0 then 'null' else '"part ' || l_partkey || ' is named"' end
             || '}, "is_quotation": ' || case when l_partkey % 2 = 0 then 'true' else 'false' end
             || ', "quotation_data": '
             || case when l_partkey % 2 = 1 or l_partkey % 41 = 0 then 'null' else
@@ -161,9 +164,57 @@ _TABLES = {
                          when l_partkey % 47 = 0 then '"8,623"'
                          else cast(l_extendedprice * case when rn % 3 = 0 then 1.5::double
                                 else 1.1::double end as decimal(18,0))::varchar end
+                 || case when l_suppkey % 6 = 0 then '' else
+                      ', "currency": "' || ['INR', 'USD', 'EUR'][l_suppkey % 3 + 1]
+                      || '", "unit_price": ' || l_suppkey || '.5, "item_model": "M-' || l_partkey % 100
+                      || '", "technical_specifications": {"power": "' || l_partkey % 50
+                      || ' kW", "weight": ' || l_suppkey || '}, "quantity": "' || l_partkey % 9
+                      || ' pcs", "payment_terms": "' || l_suppkey % 90
+                      || ' days", "delivery_terms": "FOB", "warranty": null, "validity": "30 days"'
+                      || ', "quotation_date": "2024-01-0' || (l_partkey % 9 + 1)
+                      || '", "quotation_reference": "Q-' || l_partkey || '"' end
                  || '}' end
+            || ', "additional_items": ' || case when l_partkey % 4 = 0
+                 then '[{"item_name": "Spare ' || l_partkey || '", "price": ' || l_suppkey
+                      || ', "specs": null}, {"item_name": "Kit", "price": "on request"}]' else '[]' end
+            || ', "raw_summary": '
+            || case when l_partkey % 3 = 0 then 'null' else '"About part ' || l_partkey || '."' end
             || '}' end as body
           from att where file_name is not null)""",
+    "sheet_row": """
+        select coalesce(lang, 'none') as file, source as sheet,
+               substr(source, 4)::int + 1 as sheet_no, doc_id as row_no,
+               coalesce(text, '') as line
+        from documents""",
+    "customer_cell": r"""
+        select 'nation_' || c_nationkey || '.xlsx' as file,
+               case c_mktsegment when 'AUTOMOBILE' then 1 when 'BUILDING' then 2
+                 when 'FURNITURE' then 3 when 'HOUSEHOLD' then 4 else 5 end as sheet_no,
+               c_mktsegment as sheet, c_custkey + 2 as row_no,
+               case when c_custkey % 5 <> 0 then c_name end as c1,
+               case when c_custkey % 7 <> 3 then c_acctbal::decimal(18,2)::varchar end as c2,
+               case when c_custkey % 3 = 0 then 'a\n' || c_custkey % 11 || '\tb' end as c3,
+               case when c_custkey % 4 = 0 then left(c_name || ' ' || c_name || ' ' || c_name, 47) || '...'
+                    else 'é' end as c5
+        from customer""",
+    "cell_line": """
+        select file, sheet_no, sheet, row_no,
+               lpad(coalesce(c1, 'NaN'), greatest(8, w1)::int, ' ') || ' '
+               || lpad(coalesce(c2, 'NaN'), greatest(15, w2)::int, ' ') || ' '
+               || case when three then lpad(coalesce(c3, 'NaN'), greatest(10, w3)::int, ' ')
+                       else lpad('NaN', 10, ' ') end || ' '
+               || lpad('NaN', 10, ' ') || ' ' || lpad(c5, greatest(4, w5)::int, ' ') as line
+        from (select *, max(coalesce(length(c1), 3)) over s as w1, max(coalesce(length(c2), 3)) over s as w2,
+                     max(coalesce(length(c3), 3)) over s as w3, max(length(c5)) over s as w5,
+                     bool_or(c3 is not null) over s as three
+              from customer_cell window s as (partition by file, sheet_no, sheet))
+        union all
+        select file, sheet_no, sheet, 1,
+               lpad('customer', greatest(8, max(coalesce(length(c1), 3)))::int, ' ') || ' '
+               || lpad('account balance', greatest(15, max(coalesce(length(c2), 3)))::int, ' ') || ' '
+               || lpad('Unnamed: 2', greatest(10, max(coalesce(length(c3), 3)))::int, ' ') || ' Unnamed: 3 '
+               || lpad('note', greatest(4, max(length(c5)))::int, ' ')
+        from customer_cell group by file, sheet_no, sheet""",
     "candidates": """
         select ras_id, count(*) as num_attachments,
                count(distinct supplier_id) as num_suppliers,
@@ -226,7 +277,21 @@ _TABLES = {
           j ->> '$.quotation_data.supplier_name' as supplier_name,
           j ->> '$.quotation_data.canonical_item_name' as canonical_item_name,
           try_cast(j ->> '$.quotation_data.quoted_price' as double) as quoted_price,
-          j ->> '$.quotation_data.currency' as currency
+          j ->> '$.quotation_data.currency' as currency,
+          j ->> '$.document_classification.classification_reason' as said_reason,
+          j ->> '$.document_classification.att_type_from_db' as said_type,
+          try_cast(j ->> '$.quotation_data.unit_price' as double) as unit_price,
+          j ->> '$.quotation_data.item_model' as item_model,
+          j ->> '$.quotation_data.technical_specifications.power' as power,
+          j ->> '$.quotation_data.technical_specifications.weight' as weight,
+          concat_ws('; ', j ->> '$.quotation_data.quantity', j ->> '$.quotation_data.payment_terms',
+                    j ->> '$.quotation_data.delivery_terms', j ->> '$.quotation_data.warranty',
+                    j ->> '$.quotation_data.validity', j ->> '$.quotation_data.quotation_date',
+                    j ->> '$.quotation_data.quotation_reference') as terms,
+          json_array_length(j, '$.additional_items')::integer as num_additional,
+          j ->> '$.additional_items[0].item_name' as additional_name,
+          j ->> '$.additional_items[0].price' as additional_price,
+          j ->> '$.raw_summary' as raw_summary
         from parsed""",
     "stored": """
         select *, 'RAS_' || ras_id || '_' || replace(replace(file_name, '/', '_'), '\\', '_')
@@ -254,10 +319,44 @@ _TABLES = {
                      when route = 'unsupported' then 'unsupported' else status end as st
               from routed left join blob on blob.name = routed.path
                    left join fields on fields.request_id = routed.att_id::varchar) r""",
+    "first_call": """
+        select att_id::varchar as request_id, l_partkey, l_suppkey, raw, 1 as call_no,
+               3000 as max_tokens, case l_partkey % 5 when 0 then 'failed' when 1 then 'cut'
+                 else 'finished' end as outcome
+        from resp join att on att.att_id::varchar = resp.request_id where l_partkey % 13 <> 5""",
+    "call": """
+        select request_id, call_no, max_tokens, outcome,
+               case outcome when 'finished' then raw when 'cut' then left(raw, length(raw) // 2) end as raw,
+               case when outcome = 'failed' then 'timeout' end as error
+        from (select * from first_call
+              union all by name
+              select request_id, l_partkey, l_suppkey, raw, 2 as call_no,
+                     case when outcome = 'cut' then 6000 else 3000 end as max_tokens,
+                     case when outcome = 'cut' and l_suppkey % 3 = 0 then 'cut'
+                       when l_suppkey % 3 = 1 then 'failed' else 'finished' end as outcome
+              from first_call where outcome <> 'finished' and l_suppkey % 4 <> 0)""",
+    "last_call": """
+        select * from call
+        qualify row_number() over (partition by request_id
+          order by outcome = 'finished' desc, call_no desc) = 1""",
+    "line": """
+        select event_id, case event_id % 10 when 3 then left(good, length(good) - 1)
+                 when 4 then '[' || props || ']' when 5 then good || ' and more'
+                 when 6 then event_type else good end as raw
+        from (select *, '{"json_file": '
+                || case when event_id % 17 = 0 then 'null' else '"e' || event_id || '"' end
+                || ', "is_quotation": ' || case when user_id % 2 = 0 then 'true' else 'false' end
+                || ', "quotation_data": {"supplier_name": "' || event_type || '", "quoted_price": '
+                || case when event_id % 11 = 0 then '"n/a"' else value::decimal(18,2)::varchar end
+                || ', "currency": "' || ['INR', 'USD', 'EUR'][user_id % 3 + 1]
+                || '", "technical_specifications": ' || props || '}, "raw_summary": "user ' || user_id
+                || '", "meta": {"ras_id": "' || user_id || '", "supplier_id_from_db": ' || user_id
+                || '}}' as good
+              from events)""",
     "doc_class": """
         select ras_id::varchar as ras_id, file_name, att_type as att_type_from_db,
                verified_type as our_verified_type, confidence as our_confidence, matches,
-               null::varchar as reason
+               said_reason as reason
         from docs""",
     "prices": f"""
         select ras_id, file_name, extracted_supplier, db_supplier,
@@ -268,6 +367,15 @@ _TABLES = {
                      quoted_price as extracted_price, currency,
                      original_inr as db_original_price, negotiated_inr as db_negotiated_price
               from docs join bi on docs.ras_id = bi.ras_id where is_quotation)""",
+    "pair": f"""
+        select *, {_IN_RANGE} as price_in_range, {_GRADE} as improvement
+        from (select json_file, docs.ras_id::varchar as ras_id, file_name,
+                     quoted_price as extracted_price, original_inr as db_original_price,
+                     canonical_item_name as our_canonical_name,
+                     coalesce(length(canonical_item_name), 0)::integer as our_name_length,
+                     coalesce(length(item_name), 0)::integer as db_name_length,
+                     {_GARBAGE} as db_is_garbage
+              from docs join bi on docs.ras_id = bi.ras_id where is_quotation)""",
     "names": f"""
         select ras_id, file_name, db_item_name, db_name_length, db_has_specs, db_is_garbage,
                our_canonical_name, our_name_length, our_has_specs,
@@ -397,10 +505,22 @@ _SQL = {
         select ras_id, att_id, blob_path, blob_path in (select name from blob) as found
         from norm where blob_path is not null""",
     "q16b_read_contents": """
-        select 'pages/' || page_id || '.html' as name, page_id % 3 <> 0 as found,
-               case when page_id % 3 <> 0 then octet_length(encode(html)) end as size,
-               case when page_id % 3 <> 0 then sha256(html) end as sha256
-        from pages""",
+        select 'pages/' || page_id || '.html' as blob_path, page_id % 3 <> 0 as found,
+               num_pieces, size, digest
+        from pages left join (
+          select page_id, count(*) as num_pieces, any_value(n)::bigint as size,
+                 sha256(string_agg(sha256(unhex(piece)), '' order by k)) as digest
+          from (select page_id, n, k, substr(h, k * 2000 + 1, 2000) as piece
+                from (select page_id, hex(encode(html)) as h, octet_length(encode(html)) as n,
+                             unnest(range(greatest(1, (octet_length(encode(html)) + 999) // 1000))) as k
+                      from pages where page_id % 3 <> 0))
+          group by page_id) using (page_id)""",
+    "q16c_piece_plan": """
+        select blob_path, k as piece_no, k * 67108864 as "offset",
+               least(67108864, size_bytes - k * 67108864) as length
+        from (select distinct blob_path, size_bytes,
+                     unnest(range(greatest(1, (size_bytes + 67108863) // 67108864))) as k
+              from direct)""",
     "q17_route": "select att_id, file_name, ext, route, reason from routed",
     "q18_media_type": f"select att_id, ext, {_MEDIA} as media_type from routed",
     "q19_render_prompt": f"""
@@ -410,16 +530,25 @@ _SQL = {
               from routed where route <> 'unsupported'
               union all select 'doc:' || doc_id, {_DOC_PROMPT} from documents)""",
     "q20_sheet_text": """
-        select file, string_agg('=== Sheet: ' || sheet || ' ===' || chr(10) || chr(10) || body,
-                                chr(10) || chr(10) order by sheet_no) as text,
-               count(*) as num_sheets, sum(n)::bigint as num_rows
-        from (select lang as file, sheet, sheet_no, count(*) as n,
-                     string_agg(cell, chr(10) order by doc_id) as body
-              from (select lang, source as sheet, substr(source, 4)::int + 1 as sheet_no, doc_id,
-                           text as cell
-                    from documents)
-              group by all)
+        select file, sheet_no, sheet, chunk_no, substr(text, chunk_no * 4096 + 1, 4096) as text
+        from (select *, unnest(range((length(text) + 4095) // 4096)) as chunk_no
+              from (select file, sheet_no, sheet, '=== Sheet: ' || sheet || ' ===' || chr(10) || chr(10)
+                             || string_agg(line, chr(10) order by row_no) as text
+                    from sheet_row group by file, sheet_no, sheet))""",
+    "q20b_sheet_sizes": """
+        select file, count(*) as num_sheets, sum(n)::bigint as num_rows,
+               length(string_agg('=== Sheet: ' || sheet || ' ===' || chr(10) || chr(10) || body,
+                                 chr(10) || chr(10)))::bigint as num_chars
+        from (select file, sheet, sheet_no, count(*) as n, string_agg(line, chr(10)) as body
+              from sheet_row group by all)
         group by file""",
+    "q20c_row_text": "select file, sheet_no, sheet, row_no, line as row_text from cell_line",
+    "q20d_cell_text": """
+        select file, sheet_no, sheet, chunk_no, substr(text, chunk_no * 256 + 1, 256) as text
+        from (select *, unnest(range((length(text) + 255) // 256)) as chunk_no
+              from (select file, sheet_no, sheet, '=== Sheet: ' || sheet || ' ===' || chr(10) || chr(10)
+                             || string_agg(line, chr(10) order by row_no) as text
+                    from cell_line group by file, sheet_no, sheet))""",
     "q21b_message_parts": f"""
         select att_id::varchar as request_id, part_no::integer as part_no,
                case when part_no = 0 then 'text' else 'image_url' end as type,
@@ -434,7 +563,9 @@ _SQL = {
     "q23_parse_status": "select request_id, status, error from parsed",
     "q24_typed_fields": """
         select request_id, verified_type, confidence, matches, is_quotation, supplier_name,
-               canonical_item_name, quoted_price, currency
+               canonical_item_name, quoted_price, currency, said_reason as reason, said_type, unit_price,
+               item_model, power, weight, terms, num_additional, additional_name,
+               additional_price, raw_summary
         from fields where status = 'success'""",
     "q25_latest_docs": """
         select json_file, att_id, uploaded_on, verified_type
@@ -445,7 +576,50 @@ _SQL = {
                att_type as att_type_from_db, supplier_id as supplier_id_from_db, is_quotation,
                canonical_item_name, quoted_price
         from docs""",
+    "q25c_last_answers": """
+        select request_id, call_no, max_tokens, outcome, md5(raw) as raw_md5, error from last_call""",
+    "q25d_open_calls": """
+        select request_id, coalesce(n, 0)::integer + 1 as call_no,
+               case when bound is null then 3000 else least(2 * bound, 8000) end::integer as max_tokens
+        from (select att_id::varchar as request_id from routed where route <> 'unsupported')
+        left join (select request_id, max(call_no) as n, bool_or(outcome = 'finished') as done,
+                          max(case when outcome = 'cut' then max_tokens end) as bound
+                   from call group by request_id) using (request_id)
+        where not coalesce(done, false) and coalesce(bound, 0) < 8000""",
+    "q25e_document_lines": """
+        select raw ->> '$.json_file' as json_file, (raw ->> '$.is_quotation')::boolean as is_quotation,
+               raw ->> '$.quotation_data.supplier_name' as supplier_name,
+               try_cast(raw ->> '$.quotation_data.quoted_price' as double) as quoted_price,
+               raw ->> '$.quotation_data.currency' as currency,
+               raw ->> '$.quotation_data.technical_specifications.k' as k,
+               raw ->> '$.raw_summary' as raw_summary, raw ->> '$.meta.ras_id' as ras_id,
+               (raw ->> '$.meta.supplier_id_from_db')::bigint as supplier_id
+        from line where event_id % 10 not in (3, 4, 5, 6) and event_id % 17 <> 0""",
+    "q25f_rejected_lines": """
+        select null::varchar as json_file, event_id,
+               case when event_id % 10 = 4 then 'not_an_object'
+                    when event_id % 10 in (3, 5, 6) then 'json_error' else 'no_key' end as reason
+        from line where event_id % 10 in (3, 4, 5, 6) or event_id % 17 = 0""",
     "q26_extraction_results": "select * from results",
+    "q26b_results_of_calls": """
+        select r.ras_id, r.file_name, case when st in ('success', 'unsupported') then ext end as ext,
+          st as status, case when st = 'success' then verified_type end as verified_type,
+          case when st = 'success' then att_type end as att_type_from_db,
+          case when st = 'success' then matches end as att_type_matches,
+          case when st = 'success' then is_quotation end as is_quotation,
+          case when st = 'success' and is_quotation then canonical_item_name end
+            as canonical_item_name,
+          case when st = 'success' and is_quotation then quoted_price end as quoted_price,
+          case when st = 'success' and is_quotation then supplier_name end as supplier_name,
+          case when st = 'error' then why end as error
+        from (select routed.*, fields.* exclude (request_id, error, status),
+                case when route = 'unsupported' then 'unsupported'
+                     when outcome = 'cut' then 'json_error' when outcome = 'finished' then status
+                     else 'error' end as st,
+                case when outcome = 'finished' then fields.error
+                     else coalesce(last_call.error, 'no_response') end as why
+              from routed left join last_call on last_call.request_id = routed.att_id::varchar
+                   left join fields on fields.request_id = routed.att_id::varchar) r""",
     "q27_extraction_summary": """
         select count(*) as total, count(*) filter (status = 'success') as success,
                count(*) filter (is_quotation) as quotations,
@@ -461,6 +635,9 @@ _SQL = {
     "q30_supplier_match": """
         select ras_id, extracted_supplier, db_supplier, supplier_match, count(*) as pairs
         from prices group by all""",
+    "q30b_supplier_links": """
+        select ras_id, extracted_supplier, db_supplier, count(*) as pairs
+        from prices where supplier_match group by all""",
     "q31_price_check": "select * from prices",
     "q32_price_summary": """
         select count(*) filter (price_in_range) as price_hits,
@@ -468,6 +645,21 @@ _SQL = {
                count(*) filter (supplier_match) as supplier_hits,
                count(supplier_match) as supplier_checked
         from prices""",
+    "q32b_document_checks": """
+        select json_file, ras_id, file_name, extracted_price, count(*) as items,
+               count(price_in_range) as items_checked, count(*) filter (price_in_range) as hits,
+               case when extracted_price > 0 then
+                 min_by(db_original_price, (abs(db_original_price - extracted_price), db_original_price))
+                   filter (db_original_price > 0) end as nearest_price,
+               count(*) filter (improvement = 'MAJOR') as MAJOR,
+               count(*) filter (improvement = 'MINOR') as MINOR,
+               count(*) filter (improvement = 'SAME') as SAME,
+               count(*) filter (improvement = 'UNCLEAR') as UNCLEAR,
+               case when count(*) filter (improvement = 'MAJOR') > 0 then 'MAJOR'
+                    when count(*) filter (improvement = 'MINOR') > 0 then 'MINOR'
+                    when count(*) filter (improvement = 'SAME') > 0 then 'SAME' else 'UNCLEAR' end
+                 as best_grade
+        from pair group by json_file, ras_id, file_name, extracted_price""",
     "q33_name_quality": "select * from names",
     "q33b_item_name_features": f"""
         select ras_id, item_name, coalesce(length(item_name), 0)::integer as db_name_length,

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from attestry.catalog import fixtures as fx
 from attestry.functions import amounts, checks, prompts, responses, routing
-from attestry.operators import extract, inventory, resolve, sampling, sheets, validate
+from attestry.operators import calls, extract, inventory, resolve, sampling, sheets, validate
 from attestry.plans import jobs
 from attestry.session import configure
+from attestry.sources import files, objects
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,20 +137,29 @@ def missing_files(spark: SparkSession, d: str) -> DataFrame:
     return marked.select("ras_id", "att_id", "blob_path", "found")
 
 
+# Small pieces, so that most pages have several.
+PIECE_BYTES = 1_000
+
+
 def read_contents(spark: SparkSession, d: str) -> DataFrame:
-    """A manifest of pages with the contents found for it: every third page was never stored."""
+    """Sizes and digests of a manifest of pages, by pieces: every third page was never stored."""
     pages = fx.table(spark, d, "pages")
     name = F.concat(F.lit("pages/"), F.col("page_id").cast("string"), F.lit(".html"))
-    manifest = pages.select(name.alias("blob_path"))
     contents = pages.where("page_id % 3 <> 0").select(
-        name.alias("_name"), F.encode("html", "utf-8").alias("content")
+        name.alias("blob_path"), F.encode("html", "utf-8").alias("content")
     )
-    return manifest.join(contents, F.col("blob_path") == F.col("_name"), "left").select(
-        F.col("blob_path").alias("name"),
-        F.octet_length("content").cast("bigint").alias("size"),
-        F.col("_name").isNotNull().alias("found"),
-        F.sha2("content", 256).alias("sha256"),
+    known = objects.piece_summary(objects.cut_pieces(contents, piece_bytes=PIECE_BYTES))
+    marked = resolve.mark_missing(
+        pages.select(name.alias("blob_path")), known.select(F.col("blob_path").alias("name"))
     )
+    return marked.join(known.drop("found"), "blob_path", "left")
+
+
+def piece_plan(spark: SparkSession, d: str) -> DataFrame:
+    """Byte ranges of every file of the manifest, 64 MiB each."""
+    located = resolve.locate(fx.located(spark, d), fx.objects(spark, d), fx.CONTAINER)
+    sizes = resolve.direct_rows(located).select("blob_path", "size_bytes").distinct()
+    return objects.plan_pieces(sizes, piece_bytes=64 * 2**20)
 
 
 # ---- routing, prompts, requests ----
@@ -189,16 +199,33 @@ def render_prompt(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def sheet_text(spark: SparkSession, d: str) -> DataFrame:
+def _sheet_rows(spark: SparkSession, d: str) -> DataFrame:
     """One workbook per language, one sheet per source, one row per document."""
-    rows = fx.table(spark, d, "documents").select(
-        F.col("lang").alias("file"),
+    return fx.table(spark, d, "documents").select(
+        F.coalesce("lang", F.lit("none")).alias("file"),
         (F.substring("source", 4, 10).cast("int") + 1).alias("sheet_no"),
         F.col("source").alias("sheet"),
         F.col("doc_id").alias("row_no"),
         sheets.bound_cell("text").alias("row_text"),
     )
-    return sheets.sheet_text(rows)
+
+
+# Small chunks, so that most sheets have several.
+CHUNK_CHARS = 4_096
+CELL_CHUNK_CHARS = 256
+MAX_CELL_CHARS = 50
+
+
+def sheet_text(spark: SparkSession, d: str) -> DataFrame:
+    return sheets.sheet_chunks(_sheet_rows(spark, d), chunk_chars=CHUNK_CHARS)
+
+
+def row_text(spark: SparkSession, d: str) -> DataFrame:
+    return sheets.row_texts(fx.cells(spark, d), MAX_CELL_CHARS)
+
+
+def cell_text(spark: SparkSession, d: str) -> DataFrame:
+    return sheets.sheet_chunks(row_text(spark, d), chunk_chars=CELL_CHUNK_CHARS)
 
 
 def message_parts(spark: SparkSession, d: str) -> DataFrame:
@@ -223,6 +250,16 @@ def message_parts(spark: SparkSession, d: str) -> DataFrame:
 
 # ---- responses ----
 
+TERMS = (
+    "quantity",
+    "payment_terms",
+    "delivery_terms",
+    "warranty",
+    "validity",
+    "quotation_date",
+    "quotation_reference",
+)
+
 
 def clean_response(spark: SparkSession, d: str) -> DataFrame:
     return _responses(spark, d).select(
@@ -246,6 +283,17 @@ def typed_fields(spark: SparkSession, d: str) -> DataFrame:
         F.col("quotation_data.canonical_item_name").alias("canonical_item_name"),
         F.col("quotation_data.quoted_price").alias("quoted_price"),
         F.col("quotation_data.currency").alias("currency"),
+        F.col("document_classification.classification_reason").alias("reason"),
+        F.col("document_classification.att_type_from_db").alias("said_type"),
+        F.col("quotation_data.unit_price").alias("unit_price"),
+        F.col("quotation_data.item_model").alias("item_model"),
+        F.col("quotation_data.technical_specifications")["power"].alias("power"),
+        F.col("quotation_data.technical_specifications")["weight"].alias("weight"),
+        F.concat_ws("; ", *(F.col(f"quotation_data.{c}") for c in TERMS)).alias("terms"),
+        F.size("additional_items").alias("num_additional"),
+        F.get("additional_items", F.lit(0))["item_name"].alias("additional_name"),
+        F.get("additional_items", F.lit(0))["price"].alias("additional_price"),
+        "raw_summary",
     )
 
 
@@ -273,6 +321,51 @@ def documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def document_lines(spark: SparkSession, d: str) -> DataFrame:
+    docs, _ = files.parse_documents(fx.document_lines(spark, d))
+    offer = F.col("quotation_data")
+    return docs.select(
+        "json_file",
+        "is_quotation",
+        offer["supplier_name"].alias("supplier_name"),
+        offer["quoted_price"].alias("quoted_price"),
+        offer["currency"].alias("currency"),
+        offer["technical_specifications"]["k"].alias("k"),
+        "raw_summary",
+        F.col("meta.ras_id").alias("ras_id"),
+        F.col("meta.supplier_id_from_db").alias("supplier_id"),
+    )
+
+
+def rejected_lines(spark: SparkSession, d: str) -> DataFrame:
+    return files.parse_documents(fx.document_lines(spark, d))[1]
+
+
+# ---- calls ----
+
+
+def last_answers(spark: SparkSession, d: str) -> DataFrame:
+    """Of all calls about a file, the one that counts."""
+    return calls.last_answers(fx.calls(spark, d)).select(
+        "request_id", "call_no", "max_tokens", "outcome", F.md5("raw").alias("raw_md5"), "error"
+    )
+
+
+def open_calls(spark: SparkSession, d: str) -> DataFrame:
+    """What is asked next: never asked, failed, or cut below the limit of 8,000 tokens."""
+    options = extract.ExtractOptions(token_limit=8_000)
+    requests = extract.plan_requests(_routed(spark, d), options)
+    asked = calls.open_calls(requests, fx.calls(spark, d), options)
+    return asked.select("request_id", "call_no", "max_tokens")
+
+
+def results_of_calls(spark: SparkSession, d: str) -> DataFrame:
+    """Results where some calls failed, were cut or never made."""
+    last = calls.last_answers(fx.calls(spark, d)).select("request_id", "raw", "error", "outcome")
+    routed = _responses(spark, d).drop("raw", "error")
+    return extract.extraction_results(routed.join(last, "request_id", "left"))
+
+
 # ---- validation ----
 
 
@@ -329,25 +422,36 @@ _QUERIES: dict[str, Query] = {
     "q15c_unresolved": unresolved,
     "q16_missing_files": missing_files,
     "q16b_read_contents": read_contents,
+    "q16c_piece_plan": piece_plan,
     "q17_route": route,
     "q18_media_type": media_type,
     "q19_render_prompt": render_prompt,
     "q20_sheet_text": sheet_text,
+    "q20b_sheet_sizes": lambda s, d: sheets.sheet_sizes(_sheet_rows(s, d)),
+    "q20c_row_text": row_text,
+    "q20d_cell_text": cell_text,
     "q21b_message_parts": message_parts,
     "q22_clean_response": clean_response,
     "q23_parse_status": parse_status,
     "q24_typed_fields": typed_fields,
     "q25_latest_docs": latest_docs,
     "q25b_documents": documents,
+    "q25c_last_answers": last_answers,
+    "q25d_open_calls": open_calls,
+    "q25e_document_lines": document_lines,
+    "q25f_rejected_lines": rejected_lines,
     "q26_extraction_results": _results,
+    "q26b_results_of_calls": results_of_calls,
     "q27_extraction_summary": lambda s, d: extract.summarise_extraction(_results(s, d)),
     "q28_doc_classification": doc_classification,
     "q29_classification_counts": lambda s, d: validate.classification_counts(
         doc_classification(s, d)
     ),
     "q30_supplier_match": supplier_match_values,
+    "q30b_supplier_links": _report(validate.supplier_links),
     "q31_price_check": _report(validate.price_check),
     "q32_price_summary": _report(validate.price_summary),
+    "q32b_document_checks": _report(validate.document_checks),
     "q33_name_quality": _report(validate.name_quality),
     "q33b_item_name_features": item_name_features,
     "q34_name_summary": _report(validate.name_summary),

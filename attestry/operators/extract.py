@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import time
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -27,6 +26,14 @@ from attestry.functions.responses import (
 )
 from attestry.functions.responses import is_quotation as is_quotation_of
 from attestry.functions.routing import media_type, route, unsupported_reason
+from attestry.operators.calls import (
+    ASKED,
+    CUT,
+    ClientFactory,
+    asker,
+    last_answers,
+    open_calls,
+)
 from attestry.schemas import DOC, EXTRACTION_RESULT, REQUEST_KEYS, RESPONSE
 
 # How the model is called, and the least time between two calls.
@@ -34,13 +41,8 @@ TEMPERATURE = 0.1
 MAX_TOKENS = 3000
 MIN_INTERVAL_S = 2.0
 
-# A response answers one version of the prompt.
-ASKED = ("request_id", "prompt_version")
-
-# A client has one method:
-#     complete(system, parts, temperature, max_tokens) -> str
-# A factory makes one; it is sent to the executors, so it must be picklable.
-ClientFactory = Callable[[], object]
+# A cut answer is asked again with twice the bound, up to this many tokens.
+TOKEN_LIMIT = 8 * MAX_TOKENS
 
 
 @dataclass(frozen=True)
@@ -48,14 +50,19 @@ class ExtractOptions:
     """How requests are built and sent.
 
     ``partitions`` is the number of calls in flight, so ``partitions`` divided
-    by ``min_interval_s`` bounds the request rate. ``waves`` cuts the work into
+    by ``min_interval_s`` bounds the request rate; with ``calls_per_second`` the
+    interval follows from that rate and ``partitions``. ``waves`` cuts the work into
     parts whose responses are stored one after the other; a job that dies loses
-    one wave at most. Pages and text are sent whole unless bounds are set.
+    one wave at most. Pages and text are sent whole unless bounds are set. Answers
+    that ``max_tokens`` cuts are asked again with twice the bound, up to
+    ``token_limit``.
     """
 
     template: PromptTemplate = DEFAULT_TEMPLATE
     temperature: float = TEMPERATURE
     max_tokens: int = MAX_TOKENS
+    token_limit: int = TOKEN_LIMIT
+    calls_per_second: float | None = None
     min_interval_s: float = MIN_INTERVAL_S
     max_attempts: int = 1
     max_pages: int | None = None
@@ -63,6 +70,14 @@ class ExtractOptions:
     partitions: int | None = None
     waves: int = 4
 
+    def interval(self) -> float:
+        """Least seconds between two calls of one task."""
+        if self.calls_per_second is None:
+            return self.min_interval_s
+        if not self.partitions:
+            raise ValueError("a rate needs the number of partitions that share it")
+        return self.partitions / self.calls_per_second
+
 
 def request_id(att_id: Column | str = "att_id", blob_path: Column | str = "blob_path") -> Column:
     """Key of a manifest row: the attachment id, or the object for files found by prefix."""
@@ -113,6 +128,23 @@ def build_requests(inputs: DataFrame, options: ExtractOptions = ExtractOptions()
     )
 
 
+def plan_requests(routed: DataFrame, options: ExtractOptions = ExtractOptions()) -> DataFrame:
+    """One request per file that exists and can be read, without its content.
+
+    The message is the prompt; pages or text are added where the call is made
+    (``calls.ask_stored``).
+    """
+    template = options.template
+    media = F.when(F.col("route") == "image", media_type("ext")).otherwise("image/png")
+    return routed.where(is_sent()).select(
+        *REQUEST_KEYS.names,
+        F.lit(template.version).alias("prompt_version"),
+        F.lit(template.system).alias("system"),
+        render_prompt(template, "file_name", "att_type").alias("prompt"),
+        media.alias("media_type"),
+    )
+
+
 def call_model(
     requests: DataFrame, client_factory: ClientFactory, options: ExtractOptions = ExtractOptions()
 ) -> DataFrame:
@@ -121,45 +153,37 @@ def call_model(
     Each partition makes one client and works through its rows in turn, batch by
     batch. Batches are bounded in bytes by Spark, since pages may be large.
     """
-    temperature, max_tokens = options.temperature, options.max_tokens
-    interval, attempts_allowed = options.min_interval_s, max(1, options.max_attempts)
+    build, names = asker(client_factory, options), list(RESPONSE.names)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        client, due = None, 0.0
-
-        def ask(system, parts):
-            nonlocal client, due
-            raw = error = None
-            attempts = 0
-            while raw is None and attempts < attempts_allowed:
-                attempts += 1
-                time.sleep(max(0.0, due - time.monotonic()))
-                try:
-                    client = client_factory() if client is None else client
-                    raw, error = client.complete(system, parts, temperature, max_tokens), None
-                except Exception as failure:  # noqa: BLE001 - kept as the outcome of the row
-                    error = str(failure) or type(failure).__name__
-                due = time.monotonic() + interval
-            return raw, error, attempts
-
+        ask = build()
         for batch in batches:
-            carried = batch.drop_columns(["system", "parts"])
+            carried = batch.drop_columns(["system", "parts", "call_no", "max_tokens"])
             answers = [
-                ask(system.as_py(), parts.as_py())
-                for system, parts in zip(batch.column("system"), batch.column("parts"))
+                ask(*(value.as_py() for value in row))
+                for row in zip(*(batch.column(n) for n in ("system", "parts", "max_tokens")))
             ]
-            raws, errors, attempts = zip(*answers) if answers else ((), (), ())
+            outcomes, raws, errors, attempts, bounds = zip(*answers) if answers else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [
                     *carried.columns,
                     pa.array(raws, pa.string()),
                     pa.array(errors, pa.string()),
                     pa.array(attempts, pa.int32()),
+                    batch.column("call_no"),
+                    pa.array(bounds, pa.int32()),
+                    pa.array(outcomes, pa.string()),
                 ],
-                [*carried.schema.names, "raw", "error", "attempts"],
+                names,
             )
 
-    sent = requests.select(*REQUEST_KEYS.names, "prompt_version", "system", "parts")
+    if "call_no" not in requests.columns:
+        requests = requests.withColumns(
+            {"call_no": F.lit(1), "max_tokens": F.lit(options.max_tokens)}
+        )
+    sent = requests.select(
+        *REQUEST_KEYS.names, "prompt_version", "system", "parts", "call_no", "max_tokens"
+    )
     if options.partitions:
         sent = sent.repartition(options.partitions, "request_id")
     return sent.mapInArrow(send, RESPONSE)
@@ -174,32 +198,26 @@ def store_responses(
     """Call the model for all requests without a stored answer; return one response for each.
 
     Responses are costly and cannot be had again alike, so they are written
-    before anything is derived from them. A second run sends only what has no answer
-    to this version of the prompt yet, so failed calls are made again. The table at
-    ``path`` may serve other batches: only responses to ``requests`` are returned,
-    for each the last answer, or the last failure where there is none.
+    before anything is derived from them. A second run sends only what has no finished
+    answer to this version of the prompt yet, so failed and cut calls are made again.
+    The table at ``path`` may serve other batches: only responses to ``requests`` are
+    returned, for each the last finished answer, or the last call where there is none.
+
+    The requests hold their content, which the join with open calls moves. For many
+    or large files use ``calls.ask_stored``.
     """
     spark = requests.sparkSession
     spark.createDataFrame([], RESPONSE).write.mode("ignore").parquet(path)
+    asked = requests.select(*ASKED).distinct()
     for wave in range(options.waves):
-        stored = spark.read.schema(RESPONSE).parquet(path).where("raw is not null")
-        stored = stored.select(*ASKED)
-        pending = requests
-        if options.waves > 1:
-            slot = F.pmod(F.xxhash64("request_id"), F.lit(options.waves))
-            pending = requests.where(slot == wave)
-        pending = pending.join(stored, list(ASKED), "left_anti")
-        call_model(pending, client_factory, options).write.mode("append").parquet(path)
-    kept = spark.read.schema(RESPONSE).parquet(path)
-    kept = kept.join(requests.select(*ASKED).distinct(), list(ASKED), "left_semi")
-    order = Window.partitionBy(*ASKED).orderBy(
-        F.col("raw").isNotNull().desc(), F.desc("attempts"), "raw", "error"
-    )
-    return (
-        kept.withColumn("_place", F.row_number().over(order))
-        .where("_place = 1")
-        .select(*RESPONSE.names)
-    )
+        answers = spark.read.schema(RESPONSE).parquet(path)
+        slot = F.pmod(F.xxhash64("request_id"), F.lit(options.waves)) == wave
+        pending = open_calls(asked.where(slot), answers, options)
+        call_model(requests.join(pending, list(ASKED)), client_factory, options).write.mode(
+            "append"
+        ).parquet(path)
+    kept = spark.read.schema(RESPONSE).parquet(path).join(asked, list(ASKED), "left_semi")
+    return last_answers(kept).select(*RESPONSE.names)
 
 
 def is_sent() -> Column:
@@ -212,20 +230,30 @@ def with_skipped(responses: DataFrame, routed: DataFrame) -> DataFrame:
     return responses.unionByName(skipped, allowMissingColumns=True)
 
 
+def _is_cut(responses: DataFrame) -> Column:
+    """Whether the answer broke off; what is there of it never counts."""
+    if "outcome" not in responses.columns:
+        return F.lit(False)
+    return F.coalesce(F.col("outcome") == CUT, F.lit(False))
+
+
 def extraction_results(outcomes: DataFrame) -> DataFrame:
     """One row per manifest row: what happened to it, and the leading fields.
 
     ``outcomes`` are routed rows with ``raw`` and ``error``. Fields that do not
-    belong to a status are null, so rows of all statuses share one schema.
+    belong to a status are null, so rows of all statuses share one schema. An
+    answer that was cut is a ``json_error``, whatever its beginning looks like.
     """
     parsed = (
-        outcomes.withColumn("raw", F.when(is_sent(), F.col("raw")))
+        outcomes.withColumn("_cut", _is_cut(outcomes))
+        .withColumn("raw", F.when(is_sent() & ~F.col("_cut"), F.col("raw")))
         .transform(parse_responses, error="error")
         .withColumnsRenamed({"status": "_parsed", "error": "_error"})
     )
     status = (
         F.when(~F.col("found"), "not_found")
         .when(F.col("route") == "unsupported", "unsupported")
+        .when(F.col("_cut"), "json_error")
         .otherwise(F.col("_parsed"))
     )
     ok = F.col("status") == "success"
@@ -260,9 +288,8 @@ def extracted_documents(
         extracted_at = F.current_timestamp()
     elif not isinstance(extracted_at, Column):
         extracted_at = F.lit(extracted_at)
-    answers = parse_responses(responses.where(is_sent()), error="error").where(
-        F.col("status") == "success"
-    )
+    whole = responses.where(is_sent() & ~_is_cut(responses))
+    answers = parse_responses(whole, error="error").where(F.col("status") == "success")
     meta = F.struct(
         F.col("ras_id").cast("string").alias("ras_id"),
         F.col("file_name"),

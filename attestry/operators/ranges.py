@@ -1,4 +1,10 @@
-"""Totals over price pairs without building the pairs."""
+"""Prices of documents against prices of items, without building the pairs.
+
+Both sides of a case are put into one order. Running totals over that order count
+the items between two bounds; the last and the next item before and behind a place
+are carried along it. The order is cut into slices of a bounded number of rows, so a
+case of any size, and prices however close, are spread over tasks.
+"""
 
 from __future__ import annotations
 
@@ -15,15 +21,53 @@ SLACK = 1e-9
 # Prices within this distance of each other, as logarithms, share an edge key or
 # lie under neighbouring ones.
 EDGE_WIDTH = 1e-8
-# Prices of a case are added up in slices of about an eighth of a power of e.
-SLICES_PER_E = 8
+# Rows of one slice of a case.
+SLICE_ROWS = 20_000
+# Cells of the logarithm that are never parted, and how many of them one sum runs over.
+CELLS_PER_E = 2**20
+CELL_BITS = 17
 
 
-def pairs_in_range(ours: DataFrame, stored: DataFrame) -> DataFrame:
-    """One row ``hits``: how many pairs of a case pass ``price_in_range``.
+def with_slices(events: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Add ``slice`` to ``(ras_id, at, ...)``: numbers that follow the order of ``at`` (> 0).
+
+    Rows are counted by cells of about one millionth of the price. Two levels of
+    running totals over the counts give the rows before a cell, and so its slice:
+    a slice begins at most ``slice_rows`` rows after the one before, and holds no
+    more than that plus one cell. The sums see cells, not rows.
+    """
+    named = events.withColumn("_cell", F.floor(F.ln("at") * CELLS_PER_E))
+    cells = named.groupBy("ras_id", "_cell").agg(F.count("*").alias("_n"))
+    cells = cells.withColumn("_part", F.shiftright("_cell", CELL_BITS))
+    in_part = (
+        Window.partitionBy("ras_id", "_part")
+        .orderBy("_cell")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    in_case = (
+        Window.partitionBy("ras_id").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    parts = (
+        cells.groupBy("ras_id", "_part")
+        .agg(F.sum("_n").alias("_n"))
+        .select("ras_id", "_part", F.coalesce(F.sum("_n").over(in_case), F.lit(0)).alias("_earlier"))
+    )
+    numbered = (
+        cells.withColumn("_before", F.coalesce(F.sum("_n").over(in_part), F.lit(0)))
+        .join(parts, ["ras_id", "_part"])
+        .select(
+            "ras_id", "_cell", F.floor((F.col("_earlier") + F.col("_before")) / slice_rows).alias("slice")
+        )
+    )
+    return named.join(numbered, ["ras_id", "_cell"]).drop("_cell")
 
-    ``ours`` is ``(ras_id, extracted_price, docs)`` and ``stored`` is
-    ``(ras_id, original, items)``, both with distinct prices and their counts.
+
+def hits_by_price(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(ras_id, extracted_price, hits): items whose original passes ``price_in_range``.
+
+    ``ours`` is ``(ras_id, extracted_price)``, distinct; ``stored`` is ``(ras_id,
+    original, items)`` with distinct prices and their counts. Prices without a hit
+    may be missing.
 
     For a positive price e the originals in range form an interval about
     ``e / 1.2 .. e / 0.8``. Its sure part is counted by running totals, the two
@@ -34,65 +78,69 @@ def pairs_in_range(ours: DataFrame, stored: DataFrame) -> DataFrame:
     low = F.col("extracted_price") / (1 + PRICE_TOLERANCE)
     # The bound of the largest prices is beyond all numbers: the largest number will do.
     high = F.least(F.col("extracted_price") / (1 - PRICE_TOLERANCE), F.lit(float_info.max))
-    parts = _sure_pairs(ours, stored, low * (1 + SLACK), high * (1 - SLACK)).unionByName(
-        _edge_pairs(ours, stored, low, high)
-    )
-    return parts.agg(F.coalesce(F.sum("hits"), F.lit(0)).alias("hits"))
+    sure = _sure_hits(ours, stored, low * (1 + SLACK), high * (1 - SLACK), slice_rows)
+    parts = sure.unionByName(_edge_hits(ours, stored, low, high))
+    return parts.groupBy("ras_id", "extracted_price").agg(F.sum("hits").alias("hits"))
 
 
-def _sure_pairs(ours: DataFrame, stored: DataFrame, first: Column, last: Column) -> DataFrame:
-    """Pairs with an original between ``first`` and ``last``, both included.
+def pairs_in_range(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """One row ``hits``: how many pairs of a case pass ``price_in_range``.
 
-    Originals and bounds are put in one order. The running total of items at the
-    upper bound minus that at the lower bound is the number of items between.
-    The order is cut into slices, so that a case of any size is spread out: a
-    slice adds what it holds, plus its bounds times the items of earlier slices.
+    ``ours`` is ``(ras_id, extracted_price, docs)``, with distinct prices and their
+    counts; ``stored`` as in ``hits_by_price``.
     """
-    nothing = F.lit(0).cast("bigint")
+    hits = hits_by_price(ours.select("ras_id", "extracted_price"), stored, slice_rows)
+    met = ours.join(hits, ["ras_id", "extracted_price"])
+    return met.agg(F.coalesce(F.sum(F.col("docs") * F.col("hits")), F.lit(0)).alias("hits"))
+
+
+def _sure_hits(
+    ours: DataFrame, stored: DataFrame, first: Column, last: Column, slice_rows: int
+) -> DataFrame:
+    """Items between ``first`` and ``last``, both included: one running total minus another."""
+    nothing = F.lit(None).cast("double")
     events = (
         stored.select(
             "ras_id", F.col("original").alias("at"), F.lit(1).alias("rank"), "items",
-            nothing.alias("sign"),
-        )
-        .unionByName(
-            ours.select(
-                "ras_id", first.alias("at"), F.lit(0).alias("rank"), nothing.alias("items"),
-                (-F.col("docs")).alias("sign"),
-            )
+            F.lit(0).alias("sign"), nothing.alias("extracted_price"),
         )
-        .unionByName(
-            ours.select(
-                "ras_id", last.alias("at"), F.lit(2).alias("rank"), nothing.alias("items"),
-                F.col("docs").alias("sign"),
-            )
-        )
-        .withColumn("slice", F.floor(F.ln("at") * SLICES_PER_E))
-    )
+        .unionByName(_bound(ours, first, 0, -1))
+        .unionByName(_bound(ours, last, 2, 1))
+    )
+    sliced = with_slices(events, slice_rows)
     inside = (
         Window.partitionBy("ras_id", "slice")
         .orderBy("at", "rank")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    before = (
-        Window.partitionBy("ras_id")
-        .orderBy("slice")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    earlier = (
+        Window.partitionBy("ras_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     )
-    slices = (
-        events.withColumn("running", F.sum("items").over(inside))
-        .groupBy("ras_id", "slice")
-        .agg(
-            F.sum(F.col("sign") * F.col("running")).alias("own"),
-            F.sum("sign").alias("bounds"),
-            F.sum("items").alias("items"),
-        )
+    shifts = (
+        sliced.groupBy("ras_id", "slice")
+        .agg(F.sum("items").alias("_held"))
+        .select("ras_id", "slice", F.coalesce(F.sum("_held").over(earlier), F.lit(0)).alias("_shift"))
+    )
+    running = sliced.withColumn("_running", F.sum("items").over(inside)).where("sign <> 0")
+    counted = running.join(shifts, ["ras_id", "slice"])
+    return counted.groupBy("ras_id", "extracted_price").agg(
+        F.sum(F.col("sign") * (F.col("_running") + F.col("_shift"))).alias("hits")
     )
-    earlier = F.coalesce(F.sum("items").over(before), F.lit(0))
-    return slices.select((F.col("own") + F.col("bounds") * earlier).alias("hits"))
 
 
-def _edge_pairs(ours: DataFrame, stored: DataFrame, low: Column, high: Column) -> DataFrame:
-    """Pairs with an original next to a bound, outside the sure part, tested by the rule.
+def _bound(ours: DataFrame, at: Column, rank: int, sign: int) -> DataFrame:
+    return ours.select(
+        "ras_id",
+        at.alias("at"),
+        F.lit(rank).alias("rank"),
+        F.lit(0).cast("bigint").alias("items"),
+        F.lit(sign).alias("sign"),
+        "extracted_price",
+    )
+
+
+def _edge_hits(ours: DataFrame, stored: DataFrame, low: Column, high: Column) -> DataFrame:
+    """Items next to a bound, outside the sure part, tested by the rule.
 
     An equi-join on a fine key of the logarithm: few originals lie there.
     """
@@ -114,4 +162,55 @@ def _edge_pairs(ours: DataFrame, stored: DataFrame, low: Column, high: Column) -
         F.col("edge.upper"), (original > F.col("edge.start")) & (original <= F.col("edge.stop"))
     ).otherwise((original >= F.col("edge.start")) & (original < F.col("edge.stop")))
     passed = near.where(on_edge & price_in_range("extracted_price", "original"))
-    return passed.select((F.col("docs") * F.col("items")).alias("hits"))
+    return passed.select("ras_id", "extracted_price", F.col("items").alias("hits"))
+
+
+def nearest_prices(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(ras_id, extracted_price, nearest): the original closest to each price of ours.
+
+    ``ours`` is ``(ras_id, extracted_price)``, ``stored`` ``(ras_id, original)``, both
+    distinct. Of two originals equally close the smaller one counts. Only positive
+    prices are compared; a case without an original has no row.
+
+    An as-of merge: in the common order each price sees the last item before it
+    and the next one behind it, in its slice or carried over from others.
+    """
+    ours = ours.where(usable_price("extracted_price") > 0)
+    stored = stored.where(usable_price("original") > 0)
+    nothing = F.lit(None).cast("double")
+    events = stored.select(
+        "ras_id", F.col("original").alias("at"), F.lit(1).alias("rank"),
+        F.col("original").alias("item"), nothing.alias("extracted_price"),
+    ).unionByName(
+        ours.select(
+            "ras_id", F.col("extracted_price").alias("at"), F.lit(2).alias("rank"),
+            nothing.alias("item"), "extracted_price",
+        )
+    )
+    sliced = with_slices(events, slice_rows)
+    order = Window.partitionBy("ras_id", "slice").orderBy("at", "rank")
+    before = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    behind = order.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    by_slice = Window.partitionBy("ras_id").orderBy("slice")
+    carried = (
+        sliced.groupBy("ras_id", "slice")
+        .agg(F.max("item").alias("_most"), F.min("item").alias("_least"))
+        .select(
+            "ras_id",
+            "slice",
+            F.max("_most").over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_from"),
+            F.min("_least").over(by_slice.rowsBetween(1, Window.unboundedFollowing)).alias("_to"),
+        )
+    )
+    placed = sliced.withColumns(
+        {"_last": F.max("item").over(before), "_next": F.min("item").over(behind)}
+    ).where("rank = 2")
+    met = placed.join(carried, ["ras_id", "slice"]).withColumns(
+        {"_last": F.coalesce("_last", "_from"), "_next": F.coalesce("_next", "_to")}
+    )
+    price = F.col("extracted_price")
+    closer = F.col("_next") - price < price - F.col("_last")
+    nearest = F.when(F.col("_last").isNull() | closer, F.col("_next")).otherwise(F.col("_last"))
+    return met.select("ras_id", "extracted_price", nearest.alias("nearest")).where(
+        F.col("nearest").isNotNull()
+    )

@@ -46,28 +46,34 @@ def _as_manifest(rows: DataFrame) -> DataFrame:
     return rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in MANIFEST.fields))
 
 
-def resolve_direct(attachments: DataFrame, objects: DataFrame, container: str) -> DataFrame:
+def direct_rows(located: DataFrame) -> DataFrame:
     """Manifest rows of the attachments whose location names an object."""
-    wanted = normalise_locations(attachments, container).where(
-        F.col("blob_path").isNotNull() & (F.col("file_name") != "")
-    )
-    sizes = objects.select(F.col("name").alias("blob_path"), F.col("size").alias("size_bytes"))
-    found = wanted.join(sizes, "blob_path")
+    found = located.where(F.col("reason").isNull())
     return _as_manifest(found.withColumn("local_path", local_path("ras_id", "file_name")))
 
 
-def unresolved(attachments: DataFrame, objects: DataFrame, container: str) -> DataFrame:
+def unresolved_rows(located: DataFrame) -> DataFrame:
     """Attachment rows without a manifest row, and why."""
-    failed = locate(attachments, objects, container).where(F.col("reason").isNotNull())
+    failed = located.where(F.col("reason").isNotNull())
     return failed.select(
         *(F.col(f.name).cast(f.dataType).alias(f.name) for f in UNRESOLVED.fields)
     )
 
 
+def resolve_direct(attachments: DataFrame, objects: DataFrame, container: str) -> DataFrame:
+    return direct_rows(locate(attachments, objects, container))
+
+
+def unresolved(attachments: DataFrame, objects: DataFrame, container: str) -> DataFrame:
+    return unresolved_rows(locate(attachments, objects, container))
+
+
 def resolve_fallback(cases: DataFrame, direct: DataFrame, objects: DataFrame) -> DataFrame:
     """Manifest rows for the cases without any direct hit: all objects of the case.
 
-    The prefix search is an equi-join on the case id read from the name.
+    The prefix search is an equi-join on the case id read from the name. Few cases are
+    without a hit, so Spark filters the objects by them before they are shuffled (a
+    Bloom filter made at run time, or a broadcast where they are few enough).
     """
     hit = direct.select("ras_id").distinct()
     missing = (

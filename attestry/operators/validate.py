@@ -15,7 +15,9 @@ from attestry.functions.checks import (
     supplier_match,
     usable_price,
 )
-from attestry.operators.ranges import pairs_in_range
+from attestry.operators.containment import containment_links
+from attestry.operators.ranges import hits_by_price, nearest_prices, pairs_in_range
+from attestry.schemas import IMPROVEMENTS
 
 EXAMPLES = 3
 
@@ -131,12 +133,38 @@ def supplier_pairs(docs: DataFrame, items: DataFrame) -> DataFrame:
     )
 
 
+def supplier_links(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """Supplier pairs of a case that match, and how often they meet.
+
+    Found through an index of character sequences, so names that have nothing in
+    common are never put side by side.
+    """
+    ours = _weighted(_quotations(docs), "ras_id", "extracted_supplier", weight="_docs")
+    stored = _weighted(
+        _items(items, db_supplier="supplier"), "ras_id", "db_supplier", weight="_items"
+    )
+    links = containment_links(
+        ours.select("ras_id", F.col("extracted_supplier").alias("name")),
+        stored.select("ras_id", F.col("db_supplier").alias("name")),
+    ).withColumnsRenamed({"left": "extracted_supplier", "right": "db_supplier"})
+    return (
+        links.join(ours, ["ras_id", "extracted_supplier"])
+        .join(stored, ["ras_id", "db_supplier"])
+        .select(
+            "ras_id",
+            "extracted_supplier",
+            "db_supplier",
+            (F.col("_docs") * F.col("_items")).alias("pairs"),
+        )
+    )
+
+
 def price_summary(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row: prices in range and checked, suppliers matched and checked.
 
-    No pair of rows is built. Prices checked are the product of two counts per
-    case, prices in range are counted by ``pairs_in_range``, and suppliers by
-    their distinct names.
+    No pair of rows is built, nor of names. Checked prices and suppliers are the
+    product of two counts per case, prices in range are counted by
+    ``pairs_in_range``, and matching suppliers are found by ``supplier_links``.
     """
     ours = _quotations(docs)
     stored = _items(items, original="original_inr")
@@ -144,21 +172,24 @@ def price_summary(docs: DataFrame, items: DataFrame) -> DataFrame:
         _weighted(ours, "ras_id", "extracted_price", weight="docs"),
         _weighted(stored, "ras_id", "original", weight="items"),
     )
-    checked = (
-        _weighted(ours.where(usable_price("extracted_price").isNotNull()), "ras_id", weight="docs")
-        .join(_weighted(stored.where(usable_price("original") > 0), "ras_id", weight="items"), "ras_id")
-        .agg(F.sum(F.col("docs") * F.col("items")).alias("price_checked"))
-    )
-    suppliers = supplier_pairs(docs, items).agg(
-        F.sum(F.when(F.col("supplier_match"), F.col("pairs"))).alias("supplier_hits"),
-        F.sum(F.when(F.col("supplier_match").isNotNull(), F.col("pairs"))).alias(
-            "supplier_checked"
-        ),
+    def met(ours_kept: DataFrame, stored_kept: DataFrame, name: str) -> DataFrame:
+        counts = _weighted(ours_kept, "ras_id", weight="docs")
+        both = counts.join(_weighted(stored_kept, "ras_id", weight="items"), "ras_id")
+        return both.agg(F.sum(F.col("docs") * F.col("items")).alias(name))
+
+    checked = met(
+        ours.where(usable_price("extracted_price").isNotNull()),
+        stored.where(usable_price("original") > 0),
+        "price_checked",
     )
+    named = _items(items, db_supplier="supplier").where(F.col("db_supplier") != "")
+    suppliers = met(ours.where(F.col("extracted_supplier") != ""), named, "supplier_checked")
+    matched = supplier_links(docs, items).agg(F.sum("pairs").alias("supplier_hits"))
     parts = (
         hits.withColumnRenamed("hits", "price_hits")
         .unionByName(checked, allowMissingColumns=True)
         .unionByName(suppliers, allowMissingColumns=True)
+        .unionByName(matched, allowMissingColumns=True)
     )
     return parts.agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in parts.columns))
 
@@ -230,6 +261,74 @@ def name_summary(docs: DataFrame, items: DataFrame) -> DataFrame:
     return graded.groupBy("improvement").agg(F.sum("pairs").alias("pairs"))
 
 
+def document_checks(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """One row per quotation whose case has items: what its items say about it.
+
+    ``items`` rows of the case, ``items_checked`` those whose price could be
+    compared, ``hits`` those in range, ``nearest_price`` the closest original of the
+    case, ``MAJOR`` to ``UNCLEAR`` how many item names get that grade, ``best_grade``
+    the first of these grades that any gets. Summed up, the counts are those of
+    ``price_summary`` and ``name_summary``.
+
+    No pair of a document and an item is built: hits and nearest prices come from
+    the common order of prices, grades from the distinct name lengths of a case.
+    """
+    ours = docs.where("is_quotation").select(
+        "json_file",
+        F.col("meta.ras_id").alias("ras_id"),
+        F.col("meta.file_name").alias("file_name"),
+        F.col("quotation_data.quoted_price").alias("extracted_price"),
+        name_length("quotation_data.canonical_item_name").alias("_length"),
+    )
+    stored = _items(items, original="original_inr")
+    per_case = stored.groupBy("ras_id").agg(
+        F.count("*").alias("items"), F.count_if(usable_price("original") > 0).alias("_usable")
+    )
+    prices = ours.select("ras_id", "extracted_price").distinct()
+    originals = _weighted(stored, "ras_id", "original", weight="items")
+    grades = (
+        ours.select("ras_id", F.col("_length").alias("our_name_length"))
+        .distinct()
+        .join(
+            _weighted(
+                _stored_names(items), "ras_id", "db_name_length", "db_is_garbage", weight="_items"
+            ),
+            "ras_id",
+        )
+        .withColumn("_grade", _grade())
+        .groupBy("ras_id", F.col("our_name_length").alias("_length"))
+        .agg(
+            *(
+                F.coalesce(F.sum(F.when(F.col("_grade") == g, F.col("_items"))), F.lit(0)).alias(g)
+                for g in IMPROVEMENTS
+            )
+        )
+    )
+    checked = F.when(usable_price("extracted_price").isNotNull(), F.col("_usable")).otherwise(0)
+    best = F.lit(None).cast("string")
+    for grade in reversed(IMPROVEMENTS):
+        best = F.when(F.col(grade) > 0, F.lit(grade)).otherwise(best)
+    on_price = ["ras_id", "extracted_price"]
+    return (
+        ours.join(per_case, "ras_id")
+        .join(hits_by_price(prices, originals), on_price, "left")
+        .join(nearest_prices(prices, originals.select("ras_id", "original")), on_price, "left")
+        .join(grades, ["ras_id", "_length"])
+        .select(
+            "json_file",
+            "ras_id",
+            "file_name",
+            "extracted_price",
+            "items",
+            checked.cast("bigint").alias("items_checked"),
+            F.coalesce("hits", F.lit(0)).alias("hits"),
+            F.col("nearest").alias("nearest_price"),
+            *IMPROVEMENTS,
+            best.alias("best_grade"),
+        )
+    )
+
+
 def improvement_examples(docs: DataFrame, items: DataFrame, rows: int = EXAMPLES) -> DataFrame:
     """The first pairs graded MAJOR, by case, file and names.
 

@@ -89,6 +89,13 @@ SHEET_ROW = _struct(
     ("row_no", T.IntegerType()),
     ("row_text", T.StringType()),
 )
+# What stored files are made of: page images and chunks of text.
+CONTENT_PIECE = _struct(
+    ("blob_path", T.StringType()),
+    ("piece_no", T.LongType()),
+    ("content", T.BinaryType()),
+    ("text", T.StringType()),
+)
 # A manifest row on its way through the model, and what came back. The manifest
 # columns travel along, so nothing has to be joined to a response later.
 REQUEST_KEYS = _struct(
@@ -106,7 +113,8 @@ RESPONSE = T.StructType(
         *REQUEST_KEYS.fields,
         *_struct(
             ("prompt_version raw error", T.StringType()),
-            ("attempts", T.IntegerType()),
+            ("attempts call_no max_tokens", T.IntegerType()),
+            ("outcome", T.StringType()),
         ).fields,
     ]
 )

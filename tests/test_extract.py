@@ -202,3 +202,200 @@ def test_the_last_of_equal_keys_stays(spark):
     frame = spark.createDataFrame(rows, "json_file string, uploaded_on timestamp_ntz, att_id bigint, blob_path string")
     kept = {(r["json_file"], r["att_id"], r["blob_path"]) for r in extract.latest_per_key(frame).collect()}
     assert kept == {("RAS_1_a", 3, "x"), ("RAS_1_b", None, "y")}
+
+
+# ---- outcomes ----
+
+
+def short():
+    """Factory of a client whose answers for names with an x need 10,000 tokens, and break off below."""
+
+    def factory():
+        from attestry import Reply
+
+        class Short:
+            def complete(self, system, parts, temperature, max_tokens):
+                if "x" in parts[0]["text"].split("\n")[0] and max_tokens < 10_000:
+                    return Reply('{"is_quotation": true}', cut=True)
+                return "{}"
+
+        return Short()
+
+    return factory
+
+
+def test_cut_answers_are_asked_again_with_larger_bounds(spark, inputs, tmp_path):
+    stored = str(tmp_path / "responses")
+    requests = extract.build_requests(extract.route_files(inputs)).where("ras_id = 1")
+    low = ExtractOptions(min_interval_s=0.0, token_limit=5_000)
+    rows = {r["file_name"]: r for r in extract.store_responses(requests, stored, short(), low).collect()}
+    assert rows["book.xlsx"]["outcome"] == "cut" and rows["book.xlsx"]["max_tokens"] == 5_000
+    assert rows["book.xlsx"]["attempts"] == 2 and rows["q1.pdf"]["outcome"] == "finished"
+    # At its limit a cut answer is final; with a higher one it is asked again.
+    extract.store_responses(requests, stored, short(), low)
+    assert spark.read.parquet(stored).count() == 3
+    high = ExtractOptions(min_interval_s=0.0, token_limit=12_000)
+    again = {r["file_name"]: r for r in extract.store_responses(requests, stored, short(), high).collect()}
+    book = again["book.xlsx"]
+    assert (book["outcome"], book["raw"], book["call_no"], book["max_tokens"]) == ("finished", "{}", 2, 10_000)
+    assert spark.read.parquet(stored).count() == 4
+
+
+def test_a_cut_answer_never_counts(spark, inputs, tmp_path):
+    low = ExtractOptions(min_interval_s=0.0, token_limit=3_000)
+    docs, results = extract_documents(inputs, short(), str(tmp_path / "responses"), low)
+    status = {r["file_name"]: r["status"] for r in results.collect()}
+    assert status["book.xlsx"] == "json_error" and status["q1.pdf"] == "success"
+    assert "RAS_1_book.xlsx.json" not in {r["json_file"] for r in docs.collect()}
+
+
+def test_rows_from_before_outcomes_count_by_their_text(spark):
+    from attestry.operators import calls
+
+    rows = [("a", "1", "{}", None, 1), ("b", "1", None, "e", 2), ("b", "1", None, "e", 1)]
+    old = spark.createDataFrame(rows, "request_id string, prompt_version string, raw string, error string, attempts int")
+    old = old.withColumns({"call_no": F.lit(None).cast("int"), "max_tokens": F.lit(None).cast("int")})
+    asked = spark.createDataFrame([("a", "1"), ("b", "1"), ("c", "1")], "request_id string, prompt_version string")
+    open_ = {r["request_id"]: (r["call_no"], r["max_tokens"]) for r in calls.open_calls(asked, old, FAST).collect()}
+    assert open_ == {"b": (3, 3000), "c": (1, 3000)}
+
+
+def test_a_rate_is_shared_by_the_partitions():
+    assert ExtractOptions(calls_per_second=4.0, partitions=8).interval() == 2.0
+    with pytest.raises(ValueError):
+        ExtractOptions(calls_per_second=4.0).interval()
+
+
+# ---- stored contents ----
+
+
+def echo():
+    """Factory of a client that answers with what it was sent."""
+
+    def factory():
+        import base64
+
+        class Echo:
+            def complete(self, system, parts, temperature, max_tokens):
+                pages = [base64.b64decode(p["url"].split(",")[1]).decode() for p in parts[1:]]
+                text = parts[0]["text"].split("Content of the file:\n")
+                name = text[0].split("File: ")[1].split("\n")[0]
+                if name == "boom.pdf":
+                    raise RuntimeError("no answer")
+                offer = {"canonical_item_name": "|".join(pages + text[1:]), "supplier_name": parts[-1]["type"]}
+                answer = {
+                    "document_classification": {"verified_type": "PO"},
+                    "is_quotation": True,
+                    "quotation_data": offer,
+                }
+                return json.dumps(answer)
+
+        return Echo()
+
+    return factory
+
+
+@pytest.fixture
+def store(spark, tmp_path):
+    from attestry.operators import contents
+    from attestry.operators.calls import store_contents
+
+    pages = [("p/a.pdf", n, bytearray(b"page%d" % n)) for n in range(1, 13)]
+    pages += [("p/boom.pdf", 1, bytearray(b"x"))] + [(f"p/{i}.pdf", 1, bytearray(b"%d" % i)) for i in range(40)]
+    cells = [("p/book.xlsx", s, f"s{s}", r, f"r{r}") for s in (1, 2) for r in range(1, 400)]
+    pieces = (
+        contents.page_pieces(spark.createDataFrame(pages, "blob_path string, page_no int, content binary"))
+        .unionByName(contents.image_pieces(spark.createDataFrame([("p/i.png", bytearray(b"image"))], "name string, content binary")))
+        .unionByName(
+            contents.workbook_pieces(
+                spark.createDataFrame(cells, "file string, sheet_no int, sheet string, row_no int, row_text string"), 100
+            )
+        )
+    )
+    table = f"contents_{tmp_path.name.replace('-', '_')}"
+    yield store_contents(pieces, table, str(tmp_path / "contents"), buckets=8, slots=4)
+    spark.sql(f"drop table {table}")
+
+
+@pytest.fixture
+def manifest(spark):
+    names = ["a.pdf", "a.pdf", "boom.pdf", "i.png", "book.xlsx", "gone.pdf", "mail.msg", *(f"{i}.pdf" for i in range(40))]
+    rows = [(1, n, f"p/{name}", name) for n, name in enumerate(names)]
+    frame = spark.createDataFrame(rows, "ras_id bigint, att_id bigint, blob_path string, file_name string")
+    return frame.withColumns(
+        {
+            "att_type": F.lit("PO"),
+            "supplier_id": F.lit(7).cast("bigint"),
+            "uploaded_on": F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"),
+        }
+    )
+
+
+def test_extract_stored(spark, store, manifest, tmp_path):
+    from attestry import extract_stored, open_contents
+
+    path = str(tmp_path / "responses")
+    options = ExtractOptions(min_interval_s=0.0, waves=4)
+    docs, results = extract_stored(manifest, store, echo(), path, options)
+    docs = {r["json_file"]: r["quotation_data"] for r in docs.collect()}
+    text = "\n\n".join(f"=== Sheet: s{s} ===\n\n" + "\n".join(f"r{r}" for r in range(1, 400)) for s in (1, 2))
+    assert docs["RAS_1_a.pdf.json"]["canonical_item_name"] == "|".join(f"page{n}" for n in range(1, 13))
+    assert docs["RAS_1_i.png.json"]["canonical_item_name"] == "image"
+    assert docs["RAS_1_book.xlsx.json"]["canonical_item_name"] == text
+    assert docs["RAS_1_39.pdf.json"]["canonical_item_name"] == "39" and len(docs) == 43
+    status = {(r["file_name"], r["status"]) for r in results.collect()}
+    assert {s for s in status if s[1] != "success"} == {
+        ("boom.pdf", "error"), ("gone.pdf", "not_found"), ("mail.msg", "not_found"),
+    }
+    assert spark.read.parquet(path).count() == 45  # both requests to a.pdf are calls of their own
+    sizes = {r["blob_path"]: (r["num_pieces"], r["num_bytes"]) for r in store.files(spark).collect()}
+    assert sizes["p/a.pdf"] == (12, 63) and sizes["p/i.png"] == (1, 5)
+    # A second run asks for the failed one only; bounds cut pages and text.
+    bounded = ExtractOptions(min_interval_s=0.0, waves=2, max_pages=2, max_text_chars=20)
+    extract_stored(manifest, store, echo(), path, bounded)
+    assert spark.read.parquet(path).where("call_no = 2").count() == spark.read.parquet(path).count() - 45 == 1
+    docs, _ = extract_stored(manifest, store, echo(), str(tmp_path / "other"), bounded)
+    docs = {r["json_file"]: r["quotation_data"]["canonical_item_name"] for r in docs.collect()}
+    assert docs["RAS_1_a.pdf.json"] == "page1|page2" and docs["RAS_1_book.xlsx.json"] == text[:20]
+    # Another session names the same files.
+    spark.sql(f"create database if not exists other")
+    from dataclasses import replace
+
+    again = open_contents(spark, replace(store, table="other.contents"), str(tmp_path / "contents"))
+    assert again.pieces(spark).count() == store.pieces(spark).count()
+    spark.sql("drop database other cascade")
+
+
+def test_no_exchange_carries_contents(spark, store, manifest):
+    """Pieces are joined where they lie, a wave reads its own slots, and all read each once."""
+    import re
+
+    from attestry.operators import calls
+    from attestry.schemas import RESPONSE as schema
+
+    routed = extract.route_files(manifest)
+    requests = extract.plan_requests(routed).withColumn("slot", calls.slot_of("blob_path", store.slots))
+    answers = spark.createDataFrame([], schema)
+    read = []
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for wave in range(4):
+            met = calls.calls_of_wave(requests, answers, store, [wave], FAST)
+            plan = met._jdf.queryExecution().executedPlan()
+            text = plan.toString()
+            assert "Bucketed: true" in text
+            for line in re.findall(r"Exchange .*", text):
+                assert "content" not in line and "text#" not in line
+            # Nothing below an exchange reads the contents.
+            for part in re.split(r"\n(?=.*Exchange)", text)[1:]:
+                scan = re.search(r"\n([ :|]*)[+:]- .*FileScan parquet spark_catalog", part)
+                if scan:
+                    depth = len(re.match(r"[ :|+-]*", part.split("\n")[0]).group())
+                    assert len(scan.group(1)) < depth, part
+            read += [tuple(r) for r in met.select("blob_path", "piece_no").distinct().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    present = {r["blob_path"] for r in manifest.collect()}
+    pieces = [tuple(r) for r in store.pieces(spark).select("blob_path", "piece_no").collect() if r[0] in present]
+    assert sorted(read) == sorted(pieces)

@@ -1,39 +1,17 @@
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from attestry import build_manifest, profile_inventory, select_cases
-from attestry.operators import inventory, numbering, resolve, sampling, sheets
+from attestry.operators import inventory, resolve, sampling, sheets
 
 MIB = 2**20
 
 
-# ---- numbering ----
-
-
-@pytest.mark.parametrize("hot_rows", [1, 50, 10**9])
-def test_numbering_equals_a_plain_window(spark, hot_rows):
-    rows = spark.range(3000).select(
-        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 200).alias("key"),
-        F.when(F.col("id") % 17 != 0, F.col("id") % 40).alias("lead"),
-        F.xxhash64("id").alias("rest"),
-    )
-    plain = F.row_number().over(Window.partitionBy("key").orderBy("lead", "rest"))
-    expected = rows.withColumn("rn", plain.cast("bigint"))
-    actual = numbering.number_within(rows, "key", ["lead", "rest"], hot_rows=hot_rows)
-    assert actual.columns == expected.columns
-    assert actual.exceptAll(expected).count() == 0 and expected.exceptAll(actual).count() == 0
-
-
-def test_hot_groups_are_bounded(spark):
-    rows = spark.range(20_000).select((F.col("id") % 10_000).alias("key"))
-    assert numbering.hot_groups(rows, "key", 1).count() == numbering.MAX_HOT
-
-
 # ---- inventory ----
 
 
@@ -200,6 +178,30 @@ def test_manifest(stored):
     }
 
 
+def test_a_manifest_reads_the_objects_twice_at_most(spark, stored, tmp_path):
+    attachments, objects = stored
+    path = str(tmp_path / "objects")
+    objects.write.parquet(path)
+    read = []
+    from attestry.operators import storage
+    from attestry.plans import jobs
+
+    def counting(frame, label):
+        read.append(frame._jdf.queryExecution().executedPlan().toString())
+        return storage.stored(frame, label)
+
+    kept, jobs.stored = jobs.stored, counting
+    try:
+        cases = attachments.select("ras_id").distinct()
+        manifest, unresolved = build_manifest(attachments, spark.read.parquet(path), cases, "box")
+    finally:
+        jobs.stored = kept
+    read += [f._jdf.queryExecution().executedPlan().toString() for f in (manifest, unresolved)]
+    scans = [s for plan in read for s in re.findall(r"FileScan parquet \[name#\d+,size#\d+L\]", plan)]
+    assert len(scans) == 2
+    assert manifest.count() == 5 and unresolved.count() == 7
+
+
 def test_every_attachment_is_resolved_or_not(spark, sf_dir):
     from attestry.catalog import fixtures as fx
 
@@ -222,23 +224,93 @@ def test_mark_missing(stored):
 # ---- sheets ----
 
 
+SHEET_ROWS = "file string, sheet_no int, sheet string, row_no int, row_text string"
+
+
 def test_sheet_text_is_bounded_and_ordered(spark):
     rows = [("w", s, f"s{s}", r, f"c{s}-{r}") for s in range(1, 8) for r in range(150, 0, -1) if s != 2]
-    frame = spark.createDataFrame(rows, "file string, sheet_no int, sheet string, row_no int, row_text string")
-    row = sheets.sheet_text(frame, max_sheets=5, max_rows=100).first()
-    parts = row["text"].split("\n\n")
-    assert row["num_sheets"] == 4 and row["num_rows"] == 400
+    frame = spark.createDataFrame(rows, SHEET_ROWS)
+    chunks = sheets.sheet_chunks(frame, max_sheets=5, max_rows=100)
+    sizes = sheets.sheet_sizes(frame, max_sheets=5, max_rows=100).first()
+    text = sheets.workbook_text(chunks).first()["text"]
+    parts = text.split("\n\n")
+    assert sizes["num_sheets"] == 4 and sizes["num_rows"] == 400 and sizes["num_chars"] == len(text)
     assert parts[0::2] == [f"=== Sheet: s{s} ===" for s in (1, 3, 4, 5)]
     assert parts[1].split("\n") == [f"c1-{r}" for r in range(1, 101)]
+    small = sheets.sheet_chunks(frame, 5, 100, chunk_chars=32)
+    assert sheets.workbook_text(small).first()["text"] == text
+    assert sheets.workbook_text(small, max_chars=90, chunk_chars=32).first()["text"] == text[:90]
+
+
+@pytest.mark.parametrize("chunk_chars", [1, 7, 100, 10**6])
+def test_chunks_are_full_and_join_to_the_text(spark, chunk_chars):
+    rows = [("w", 1, "a", 5, None), ("w", 1, "a", -3, "first"), ("w", 1, "a", 9000, "é" * 250), ("w", 1, "a", 7, "")]
+    rows += [("w", 2, None, 1, "x\ny"), (None, 1, "a", 1, "z"), ("v", 3, "a", 1, "1"), ("v", 3, "a", 1, "0")]
+    chunks = sheets.sheet_chunks(spark.createDataFrame(rows, SHEET_ROWS), chunk_chars=chunk_chars).collect()
+    texts = {}
+    for row in sorted(chunks, key=lambda r: r["chunk_no"]):
+        texts.setdefault((row["file"], row["sheet_no"], row["sheet"]), []).append(row["text"])
+    for parts in texts.values():
+        assert all(len(p) == chunk_chars for p in parts[:-1]) and 0 < len(parts[-1]) <= chunk_chars
+    assert {k: "".join(v) for k, v in texts.items()} == {
+        ("w", 1, "a"): "=== Sheet: a ===\n\nfirst\n\n\n" + "é" * 250,
+        ("w", 2, ""): "=== Sheet:  ===\n\nx\ny",
+        ("", 1, "a"): "=== Sheet: a ===\n\nz",
+        ("v", 3, "a"): "=== Sheet: a ===\n\n0\n1",
+    }
 
 
-def test_sheets_are_whole_unless_bounded(spark):
-    frame = spark.range(10_000).selectExpr(
+def test_a_hot_sheet_comes_out_whole_in_bounded_parts(spark):
+    hot = spark.range(30_000).selectExpr(
         "'w' as file", "1 as sheet_no", "'s' as sheet", "cast(id as int) as row_no", "'c' || id as row_text"
     )
-    row = sheets.sheet_text(frame).first()
-    assert row["num_rows"] == 10_000
-    assert row["text"].split("\n\n")[1].split("\n") == [f"c{i}" for i in range(10_000)]
+    others = spark.range(50).selectExpr(
+        "'w' as file", "cast(id + 2 as int) as sheet_no", "'t' as sheet", "1 as row_no", "'x' as row_text"
+    )
+    chunks = sheets.sheet_chunks(hot.unionByName(others), chunk_chars=1000)
+    found = chunks.where("sheet_no = 1").orderBy("chunk_no").collect()
+    assert [r["chunk_no"] for r in found] == list(range(len(found)))
+    assert "".join(r["text"] for r in found) == "=== Sheet: s ===\n\n" + "\n".join(f"c{i}" for i in range(30_000))
+    plan = chunks._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan
+
+
+def _pandas_lines(rows, max_chars):
+    """Lines of one sheet as pandas prints them; ``rows`` maps (row, column) to a cell."""
+    import numpy as np
+    import pandas as pd
+
+    last = max(c for _, c in rows)
+    numbers = sorted({r for r, _ in rows if r > 1})
+    names = [rows.get((1, c)) or f"Unnamed: {c - 1}" for c in range(1, last + 1)]
+    data = [[rows.get((r, c), np.nan) for c in range(1, last + 1)] for r in numbers]
+    frame = pd.DataFrame(data, columns=names, dtype=object)
+    text = frame.to_string(index=False, max_colwidth=max_chars)
+    return dict(zip([1, *numbers], text.split("\n")))
+
+
+@pytest.mark.parametrize("max_chars", [None, 12])
+def test_row_texts_equal_a_printed_frame(spark, max_chars):
+    import random
+
+    draw = random.Random(4)
+    sheets_given = {}
+    for number in range(1, 7):
+        cells = {(1, c): f"name {c}" for c in range(1, 6) if draw.random() < 0.8}
+        for r in draw.sample(range(2, 500), 12):
+            for c in range(1, 7):
+                if draw.random() < 0.7:
+                    cells[(r, c)] = draw.choice(["a", "é\tb", "line\nbreak", "x" * draw.randint(1, 30), "1.5", " "])
+        sheets_given[number] = cells
+    sheets_given[7] = {(1, 1): "only a header"}
+    sheets_given[8] = {(2, 3): "no header"}
+    rows = [("f", n, f"s{n}", r, c, v) for n, cells in sheets_given.items() for (r, c), v in cells.items()]
+    rows += [("f", 8, "s8", 2, 9, None), ("f", 8, "s8", 0, 1, "above the header")]
+    frame = spark.createDataFrame(rows, "file string, sheet_no int, sheet string, row_no int, col_no int, cell string")
+    found = {}
+    for row in sheets.row_texts(frame, max_chars).collect():
+        found.setdefault(row["sheet_no"], {})[row["row_no"]] = row["row_text"]
+    assert found == {n: _pandas_lines(cells, max_chars) for n, cells in sheets_given.items() if n != 7}
 
 
 def test_cells_are_cut_on_request(evaluate):

@@ -38,12 +38,13 @@ def test_read_objects(spark, container):
     assert rows["R_1_2025/a.pdf"] == b"%PDF" * 10 and rows["R_12_2025/x.txt"] == b"x"
 
 
-@pytest.mark.parametrize("scheme", ["", "file://"])
 @pytest.mark.parametrize("batch_bytes", [1, 10**6])
-def test_fetch_contents(spark, container, scheme, batch_bytes):
+def test_fetch_contents(spark, container, batch_bytes):
     wanted = ["R_1_2025/a.pdf", "R_1_2025/none.pdf", "R_1_2025/b c.png", "R_12_2025/x.txt"]
     manifest = spark.createDataFrame([(i, p) for i, p in enumerate(wanted)], "i int, blob_path string").coalesce(1)
-    fetched = objects.fetch_contents(manifest, f"{scheme}{container}", batch_bytes)
+    with pytest.raises(ValueError, match="scheme"):
+        objects.fetch_contents(manifest, str(container))
+    fetched = objects.fetch_contents(manifest, f"file://{container}", batch_bytes)
     rows = fetched.orderBy("i").collect()
     assert [r["found"] for r in rows] == [True, False, True, True]
     assert [r["content"] and bytes(r["content"]) for r in rows] == [b"%PDF" * 10, None, b"\x89PNG", b"x"]
@@ -100,16 +101,107 @@ def test_document_directory(spark, tmp_path):
 
 
 def test_documents_as_json_lines(spark, sf_dir, tmp_path):
-    from attestry.catalog.queries import _documents
+    """What is written as JSON comes back equal, every field of the schema among it."""
+    from datetime import datetime
 
-    docs = _documents(spark, sf_dir)
+    from attestry.catalog.queries import _documents
+    from attestry.schemas import DOC
+
+    whole = (
+        ("PO", "high", "PO", True, "because"),
+        True,
+        ("S", "I", "M", {"kW": "5", "é": "ü"}, 1.5, "INR", 0.5, "3", "30 days", "FOB", "1 y", "60 d", "2024-01-01", "Q-1"),
+        [("a", "1", "x"), (None, "2", None)],
+        "summary\nwith a line",
+        ("7", "a.pdf", ".pdf", "PO", 3, datetime(2024, 1, 2, 3, 4, 5)),
+        "RAS_7_a.pdf.json",
+    )
+    docs = _documents(spark, sf_dir).unionByName(spark.createDataFrame([whole], DOC))
+    docs.write.parquet(str(tmp_path / "table"))
+    docs = files.read_documents(spark, str(tmp_path / "table"))
     path = str(tmp_path / "documents")
     writers.write_documents(docs, path, "json")
-    lines = spark.read.text(path)
-    assert lines.count() == docs.count()
-    assert json.loads(lines.first()[0])["meta"]["file_name"]
-    keys = docs.select("json_file")
-    assert keys.distinct().count() == keys.count()
+    with open(path + "/part-extra.json", "w") as extra:
+        extra.write('{"json_file": "x"} and more\n\n   \n[1]\n{"is_quotation": true}\n')
+    again, rejects = files.read_document_lines(spark, path)
+    assert again.schema.simpleString() == DOC.simpleString()
+    text = lambda frame: sorted(r[0] for r in frame.select(F.to_json(F.struct("*"))).collect())
+    assert text(again) == text(docs)
+    assert again.where("json_file = 'RAS_7_a.pdf.json'").first().asDict(True) == spark.createDataFrame([whole], DOC).first().asDict(True)
+    found = {(r["file"], r["block_start"], r["reason"], r["line"]) for r in rejects.collect()}
+    assert found == {
+        ("part-extra.json", 0, "json_error", '{"json_file": "x"} and more'),
+        ("part-extra.json", 0, "not_an_object", "[1]"),
+        ("part-extra.json", 0, "no_key", '{"is_quotation": true}'),
+    }
+
+
+def _keyed(spark, rows):
+    from attestry.schemas import DOC
+
+    full = [(None, None, None, None, summary, None, key) for key, summary in rows]
+    return spark.createDataFrame(full, DOC)
+
+
+def test_a_second_run_replaces_only_its_keys(spark, tmp_path):
+    path = str(tmp_path / "documents")
+    held = lambda: {r["json_file"]: r["raw_summary"] for r in files.read_documents(spark, path).collect()}
+    writers.upsert_documents(_keyed(spark, [(f"k{i}", "old") for i in range(40)]), path, slots=8)
+    before = {str(p.relative_to(path)) for p in (tmp_path / "documents").rglob("*.parquet")}
+    writers.upsert_documents(_keyed(spark, [("k3", "new"), ("k40", "new")]), path, slots=8)
+    assert held() == {f"k{i}": "old" for i in range(40)} | {"k3": "new", "k40": "new"}
+    assert files.read_documents(spark, path).count() == 41
+    after = {str(p.relative_to(path)) for p in (tmp_path / "documents").rglob("*.parquet")}
+    assert before & after, "parts without a new key were written again"
+    writers.upsert_documents(_keyed(spark, []), path, slots=8)
+    assert len(held()) == 41
+    with pytest.raises(ValueError, match="slot_of_8"):
+        writers.upsert_documents(_keyed(spark, [("k1", "x")]), path, slots=16)
+
+
+def test_a_failed_run_leaves_the_table_as_it_was(spark, tmp_path):
+    path = str(tmp_path / "documents")
+    writers.upsert_documents(_keyed(spark, [(f"k{i}", "old") for i in range(20)]), path, slots=4)
+    broken = _keyed(spark, [(f"k{i}", "new") for i in range(20)]).withColumn(
+        "raw_summary", F.when(F.col("json_file") == "k7", F.raise_error(F.lit("no"))).otherwise(F.col("raw_summary"))
+    )
+    with pytest.raises(Exception, match="no"):
+        writers.upsert_documents(broken, path, slots=4)
+    with pytest.raises(Exception, match="without json_file"):
+        writers.upsert_documents(_keyed(spark, [(None, "new")]), path, slots=4)
+    rows = files.read_documents(spark, path).collect()
+    assert len(rows) == 20 and {r["raw_summary"] for r in rows} == {"old"}
+
+
+def test_pieces_of_files(spark, container):
+    (container / "R_12_2025" / "empty").write_bytes(b"")
+    (container / "R_12_2025" / "large").write_bytes(bytes(range(256)) * 40)
+    sizes = [("R_1_2025/a.pdf", 40), ("R_12_2025/empty", 0), ("R_12_2025/large", 10240), ("R_1_2025/none", 30)]
+    manifest = spark.createDataFrame([*sizes, sizes[0], ("R_1_2025/unknown", None)], "blob_path string, size_bytes bigint")
+    ranges = objects.plan_pieces(manifest.distinct(), piece_bytes=4096).where("blob_path like '%large'").orderBy("piece_no")
+    assert [tuple(r)[1:] for r in ranges.collect()] == [(0, 0, 4096), (1, 4096, 4096), (2, 8192, 2048)]
+    pieces = objects.fetch_pieces(manifest, f"file://{container}", 16, partitions=3)
+    read = {}
+    for row in pieces.orderBy("blob_path", "piece_no").collect():
+        assert row["content"] is None or len(row["content"]) <= 16
+        read[row["blob_path"]] = read.get(row["blob_path"], b"") + bytes(row["content"] or b"")
+    assert read == {
+        "R_1_2025/a.pdf": b"%PDF" * 10,
+        "R_12_2025/empty": b"",
+        "R_12_2025/large": bytes(range(256)) * 40,
+        "R_1_2025/none": b"",
+    }
+    contents = spark.createDataFrame([(k, bytearray(v)) for k, v in read.items() if "none" not in k], "blob_path string, content binary")
+    cut = objects.piece_summary(objects.cut_pieces(contents, piece_bytes=16))
+    fetched = objects.piece_summary(pieces)
+    summary = {r["blob_path"]: (r["found"], r["num_pieces"], r["size"]) for r in fetched.collect()}
+    assert summary == {
+        "R_1_2025/a.pdf": (True, 3, 40),
+        "R_12_2025/empty": (True, 1, 0),
+        "R_12_2025/large": (True, 640, 10240),
+        "R_1_2025/none": (False, 0, None),
+    }
+    assert sorted(map(tuple, fetched.where("found").collect())) == sorted(map(tuple, cut.collect()))
 
 
 def test_write_tables(spark, tmp_path):

@@ -145,3 +145,106 @@ def test_odd_prices_do_not_end_the_summary(spark):
     prices = [1e308, 1.2e308, float("inf"), float("nan"), 1e-320, 5.0, -3.0]
     sides = [spark.createDataFrame([(1, p, 1) for p in prices], f"ras_id int, {name} double, {n} bigint") for name, n in (("extracted_price", "docs"), ("original", "items"))]
     assert pairs_in_range(*sides).first()["hits"] == 6
+
+
+# ---- orders, slices, names ----
+
+
+def _prices(rng, count, cases):
+    near = [100.0, 120.0, 125.0, 80.0, 100.0 / 1.2, 100.0 / 0.8, 5e-324, 1e308, 83.33333333333334]
+    return [
+        (str(rng.randrange(cases)), rng.choice([rng.uniform(50, 200), rng.choice(near), rng.lognormvariate(3, 5)]))
+        for _ in range(count)
+    ]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 7, 10**6])
+def test_hits_and_nearest_prices_equal_the_pairs(spark, slice_rows):
+    from attestry.operators import ranges
+
+    rng = random.Random(9)
+    ours = sorted({*_prices(rng, 300, 4), ("0", -3.0), ("1", 0.0), ("9", 5.0)})
+    stored = {}
+    for case, price in [*_prices(rng, 400, 5), ("0", -1.0), ("1", 0.0)]:
+        stored[case, price] = stored.get((case, price), 0) + rng.randrange(1, 4)
+    left = spark.createDataFrame(ours, "ras_id string, extracted_price double")
+    right = spark.createDataFrame([(*k, n) for k, n in stored.items()], "ras_id string, original double, items bigint")
+    hits = {(r[0], r[1]): r[2] for r in ranges.hits_by_price(left, right, slice_rows).collect()}
+    nearest = {(r[0], r[1]): r[2] for r in ranges.nearest_prices(left, right.drop("items"), slice_rows).collect()}
+    for case, price in ours:
+        usable = [(p, n) for (c, p), n in stored.items() if c == case and p > 0]
+        expected = sum(n for p, n in usable if price != 0 and abs(price - p) / p < 0.2)
+        assert hits.get((case, price), 0) == expected, (case, price)
+        closest = min(((abs(p - price), p) for p, _ in usable), default=(None, None))[1] if price > 0 else None
+        assert nearest.get((case, price)) == closest, (case, price)
+
+
+def test_close_prices_of_one_case_are_spread_over_slices(spark):
+    from pyspark.sql import functions as F
+
+    from attestry.operators import ranges
+
+    hot = spark.range(100_000).select(F.lit("hot").alias("ras_id"), (100 + F.col("id") / 100_000).alias("at"))
+    small = spark.range(500).select((F.col("id") % 100).cast("string").alias("ras_id"), (F.col("id") + 1.0).alias("at"))
+    sliced = ranges.with_slices(hot.unionByName(small), 1_000)
+    sizes = sliced.groupBy("ras_id", "slice").agg(F.count("*").alias("n"), F.min("at").alias("a"), F.max("at").alias("b"))
+    found = sizes.where("ras_id = 'hot'").orderBy("slice").collect()
+    # A slice holds its rows and at most one cell more: a millionth of the price, here some ten rows.
+    assert max(r["n"] for r in found) <= 1_020 and sum(r["n"] for r in found) == 100_000 and len(found) >= 99
+    assert all(x["b"] < y["a"] for x, y in zip(found, found[1:]))
+    assert {r["slice"] for r in sizes.where("ras_id <> 'hot'").collect()} == {0}
+
+
+def test_containment_links_equal_the_pairs(spark):
+    from pyspark.sql import functions as F
+
+    from attestry.operators.containment import containment_links
+
+    rng = random.Random(6)
+    words = ["Acme", "ACME", "ltd", "é", "É", "a", "b", "ab", "Supplier#00001", "Supplier#0000", "x.y", "%", "_", " "]
+    name = lambda: "".join(rng.choice(words) for _ in range(rng.randint(0, 4))) or rng.choice([None, ""])
+    left = sorted({(rng.randrange(3), name()) for _ in range(150)}, key=str)
+    right = sorted({(rng.randrange(4), name()) for _ in range(150)}, key=str)
+    frames = [spark.createDataFrame(rows, "ras_id int, name string") for rows in (left, right)]
+    found = sorted(map(tuple, containment_links(*frames).collect()))
+    lower = {
+        n: low
+        for n, low in frames[0].unionByName(frames[1]).where("name <> ''").distinct().select("name", F.lower("name")).collect()
+    }
+    expected = sorted(
+        (c, a, b)
+        for (c, a), (d, b) in itertools.product(left, right)
+        if c == d and a and b and (lower[a] in lower[b] or lower[b] in lower[a])
+    )
+    assert found == expected
+
+
+def test_a_case_with_many_names_meets_few_of_them(spark):
+    from pyspark.sql import functions as F
+
+    from attestry.operators import containment
+
+    names = spark.range(20_000).select(F.lit(1).alias("ras_id"), F.format_string("Supplier#%09d", F.col("id") * 49).alias("name"))
+    long = names.withColumn("name", F.concat(F.lower("name"), F.lit(" LTD")))
+    links = containment.containment_links(names, long)
+    assert links.count() == 20_000
+    inner = containment._names(names, "ras_id")
+    outer = containment._names(long, "ras_id")
+    met = containment._inside(inner, outer, "ras_id", containment.GRAM)
+    plan = met._jdf.queryExecution().analyzed().toString()
+    assert "Cartesian" not in plan and "Cross" not in plan
+    met.collect()
+
+
+def test_document_checks_sum_up_to_the_totals(reports):
+    from pyspark.sql import functions as F
+
+    docs, items = reports
+    checks = validate.document_checks(docs, items)
+    totals = checks.agg(F.sum("hits"), F.sum("items_checked"), *(F.sum(g) for g in ("MAJOR", "MINOR", "SAME", "UNCLEAR"))).first()
+    summary = validate.price_summary(docs, items).first()
+    grades = {r["improvement"]: r["pairs"] for r in validate.name_summary(docs, items).collect()}
+    assert (totals[0], totals[1]) == (summary["price_hits"], summary["price_checked"])
+    assert [totals[2 + i] for i in range(4)] == [grades.get(g, 0) for g in ("MAJOR", "MINOR", "SAME", "UNCLEAR")]
+    plan = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert "NestedLoop" not in plan and checks.count() == checks.select("json_file").distinct().count()
