@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from attestry.catalog import fixtures as fx
 from attestry.functions import amounts, checks, prompts, responses, routing
 from attestry.operators import calls, extract, inventory, resolve, sampling, sheets, validate
+from attestry.operators.storage import stored
 from attestry.plans import jobs
 from attestry.session import configure
 from attestry.sources import files, objects
@@ -373,6 +374,16 @@ def _report(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return lambda spark, d: build(_documents(spark, d), fx.items(spark, d))
 
 
+def _stored_report(build: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    """For reports that look at both sides many times: these are worked out once."""
+
+    def query(spark: SparkSession, d: str) -> DataFrame:
+        docs = stored(_documents(spark, d), "documents")
+        return build(docs, stored(fx.items(spark, d), "items"))
+
+    return query
+
+
 def doc_classification(spark: SparkSession, d: str) -> DataFrame:
     return validate.doc_classification(_documents(spark, d))
 
@@ -448,10 +459,10 @@ _QUERIES: dict[str, Query] = {
         doc_classification(s, d)
     ),
     "q30_supplier_match": supplier_match_values,
-    "q30b_supplier_links": _report(validate.supplier_links),
+    "q30b_supplier_links": _stored_report(validate.supplier_links),
     "q31_price_check": _report(validate.price_check),
-    "q32_price_summary": _report(validate.price_summary),
-    "q32b_document_checks": _report(validate.document_checks),
+    "q32_price_summary": _stored_report(validate.price_summary),
+    "q32b_document_checks": _stored_report(validate.document_checks),
     "q33_name_quality": _report(validate.name_quality),
     "q33b_item_name_features": item_name_features,
     "q34_name_summary": _report(validate.name_summary),
