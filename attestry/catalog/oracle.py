@@ -675,6 +675,18 @@ _SQL = {
         select ras_id, file_name, db_item_name, our_canonical_name
         from names where improvement = 'MAJOR'
         order by ras_id, file_name, db_item_name nulls first, our_canonical_name limit 3""",
+    "q36_manifest_csv": "select * from direct union all by name select * from fallback",
+    "q36b_documents_json": """
+        select json_file, ras_id::varchar as ras_id, file_name, ext as file_extension,
+               att_type as att_type_from_db, supplier_id as supplier_id_from_db, is_quotation,
+               canonical_item_name, quoted_price
+        from docs""",
+    "q36c_upserted_documents": """
+        select json_file, case when ras_id % 3 = 0 then 'second' else 'first' end as raw_summary
+        from docs where ras_id % 3 = 0 or supplier_id % 2 = 0""",
+    "q36d_source_names": """
+        select ras_id, dtl_id, att_id, file_name, file_location, att_type, supplier_id, uploaded_on
+        from loc""",
 }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,10 +11,11 @@ from pyspark.sql import functions as F
 from attestry.catalog import fixtures as fx
 from attestry.functions import amounts, checks, prompts, responses, routing
 from attestry.operators import calls, extract, inventory, resolve, sampling, sheets, validate
-from attestry.operators.storage import stored
+from attestry.operators.storage import shared_dir, stored
 from attestry.plans import jobs
+from attestry.schemas import ATTACHMENT_COLUMNS
 from attestry.session import configure
-from attestry.sources import files, objects
+from attestry.sources import files, objects, tables, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -308,7 +310,10 @@ def latest_docs(spark: SparkSession, d: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
+    return _summary_columns(_documents(spark, d))
+
+
+def _summary_columns(docs: DataFrame) -> DataFrame:
     return docs.select(
         "json_file",
         F.col("meta.ras_id").alias("ras_id"),
@@ -367,6 +372,51 @@ def results_of_calls(spark: SparkSession, d: str) -> DataFrame:
     return extract.extraction_results(routed.join(last, "request_id", "left"))
 
 
+# ---- tables handed from one step to the next ----
+
+
+def _path(spark: SparkSession, label: str) -> str:
+    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def manifest_csv(spark: SparkSession, d: str) -> DataFrame:
+    """The manifest written as CSV and read back."""
+    path = _path(spark, "manifest")
+    writers.write_table(manifest(spark, d), path, "csv")
+    return files.read_manifest(spark, path, "csv")
+
+
+def documents_json(spark: SparkSession, d: str) -> DataFrame:
+    """The documents written as JSON lines and read back."""
+    path = _path(spark, "documents")
+    writers.write_documents(_documents(spark, d), path, "json")
+    docs, _ = files.read_document_lines(spark, path)
+    return _summary_columns(docs)
+
+
+def upserted_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs over one keyed table: the second one replaces and adds what it has."""
+    path = _path(spark, "keyed")
+    docs = stored(_documents(spark, d), "documents")
+    first = docs.where("meta.supplier_id_from_db % 2 = 0").withColumn("raw_summary", F.lit("first"))
+    second = docs.where("cast(meta.ras_id as bigint) % 3 = 0")
+    writers.upsert_documents(first, path)
+    writers.upsert_documents(second.withColumn("raw_summary", F.lit("second")), path)
+    return files.read_documents(spark, path).select("json_file", "raw_summary")
+
+
+def source_names(spark: SparkSession, d: str) -> DataFrame:
+    """Attachments under the names and types of a source, taken over."""
+    theirs = fx.located(spark, d).select(
+        *(
+            F.col(ours).cast("timestamp" if ours == "uploaded_on" else "string").alias(name)
+            for name, ours in ATTACHMENT_COLUMNS.items()
+        ),
+        F.lit("x").alias("OTHER"),
+    )
+    return tables.attachments_from(theirs)
+
+
 # ---- validation ----
 
 
@@ -468,6 +518,10 @@ _QUERIES: dict[str, Query] = {
     "q34_name_summary": _report(validate.name_summary),
     "q35_mismatch_examples": lambda s, d: validate.mismatch_examples(doc_classification(s, d)),
     "q35b_improvement_examples": _report(validate.improvement_examples),
+    "q36_manifest_csv": manifest_csv,
+    "q36b_documents_json": documents_json,
+    "q36c_upserted_documents": upserted_documents,
+    "q36d_source_names": source_names,
 }
 
 
