@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.common import partitions
+from attestry.llm.common import partitions, worker_memory
 
 PERIOD = 8_192  # steps after which the random bits repeat
 SYMBOLS = 256
@@ -31,6 +31,8 @@ SAMPLED = 256
 SEED = 20_240_117
 # Characters whose walks advance together.
 BATCH_CHARS = 4_000_000
+# Characters of texts that a task works on at once, beside the batch it was handed.
+SLICE_CHARS = 3_000_000
 BANDS = 16
 BAND_STEPS = 6
 
@@ -41,7 +43,7 @@ def walk_bits():
 
     bits = np.random.default_rng(SEED).integers(0, 2, (PERIOD, SYMBOLS), dtype=np.int64)
     bits[:, 0] = 0
-    return bits
+    return bits.astype(np.int8)
 
 
 def levels(count: int):
@@ -89,7 +91,7 @@ def embed(texts: list[str]) -> list[str]:
 
     out: list = [None] * len(texts)
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    bits, table = walk_bits(), nibbles()
+    bits, table = worker_memory("walk bits", walk_bits), nibbles()
     digits = np.frombuffer(b"0123456789abcdef", dtype=np.uint8)
     start = 0
     while start < len(order):
@@ -108,16 +110,16 @@ def embed(texts: list[str]) -> list[str]:
             at[k] = place
             place += lengths[k] + 1
         steps = 3 * lengths
-        level = np.array([level_for(int(n)) for n in lengths])
+        level = [level_for(int(n)) for n in lengths]
         level_of = levels(int(steps[0]))
-        least = level.min() if len(level) else 0
         kept: list = []
         active = len(chosen)
         for j in range(int(steps[0])):
             while active and steps[active - 1] <= j:
                 active -= 1
             now = flat[at[:active]]
-            if level_of[j] >= least:
+            # The shortest text still walking has the lowest level.
+            if active and level_of[j] >= level[active - 1]:
                 kept.append((j, now))
             at[:active] += bits[j % PERIOD][now]
             if j % 512 == 0 and not now.any():
@@ -177,8 +179,8 @@ class Likeness:
         return int(((x == y) & open_).sum()) / max(1, int(open_.sum()))
 
 
-def neighbours(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, text, next): every document and the text that follows it by falling key.
+def dealt_in_order(documents: DataFrame, key: str, text: str) -> DataFrame:
+    """(range, guest, _key, _text): documents dealt by falling key, to be read by ``followed``.
 
     After the last comes the first. Documents are dealt by ranges of the key; the
     first of each range is also sent to the range before it, so texts move once
@@ -230,7 +232,7 @@ def neighbours(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
         ),
         lambda p: p["range"].isNotNull(),
     )
-    sent = (
+    return (
         dealt.withColumn("_place", F.explode(places))
         .select("_place.*", "_key", "_text")
         .repartition(parts, "range")
@@ -239,31 +241,20 @@ def neighbours(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
         )
     )
 
-    def run(batches):
-        import pyarrow as pa
 
-        waiting = None  # (range, key, text) whose next is not known yet
-        done = set()
-        for batch in batches:
-            keys, texts, nexts = [], [], []
-            columns = [c.to_pylist() for c in batch.columns]
-            for place, is_guest, key_, text_ in zip(*columns):
-                if place in done:
-                    continue
-                if waiting and waiting[0] == place:
-                    keys.append(waiting[1])
-                    texts.append(waiting[2])
-                    nexts.append(text_)
-                waiting = None if is_guest else (place, key_, text_)
-                if is_guest:
-                    done = {place}
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, batch.schema[2].type), pa.array(texts, pa.string()), pa.array(nexts, pa.string())],
-                names=[key, text, "next"],
-            )
-
-    kind = documents.schema[key].dataType.simpleString()
-    return sent.mapInArrow(run, f"`{key}` {kind}, `{text}` string, next string")
+def followed(batches):
+    """(key, text, next) of every row of a range dealt by ``dealt_in_order``, in order."""
+    waiting = None  # (range, key, text) whose next is not known yet
+    done = None
+    for batch in batches:
+        for place, is_guest, key_, text_ in zip(*(c.to_pylist() for c in batch.columns)):
+            if place == done:
+                continue
+            if waiting and waiting[0] == place:
+                yield waiting[1], waiting[2], text_
+            waiting = None if is_guest else (place, key_, text_)
+            if is_guest:
+                done = place
 
 
 def edited(text: str, following: str) -> str:
@@ -300,22 +291,25 @@ def edit_probe(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
         " edited_fingerprint string, near_edited double, near_next double"
     )
 
+    names = [f.split()[0].strip("`") for f in schema.split(", ")]
+
     def run(batches):
         from hashlib import sha256
 
         import pyarrow as pa
 
         likeness = Likeness()
-        for batch in batches:
-            texts, nexts = batch.column(1).to_pylist(), batch.column(2).to_pylist()
+
+        def made(rows, key_type):
+            keys, texts, nexts = zip(*rows)
             changed = [edited(a, b) for a, b in zip(texts, nexts)]
             # In order, the next of a row is the text of the row after it: embed each text once.
             wanted = list(dict.fromkeys([*texts, *changed, *nexts]))
             prints = dict(zip(wanted, embed(wanted)))
             own, other, after = ([prints[t] for t in ts] for ts in (texts, changed, nexts))
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    pa.array(keys, key_type),
                     pa.array([len(t) for t in texts], pa.int64()),
                     pa.array([sha256(t.encode()).hexdigest() for t in changed], pa.string()),
                     pa.array(own, pa.string()),
@@ -323,10 +317,27 @@ def edit_probe(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
                     pa.array([likeness(a, b) for a, b in zip(own, other)], pa.float64()),
                     pa.array([likeness(a, b) for a, b in zip(own, after)], pa.float64()),
                 ],
-                names=[f.split()[0].strip("`") for f in schema.split(", ")],
+                names=names,
             )
 
-    return neighbours(documents, key, text).mapInArrow(run, schema)
+        kinds = []
+
+        def watched():
+            for batch in batches:
+                kinds[:] = [batch.schema.field(2).type]
+                yield batch
+
+        rows, size = [], 0
+        for row in followed(watched()):
+            rows.append(row)
+            size += len(row[1])
+            if size >= SLICE_CHARS:
+                yield made(rows, kinds[0])
+                rows, size = rows[:0], 0
+        if rows:
+            yield made(rows, kinds[0])
+
+    return dealt_in_order(documents, key, text).mapInArrow(run, schema)
 
 
 def band_links(
