@@ -23,7 +23,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.common import partitions, worker_memory
+from attestry.llm.common import partitions, runs, stored, whole_groups, worker_memory
+from attestry.llm.components import connected
+from attestry.llm.jaccard_join import spanning
 
 PERIOD = 8_192  # steps after which the random bits repeat
 SYMBOLS = 256
@@ -35,6 +37,11 @@ BATCH_CHARS = 4_000_000
 SLICE_CHARS = 3_000_000
 BANDS = 16
 BAND_STEPS = 6
+# Likeness from which two fingerprints are near, and members of one block of a bucket.
+LEAST = 0.8
+BLOCK = 512
+# Comparisons that a task remembers, as a pair often shares several bands.
+REMEMBERED = 500_000
 
 
 def walk_bits():
@@ -340,56 +347,169 @@ def edit_probe(documents: DataFrame, key: str = "doc_id", text: str = "text") ->
     return dealt_in_order(documents, key, text).mapInArrow(run, schema)
 
 
-def band_links(
-    documents: DataFrame,
+def band_places(bands: int, band_steps: int) -> list[list[int]]:
+    """The sampled steps that make up each band."""
+    return [
+        [(SEED * (b + 1) + 7_919 * (s + 1) * (b + 3)) % SAMPLED for s in range(band_steps)]
+        for b in range(bands)
+    ]
+
+
+def bands_of(fingerprint: str, places, likeness: Likeness) -> list[str]:
+    """Names of the bands of a fingerprint.
+
+    At its own level bands draw from all steps that every text of the level has, and
+    from the first half of them, as they do at the next higher level: texts whose
+    lengths lie on either side of a step of the level share those.
+    """
+    length, level, kept = likeness.parse(fingerprint)
+    names = []
+    for wanted, most in ((level, SAMPLED), (level, SAMPLED // 2), (level + 1, SAMPLED // 2)):
+        own = likeness.at_level(length, level, wanted, kept)
+        for band, row in enumerate(places):
+            values = "".join(chr(own[p % most]) if p % most < len(own) else "-" for p in row)
+            names.append(f"{wanted}/{most}/{band}/{values}")
+    return names
+
+
+def near_groups(
+    prints: DataFrame,
     key: str = "doc_id",
-    text: str = "text",
-    least: float = 0.8,
+    least: float = LEAST,
     bands: int = BANDS,
     band_steps: int = BAND_STEPS,
+    block: int = BLOCK,
 ) -> DataFrame:
-    """(key, representative, likeness): documents linked to the first of a band bucket.
-
-    A band is a draw of sampled steps, the same for all fingerprints of one level;
-    texts that agree on all steps of a band share a bucket. Every member of a
-    bucket is verified against the bucket's smallest key, so a bucket of any size
-    gives as many comparisons as it has members. Equal texts are compared once.
+    """(fingerprint, near_group): the smallest key reachable over near fingerprints.
+
+    ``prints`` is (key, fingerprint). A band is a draw of sampled steps; fingerprints
+    that agree on all steps of a band share a bucket, and near ones among them (a
+    likeness of at least ``least``) are linked. Equal texts have one fingerprint and
+    so one row; empty texts are near each other only.
+
+    In each bucket all members are first compared with one of them. Buckets that
+    still hold different groups are cut into blocks, whose members are compared with
+    those outside the largest group of the bucket; each block gives only links that
+    span what it found. So a bucket of any size gives about as many links as members,
+    and none that could join two groups is lost.
     """
-    prints = fingerprint(documents, key, text)
-    one = prints.groupBy("fingerprint").agg(F.min(key).alias(key))
-    level = F.split_part("fingerprint", F.lit(":"), F.lit(2))
-    body = F.split_part("fingerprint", F.lit(":"), F.lit(3))
-    places = [
-        [(SEED * (b + 1) + 7_919 * (s + 1) * (b + 3)) % SAMPLED + 1 for s in range(band_steps)]
-        for b in range(bands)
-    ]
-    names = [
-        F.concat_ws("/", F.lit(str(b)), level, *(F.substring(body, p, 1) for p in row))
-        for b, row in enumerate(places)
-    ]
-    members = one.where(F.length(body) > 0).select(key, "fingerprint", F.explode(F.array(*names)).alias("band"))
-    first = members.groupBy("band").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct(key, "fingerprint")).alias("first")
-    )
-    pairs = (
-        members.join(first.where("n > 1"), "band")
-        .select(F.col(key), "fingerprint", F.col(f"first.{key}").alias("representative"), F.col("first.fingerprint").alias("theirs"))
-        .where(F.col(key) != F.col("representative"))
-        .dropDuplicates([key, "representative"])
+
+    def name_bands(batches):
+        import pyarrow as pa
+        import xxhash
+
+        likeness, places = Likeness(), band_places(bands, band_steps)
+        for batch in batches:
+            prints_ = batch.column(0).to_pylist()
+            keys = [
+                [xxhash.xxh3_64_intdigest(name) - (1 << 63) for name in bands_of(p, places, likeness)]
+                for p in prints_
+            ]
+            nodes = [int.from_bytes(xxhash.xxh3_128_digest(p)[:8], "big") - (1 << 63) for p in prints_]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(nodes, pa.int64()),
+                    pa.array(keys, pa.list_(pa.int64())),
+                ],
+                names=["fingerprint", "_key", "node", "bands"],
+            )
+
+    kind = prints.schema[key].dataType.simpleString()
+    one = prints.groupBy("fingerprint").agg(F.min(key).alias("_key"))
+    named = stored(
+        one.mapInArrow(name_bands, f"fingerprint string, _key {kind}, node bigint, bands array<bigint>"),
+        "bands",
     )
+    rows = named.select("node", F.explode("bands").alias("band")).distinct()
+    shared = rows.groupBy("band").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("_n"))
+    members = stored(rows.join(shared.where("_n > 1").drop("_n"), "band"), "members")
+    spelled = named.select("node", "fingerprint")
+    by_hub = members.where("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+    pairs = by_hub.join(
+        spelled.select(F.col("node").alias("a"), F.col("fingerprint").alias("left")), "a"
+    ).join(spelled.select(F.col("node").alias("b"), F.col("fingerprint").alias("right")), "b")
 
     def verify(batches):
         import pyarrow as pa
-        import pyarrow.compute as pc
 
         likeness = Likeness()
         for batch in batches:
-            found = pa.array(
-                [likeness(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(3).to_pylist())],
-                pa.float64(),
-            )
-            out = pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), found], names=[key, "representative", "likeness"])
-            yield out.filter(pc.greater_equal(found, least))
+            near = [
+                likeness(x, y) >= least
+                for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            ]
+            out = pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"])
+            yield out.filter(pa.array(near, pa.bool_()))
+
+    links = stored(
+        pairs.select("a", "b", "left", "right").mapInArrow(verify, "a bigint, b bigint"), "links"
+    )
+    first = stored(connected(links), "roots").withColumnRenamed("node", "_node")
+    placed = members.join(first, members["node"] == first["_node"], "left").select(
+        "band", "node", F.coalesce("root", "node").alias("root")
+    )
+    held = placed.groupBy("band", "root").agg(F.count(F.lit(1)).alias("_n"))
+    open_ = (
+        held.groupBy("band")
+        .agg(
+            F.count(F.lit(1)).alias("_groups"),
+            F.max_by("root", F.struct("_n", "root")).alias("_largest"),
+            F.ceil(F.sum("_n") / block).cast("int").alias("_blocks"),
+        )
+        .where("_groups > 1")
+    )
+    left = placed.join(open_, "band").join(spelled, "node")
+    own = F.pmod(F.xxhash64("node", F.lit(31)), F.col("_blocks")).cast("int")
+    hosts = left.withColumns({"block": own, "side": F.lit(0)})
+    guests = left.where("root <> _largest").withColumns(
+        {"block": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)), "side": F.lit(1)}
+    )
+    columns = [F.xxhash64("band", "block").alias("pair"), "side", "node", "root", "fingerprint"]
+    dealt = (
+        hosts.select(*columns)
+        .unionByName(guests.select(*columns))
+        .repartition(partitions(prints.sparkSession), "pair")
+        .sortWithinPartitions("pair")
+    )
 
-    kind = documents.schema[key].dataType.simpleString()
-    return pairs.mapInArrow(verify, f"`{key}` {kind}, representative {kind}, likeness double")
+    def compare(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        likeness, tried = Likeness(), {}
+        for batch in whole_groups(batches):
+            keys, side, nodes, root = (batch.column(i).to_numpy() for i in range(4))
+            prints_ = batch.column(4).to_pylist()
+            found = set()
+            for start, end in runs(keys):
+                part = np.arange(start, end)
+                left, right = part[side[start:end] == 0], part[side[start:end] == 1]
+                x, y, weight = [], [], []
+                for j in right.tolist():
+                    for i in left[root[left] != root[j]].tolist():
+                        pair = (min(nodes[i], nodes[j]), max(nodes[i], nodes[j]))
+                        if pair not in tried:
+                            if len(tried) >= REMEMBERED:
+                                tried.clear()
+                            tried[pair] = likeness(prints_[i], prints_[j])
+                        if tried[pair] >= least:
+                            x.append(i)
+                            y.append(j)
+                            weight.append(1.0 - tried[pair])
+                if x:
+                    x, y = np.array(x), np.array(y)
+                    few = spanning(root[x], root[y], np.array(weight))
+                    found.update(zip(nodes[x[few]].tolist(), nodes[y[few]].tolist()))
+            if found:
+                a, b = zip(*found)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    more = stored(dealt.mapInArrow(compare, "a bigint, b bigint"), "links")
+    roots = connected(links.unionByName(more)).withColumnRenamed("node", "_node")
+    rooted = named.join(roots, named["node"] == roots["_node"], "left").select(
+        "fingerprint", "_key", F.coalesce("root", "node").alias("root")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("_key").alias("near_group"))
+    return rooted.join(smallest, "root").select("fingerprint", "near_group")

@@ -22,7 +22,7 @@ from attestry.llm import (
     unigram,
     urls,
 )
-from attestry.llm.common import table
+from attestry.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,7 +100,10 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_edit_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edit_embedding.edit_probe(table(spark, sf_dir, "documents"))
+    """Fingerprints, and the smallest id that banded and verified fingerprints lead to."""
+    probe = stored(edit_embedding.edit_probe(table(spark, sf_dir, "documents")), "probe")
+    groups = edit_embedding.near_groups(probe.select("doc_id", "fingerprint"))
+    return probe.join(groups, "fingerprint").select(*probe.columns, "near_group")
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

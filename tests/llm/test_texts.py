@@ -222,8 +222,54 @@ def test_edit_embedding_tells_near_from_far(spark):
     assert likeness(a, a) == 1 and likeness(d, a) == 0 and likeness(d, d) == 1
     assert likeness(a, b) > 0.8 > 0.4 > likeness(a, c)
     docs = _docs(spark, [base, near, other, base, None, ""])
-    found = {(r["doc_id"], r["representative"]) for r in edit_embedding.band_links(docs).collect()}
-    assert found == {(1, 0)}
+    prints = edit_embedding.fingerprint(docs)
+    groups = {r["fingerprint"]: r["near_group"] for r in edit_embedding.near_groups(prints).collect()}
+    assert [groups[p] for p in (a, b, c, d)] == [0, 0, 2, 4]
+
+
+@pytest.mark.parametrize("block", [4, 512])
+def test_near_groups_equal_brute_force(spark, monkeypatch, block):
+    draw = random.Random(12)
+    letters = "abcdefghij é"
+
+    def changed(text, edits):
+        chars = list(text)
+        for _ in range(edits):
+            chars[draw.randrange(len(chars))] = draw.choice(letters)
+        return "".join(chars)
+
+    base = "".join(draw.choice(letters) for _ in range(700))
+    texts = [None, "", base, base, "a" * 170, "a" * 171, "short", "short", "shorter"]
+    for _ in range(60):  # near copies in chains
+        texts.append(changed(base, draw.randint(0, 12)))
+        if draw.random() < 0.3:
+            base = texts[-1]
+    for size in (80, 83, 84, 90, 340, 343, 345):  # on both sides of steps of the level
+        own = "".join(draw.choice(letters) for _ in range(size))
+        texts += [own, own + "z", changed(own, 2)]
+    keys = list(range(len(texts)))
+    draw.shuffle(keys)
+    rows = [*zip(keys, texts), (None, texts[2]), (None, "nobody else"), (3, texts[12])]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    prints = edit_embedding.fingerprint(docs).cache()
+    found = {r["fingerprint"]: r["near_group"] for r in edit_embedding.near_groups(prints, block=block).collect()}
+    prints_ = edit_embedding.embed([t or "" for _, t in rows])
+    likeness, places = edit_embedding.Likeness(), edit_embedding.band_places(16, 6)
+    bands = {p: set(edit_embedding.bands_of(p, places, likeness)) for p in set(prints_)}
+    group = {p: {p} for p in bands}
+    for p in bands:
+        for q in bands:
+            if p < q and bands[p] & bands[q] and likeness(p, q) >= 0.8 and group[p] is not group[q]:
+                group[p] |= group[q]
+                for member in group[q]:
+                    group[member] = group[p]
+    least = {}
+    for (key, _), p in zip(rows, prints_):
+        name = min(group[p])
+        if key is not None:
+            least[name] = min(key, least.get(name, key))
+    assert found == {p: least.get(min(group[p])) for p in bands}
+    assert len(set(map(id, group.values()))) < len(bands) - 40
 
 
 def test_fingerprints_of_one_text_in_any_company():
