@@ -464,6 +464,13 @@ _SQL = {
                                 order by {_ext_label("name")}) as file_types
               from blob where {_case("name")} is not null group by 1
               order by num_files desc, first_name limit 500)""",
+    "q04c_case_file_types": f"""
+        select ras_id, chunk_no, substr(text, chunk_no * 16 + 1, 16) as text
+        from (select *, unnest(range((length(text) + 15) // 16)) as chunk_no
+              from (select {_case("name")} as ras_id,
+                           string_agg(distinct {_ext_label("name")}, ', '
+                                      order by {_ext_label("name")}) as text
+                    from blob where {_case("name")} is not null group by 1))""",
     "q05_files_per_case_stats": f"""
         select min(n) as min_files, {_round1("sum(n)::double / count(*)")} as avg_files,
                list_sort(list(n))[count(*) // 2 + 1] as median_files, max(n) as max_files,

@@ -465,6 +465,9 @@ _QUERIES: dict[str, Query] = {
     "q04b_largest_cases": _over_objects(
         lambda objects: inventory.case_coverage(objects, inventory.TOP_CASES)
     ),
+    "q04c_case_file_types": _over_objects(
+        lambda objects: inventory.case_file_types(objects, chunk_chars=16)
+    ),
     "q05_files_per_case_stats": _over_objects(inventory.files_per_case),
     "q06_sample_paths": _over_objects(inventory.sample_paths),
     "q07_path_parse": _over_objects(inventory.parse_paths),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from attestry.functions.amounts import format_size, percentage, round1, size_bucket
 from attestry.functions.paths import case_id, extension_label
+from attestry.operators.running import cut_in_chunks, with_totals_before
 from attestry.schemas import SIZE_BUCKETS
 
 TOP_EXTENSIONS = 15
@@ -144,6 +145,35 @@ def case_coverage(objects: DataFrame, top: int | None = None) -> DataFrame:
     )
 
 
+def case_file_types(objects: DataFrame, chunk_chars: int = 65_536) -> DataFrame:
+    """(ras_id, chunk_no, text): the extensions of every case, joined by ", ", in chunks.
+
+    The same text as ``file_types`` of ``case_coverage``, for cases of any number of
+    extensions: places come from running totals over blocks of names that begin alike,
+    so neither the extensions of a case nor their text meet in one value.
+    """
+    kinds = parse_paths(objects).where(F.col("ras_id").isNotNull()).select("ras_id", "extension").distinct()
+    first_bytes = F.rpad(F.left(F.hex(F.col("extension").cast("binary")), F.lit(6)), 6, "0")
+    separator = ", "
+    placed = with_totals_before(
+        kinds.withColumn("_head", F.conv(first_bytes, 16, 10).cast("bigint")),
+        ["ras_id"],
+        "_head",
+        {
+            "before": F.length("extension").cast("bigint") + len(separator),
+            "place": F.lit(1).cast("bigint"),
+        },
+        ["extension"],
+        block=1,
+    )
+    later = F.col("place") > 0
+    own = F.when(later, F.concat(F.lit(separator), "extension")).otherwise(F.col("extension"))
+    start = F.col("before") - F.when(later, len(separator)).otherwise(0)
+    return cut_in_chunks(
+        placed.select("ras_id", own.alias("own"), start.alias("start")), ["ras_id"], chunk_chars
+    )
+
+
 def files_per_case(objects: DataFrame) -> DataFrame:
     """One row: least, mean, upper median and most files of a case."""
     cases = (

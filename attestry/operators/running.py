@@ -50,3 +50,28 @@ def with_totals_before(
         {name: F.col(name) + F.col(f"_shift_{name}") for name in totals}
     )
     return shifted.drop("_block", *(f"_{n}" for n in totals), *(f"_shift_{n}" for n in totals))
+
+
+def cut_in_chunks(
+    placed: DataFrame, group: Sequence[str], chunk_chars: int, own: str = "own", start: str = "start"
+) -> DataFrame:
+    """``(*group, chunk_no, text)`` from texts that know where they start in that of their group.
+
+    Chunk k (from 0) holds the characters from ``k * chunk_chars`` on. Texts are cut
+    where chunks end and meet again by chunk, so no value is longer than a chunk.
+    """
+    size = F.lit(chunk_chars).cast("bigint")
+    last = F.floor((F.col(start) + F.length(own) - 1) / size)
+    numbers = F.sequence(F.floor(F.col(start) / size), last)
+    cut = placed.where(F.length(own) > 0).withColumn("chunk_no", F.explode(numbers))
+    begin = F.greatest(F.col("chunk_no") * size - F.col(start), F.lit(0)).cast("int")
+    end = F.least((F.col("chunk_no") + 1) * size - F.col(start), F.length(own)).cast("int")
+    pieces = cut.select(
+        *group,
+        "chunk_no",
+        F.col(start).alias("_start"),
+        F.substring(F.col(own), begin + 1, end - begin).alias("_piece"),
+    )
+    return pieces.groupBy(*group, "chunk_no").agg(
+        F.expr("listagg(_piece, '') within group (order by _start)").alias("text")
+    )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestry.functions.text import as_column, shorten
-from attestry.operators.running import with_totals_before
+from attestry.operators.running import cut_in_chunks, with_totals_before
 
 # How the parts of a workbook are put together.
 SHEET_HEADER = "=== Sheet: {sheet} ==="
@@ -180,20 +180,7 @@ def sheet_chunks(
         .cast("bigint")
         .alias("start"),
     )
-    size = F.lit(chunk_chars).cast("bigint")
-    last = F.floor((F.col("start") + F.length("own") - 1) / size)
-    cut = own.withColumn("chunk_no", F.explode(F.sequence(F.floor(F.col("start") / size), last)))
-    begin = F.greatest(F.col("chunk_no") * size - F.col("start"), F.lit(0)).cast("int")
-    end = F.least((F.col("chunk_no") + 1) * size - F.col("start"), F.length("own")).cast("int")
-    pieces = cut.select(
-        *group,
-        "chunk_no",
-        "start",
-        F.substring(F.col("own"), begin + 1, end - begin).alias("piece"),
-    )
-    return pieces.groupBy(*group, "chunk_no").agg(
-        F.expr("listagg(piece, '') within group (order by start)").alias("text")
-    )
+    return cut_in_chunks(own, group, chunk_chars)
 
 
 def sheet_sizes(

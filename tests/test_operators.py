@@ -30,6 +30,17 @@ def objects(spark):
     return spark.createDataFrame(rows, "name string, size bigint")
 
 
+def test_extensions_of_a_case_in_chunks(spark):
+    names = [f"R_1_2025/f.{'é' * (i % 3)}x{i}" for i in range(3000)] + ["R_1_2025/plain", "R_2_2025/b.PDF", "none/x.y"]
+    frame = spark.createDataFrame([(n, 1) for n in names + names[:9]], "name string, size bigint")
+    chunks = inventory.case_file_types(frame, chunk_chars=50).collect()
+    texts = {}
+    for row in sorted(chunks, key=lambda r: r["chunk_no"]):
+        assert len(row["text"]) <= 50
+        texts[row["ras_id"]] = texts.get(row["ras_id"], "") + row["text"]
+    assert texts == {r["ras_id"]: r["file_types"] for r in inventory.case_coverage(frame).collect()}
+
+
 def test_summary(objects):
     row = inventory.inventory_summary(objects).first()
     assert (row["total_files"], row["distinct_cases"]) == (8, 3)
