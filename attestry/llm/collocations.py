@@ -9,12 +9,13 @@ the piece ends there. So only the longest sequences are counted, once per
 position, and every shorter count is derived from them.
 
 Sequences are counted inside each task first. Their keys are numbers of words in a
-dictionary that travels with them, one row for each bucket of first word pairs, so
-what is shuffled are few rows of packed columns. A bucket holds all sequences that
-begin with its pairs: sorted by their words, the sequences of one node lie next to
-each other, and a sum over each run gives its flow. A node with one way on (a unary
-path) is one run for all its lengths. Counts of single words are summed apart, in
-buckets of their own, since a word begins many pairs.
+dictionary that travels with them, one row for each bucket of nodes, so what is
+shuffled are few rows of packed columns. A bucket holds all edges out of its nodes:
+sorted by their words, the edges of one node lie next to each other, and a sum over
+each run gives its flow. A node with one way on (a unary path) is one run, whatever
+its weight. The pairs that begin its nodes leave a bucket packed, with the part of
+their flow that it saw, and are summed up in buckets of pairs: a pair that begins a
+third of all sequences is one entry per bucket. Single words are summed likewise.
 
 Only phrases that reach the least count leave the buckets; parts of a phrase occur
 at least as often as the phrase, so all that scores need is among them.
@@ -36,7 +37,9 @@ BUCKET_BYTES = 8 << 20
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 BLANKS = b" \t"
 _PACKED = "lang string, bucket int, kind int, words binary, ids binary, counts binary"
-_COUNTED = "lang string, k int, phrase string, f bigint"
+_COUNTED = f"k int, phrase string, f bigint, {_PACKED}"
+# Kinds of packed rows: counts of words, of pairs, of sequences.
+WORDS, PAIRS, EDGES = 1, 2, 4
 
 
 def count_phrases(docs: DataFrame, min_count: int = 30) -> DataFrame:
@@ -54,7 +57,13 @@ def count_phrases(docs: DataFrame, min_count: int = 30) -> DataFrame:
     packed = given.select("lang", F.col("text").cast("binary").alias("text")).mapInArrow(
         _packing(buckets), _PACKED
     )
-    return packed.groupBy("lang", "bucket", "kind").applyInArrow(_merging(min_count), _COUNTED)
+    keys = ["lang", "bucket", "kind"]
+    merge = _merging(min_count, max(1, buckets // 4))
+    first = stored(packed.groupBy(*keys).applyInArrow(merge, _COUNTED), "edges")
+    pairs = first.where("kind is not null").select(*_names(_PACKED))
+    second = pairs.groupBy(*keys).applyInArrow(merge, _COUNTED)
+    columns = ["lang", "k", "phrase", "f"]
+    return first.where("k is not null").select(*columns).unionByName(second.select(*columns))
 
 
 def mine(
@@ -125,6 +134,10 @@ def mine(
     )
 
 
+def _names(schema: str) -> list[str]:
+    return [column.split()[0] for column in schema.split(", ")]
+
+
 def _tables():
     """Lower case of A-Z by byte, and the class of a byte: 0 word, 1 blank, 2 end of piece."""
     import numpy as np
@@ -168,20 +181,23 @@ def split_words(data: bytes):
 
 
 def _unique_rows(grams, counts, size: int):
-    """Distinct rows of four numbers below ``size``, sorted, with the sums of ``counts``."""
+    """Distinct rows of numbers below ``size``, sorted, with the sums of ``counts``."""
     import numpy as np
 
-    head = grams[:, 0] * np.uint64(size) + grams[:, 1]
-    tail = grams[:, 2] * np.uint64(size) + grams[:, 3]
-    if size < 2**16:
-        order = np.argsort(head * np.uint64(size) ** np.uint64(2) + tail, kind="stable")
-    else:
-        order = np.lexsort((tail, head))
-    head, tail = head[order], tail[order]
-    new = np.ones(len(head), dtype=bool)
-    new[1:] = (head[1:] != head[:-1]) | (tail[1:] != tail[:-1])
+    keys = [
+        grams[:, k].astype(np.uint64) * np.uint64(size) + grams[:, k + 1]
+        for k in range(0, grams.shape[1], 2)
+    ]
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    order = order.astype(np.uint32)
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = False
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
+    del keys
     at = np.flatnonzero(new)
-    sums = np.diff(np.append(at, len(head))) if counts is None else np.add.reduceat(counts[order], at)
+    sums = np.diff(np.append(at, len(new))) if counts is None else np.add.reduceat(counts[order], at)
     return grams[order[at]], sums
 
 
@@ -193,6 +209,44 @@ def _word_hashes(words):
     return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in words), dtype=np.uint64, count=len(words))
 
 
+def _bucket_of(grams, hashes, words: int, buckets: int):
+    """The bucket of each row, by its first ``words`` words."""
+    import numpy as np
+
+    padded = np.append(np.uint64(0), hashes)
+    mixed = np.zeros(len(grams), dtype=np.uint64)
+    for k in range(words):
+        mixed = mixed * np.uint64(0x9E3779B97F4A7C15) + padded[grams[:, k]]
+        mixed ^= mixed >> np.uint64(32)
+    return mixed % np.uint64(buckets)
+
+
+def _packed_rows(lang, kind: int, bucket, grams, counts, spelled):
+    """One row for each bucket: words, numbers of words by column, counts."""
+    import numpy as np
+
+    order = np.argsort(bucket, kind="stable")
+    bucket, grams, counts = bucket[order], grams[order], counts[order]
+    edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    number = np.zeros(len(spelled) + 1, dtype=np.uint32)
+    for start, stop in zip(edges, np.append(edges[1:], len(bucket))):
+        part = grams[start:stop]
+        used = np.zeros(len(spelled) + 1, dtype=bool)
+        used[part.ravel()] = True
+        used[0] = False
+        here = np.flatnonzero(used)
+        number[here] = np.arange(1, len(here) + 1)
+        width = "<u4" if int(counts[start:stop].max()) < 2**32 else "<u8"
+        yield (
+            lang,
+            int(bucket[start]),
+            kind,
+            b"\n".join([spelled[i - 1] for i in here]),
+            number[part].astype("<u4").T.tobytes(),
+            counts[start:stop].astype(width).tobytes(),
+        )
+
+
 def _packing(buckets: int):
     def rows_of(lang, data):
         import numpy as np
@@ -203,42 +257,17 @@ def _packing(buckets: int):
         size = len(words) + 1
         spelled = words.to_pylist()
         hashes = _word_hashes(spelled)
-        grams = np.zeros((len(ids), LONGEST), dtype=np.uint64)
+        grams = np.zeros((len(ids), LONGEST), dtype=np.uint32)
         for k in range(min(LONGEST, len(ids))):
             fits = np.flatnonzero(left > k)
             grams[fits, k] = ids[fits + k] + 1
         singles = np.bincount(ids, minlength=size - 1)
         grams, counts = _unique_rows(grams, None, size)
-        first, second = grams[:, 0] - np.uint64(1), grams[:, 1]
-        pair = hashes[first] * np.uint64(0x9E3779B97F4A7C15) + np.append(np.uint64(0), hashes)[second]
-        pair ^= pair >> np.uint64(32)
-        yield from packed_rows(lang, 2, pair % np.uint64(buckets), grams, counts, spelled)
-        alone = np.zeros((size - 1, 1), dtype=np.uint64)
-        alone[:, 0] = np.arange(1, size)
-        yield from packed_rows(lang, 1, hashes % np.uint64(buckets), alone, singles, spelled)
-
-    def packed_rows(lang, kind, bucket, grams, counts, spelled):
-        import numpy as np
-
-        order = np.argsort(bucket, kind="stable")
-        bucket, grams, counts = bucket[order], grams[order].astype(np.int64), counts[order]
-        edges = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-        number = np.zeros(len(spelled) + 1, dtype=np.int64)
-        for start, stop in zip(edges, np.append(edges[1:], len(bucket))):
-            part = grams[start:stop]
-            used = np.zeros(len(spelled) + 1, dtype=bool)
-            used[part.ravel()] = True
-            used[0] = False
-            here = np.flatnonzero(used)
-            number[here] = np.arange(1, len(here) + 1)
-            yield (
-                lang,
-                int(bucket[start]),
-                kind,
-                b"\n".join([spelled[i - 1] for i in here]),
-                number[part].astype("<u4").T.tobytes(),
-                counts[start:stop].astype("<u4").tobytes(),
-            )
+        bucket = _bucket_of(grams, hashes, LONGEST - 1, buckets)
+        yield from _packed_rows(lang, EDGES, bucket, grams, counts, spelled)
+        alone = np.arange(1, size, dtype=np.uint32)[:, None]
+        bucket = _bucket_of(alone, hashes, 1, buckets)
+        yield from _packed_rows(lang, WORDS, bucket, alone, singles, spelled)
 
     def pieces_of(text):
         """``text`` in parts of about FLUSH_BYTES that end where a piece ends."""
@@ -256,7 +285,7 @@ def _packing(buckets: int):
     def pack(batches):
         import pyarrow as pa
 
-        names = ["lang", "bucket", "kind", "words", "ids", "counts"]
+        names = _names(_PACKED)
         kinds = [pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary()]
 
         def table(rows):
@@ -283,72 +312,94 @@ def _packing(buckets: int):
     return pack
 
 
-def _merging(min_count: int):
-    """Counts of one bucket: sequences of all tasks, and from them those of their beginnings."""
+def _merging(min_count: int, pair_buckets: int):
+    """Counts of one bucket: sequences of all tasks, and from them those of their beginnings.
+
+    Phrases come out with their counts; the pairs of an edge bucket, of which other
+    buckets hold their part, come out packed.
+    """
 
     def merge(packed):
         import numpy as np
         import pyarrow as pa
 
         lang, kind = packed.column("lang")[0].as_py(), packed.column("kind")[0].as_py()
-        width = LONGEST if kind == 2 else 1
         spelled = packed.column("words").to_pylist()
+        sizes = [w.count(b"\n") + 1 for w in spelled]
         raw = np.frombuffer(b"\n".join(spelled), dtype=np.uint8)
+        del spelled
         ends = np.append(np.flatnonzero(raw == 10), len(raw))
-        lengths = np.diff(np.append(-1, ends)) - 1
         offsets = np.zeros(len(ends) + 1, dtype=np.int64)
-        np.cumsum(lengths, out=offsets[1:])
+        np.cumsum(np.diff(np.append(-1, ends)) - 1, out=offsets[1:])
         letters = np.ascontiguousarray(raw[raw != 10])
         words = pa.Array.from_buffers(
             pa.large_binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]
         ).dictionary_encode()
-        merged = words.indices.to_numpy().astype(np.uint64) + np.uint64(1)
-        sizes = [w.count(b"\n") + 1 for w in spelled]
-        del spelled, raw, letters
+        del raw, letters
+        merged = words.indices.to_numpy().astype(np.uint32) + np.uint32(1)
         grams, counts, base = [], [], 0
         for ids, number, size in zip(packed.column("ids"), packed.column("counts"), sizes):
-            own = np.concatenate([np.zeros(1, dtype=np.uint64), merged[base : base + size]])
-            grams.append(own[np.frombuffer(ids.as_py(), dtype="<u4").reshape(width, -1).T])
-            counts.append(np.frombuffer(number.as_py(), dtype="<u4").astype(np.int64))
+            own = np.concatenate([np.zeros(1, dtype=np.uint32), merged[base : base + size]])
+            rows = own[np.frombuffer(ids.as_py(), dtype="<u4").reshape(kind, -1).T]
+            raw = number.as_py()
+            wide = len(raw) == 8 * len(rows)
+            grams.append(rows)
+            counts.append(np.frombuffer(raw, dtype="<u8" if wide else "<u4"))
             base += size
-        grams, counts = np.concatenate(grams), np.concatenate(counts)
+        grams, counts = np.concatenate(grams), np.concatenate(counts).astype(np.int64)
         names = words.dictionary
 
-        out_k, out_phrase, out_f = [], [], []
+        out_k, out_phrase, out_f, partial = [], [], [], []
 
         def keep(k, rows, f):
             often = f >= min_count
             numbers = rows[often][:, :k].astype(np.int64) - 1
             spelled = names.take(pa.array(numbers.ravel())).to_pylist()
-            out_phrase.extend(b" ".join(spelled[i : i + k]).decode() for i in range(0, len(spelled), k))
+            out_phrase.extend(
+                b" ".join(spelled[i : i + k]).decode("utf-8", "replace")
+                for i in range(0, len(spelled), k)
+            )
             out_f.extend(f[often].tolist())
             out_k.extend([k] * int(often.sum()))
 
-        if width == 1:
+        if kind == WORDS:
             sums = np.zeros(len(names) + 1, dtype=np.int64)
             np.add.at(sums, grams[:, 0].astype(np.int64), counts)
-            keep(1, np.arange(1, len(names) + 1, dtype=np.uint64)[:, None], sums[1:])
+            keep(1, np.arange(1, len(names) + 1)[:, None], sums[1:])
             out_k.append(0)
             out_phrase.append("")
             out_f.append(int(counts.sum()))
         else:
             grams, counts = _unique_rows(grams, counts, len(names) + 1)
-            for k in range(LONGEST, 1, -1):
+            for k in range(grams.shape[1], 1, -1):
                 # Runs of sequences that begin with the same k words.
                 new = np.ones(len(grams), dtype=bool)
                 new[1:] = (grams[1:, :k] != grams[:-1, :k]).any(axis=1)
                 at = np.flatnonzero(new)
                 flow = np.add.reduceat(counts, at)
                 full = grams[at, k - 1] > 0
-                keep(k, grams[at[full]], flow[full])
-        return pa.table(
-            [
-                pa.array([lang] * len(out_k), pa.string()),
-                pa.array(out_k, pa.int32()),
-                pa.array(out_phrase, pa.string()),
-                pa.array(out_f, pa.int64()),
-            ],
-            names=["lang", "k", "phrase", "f"],
-        )
+                rows, flow = grams[at[full]], flow[full]
+                if k > PAIRS or kind == PAIRS:
+                    keep(k, rows, flow)
+                elif len(rows):
+                    spelled = names.to_pylist()
+                    bucket = _bucket_of(rows, _word_hashes(spelled), PAIRS, pair_buckets)
+                    pairs = np.ascontiguousarray(rows[:, :PAIRS])
+                    partial = list(_packed_rows(lang, PAIRS, bucket, pairs, flow, spelled))
+        n, m = len(out_k), len(partial)
+        packed_columns = list(zip(*partial)) if partial else [[]] * 6
+        columns = [
+            pa.array(out_k + [None] * m, pa.int32()),
+            pa.array(out_phrase + [None] * m, pa.string()),
+            pa.array(out_f + [None] * m, pa.int64()),
+            pa.array([lang] * (n + m), pa.string()),
+            *(
+                pa.array([None] * n + list(column), type_)
+                for column, type_ in zip(
+                    packed_columns[1:], (pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                )
+            ),
+        ]
+        return pa.table(columns, names=_names(_COUNTED))
 
     return merge
