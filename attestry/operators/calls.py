@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from attestry.functions.prompts import IMAGE_DETAIL, PromptTemplate
+from attestry.functions.prompts import IMAGE_DETAIL
 from attestry.operators.sheets import PART_SEPARATOR
 from attestry.schemas import CONTENT_PIECE, REQUEST_KEYS, RESPONSE
 

@@ -4,7 +4,6 @@ import re
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
 
 from attestry import build_manifest, profile_inventory, select_cases
 from attestry.operators import inventory, resolve, sampling, sheets
