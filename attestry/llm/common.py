@@ -42,7 +42,17 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
         frame.write.parquet(path)
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
-    return spark.read.schema(frame.schema).parquet(path)
+    written = spark.read.schema(frame.schema).parquet(path)
+    written._stored_path = path
+    return written
+
+
+def dropped(*frames: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing will read again: all that came of them is stored."""
+    for frame in frames:
+        session = frame.sparkSession
+        path = session._jvm.org.apache.hadoop.fs.Path(frame._stored_path)
+        path.getFileSystem(session._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

@@ -18,7 +18,9 @@ the part of the prefix that these sizes need. Candidates are verified on whole t
 Groups of copies: sets that are equal are one node. In each bucket every member is
 first compared with one hub, the member that needs the shortest prefix; components
 of these links are formed. Only buckets whose members are not yet of one component
-are looked at again, in blocks against blocks: pairs of different components whose
+are looked at again, in blocks: all members of a block meet those members of the
+bucket that lie outside its largest component, as no pair inside one component can
+join components. Pairs of different components whose
 sizes, prefixes and sketches (numbers of shingles by hash bin, whose differences
 cannot exceed those of the sets) allow a link. Of these, each pair of blocks first
 gives a spanning forest, the nearest sketches before others; these are verified and
@@ -28,18 +30,19 @@ are emitted, and no link that could join components is lost.
 
 Cases: null or empty text, or text without words, has no shingles and no links; a
 text of fewer than ``n`` words is one shingle; equal texts are linked; repeated rows
-are equal texts; an empty table gives an empty one. Sets and shingles are told apart
-by 64-bit hashes. Component ids are the smallest key, ties cannot occur.
+are equal texts; rows that share a key, or have none, are rows of their own; an empty
+table gives an empty one. Sets and shingles are told apart by 64-bit hashes.
+Component ids are the smallest key, null where no row of the component has one.
 """
 
 from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attestry.llm.common import in_block_pairs, partitions, runs, stored, whole_groups
+from attestry.llm.common import dropped, partitions, runs, stored, whole_groups
 from attestry.llm.components import connected
 
 WORDS = 4
@@ -51,9 +54,15 @@ MAX_FREQUENT = 262_144
 MAX_SEEN = 300_000
 # Bytes of text that are hashed at a time.
 PIECE = 1 << 15
+# Words of this many bytes are hashed by themselves: sums over that many bytes can be
+# made to agree.
+LONG_WORD = 64
 # Bins of the sketch that bounds how much two sets differ, and rows of a block.
 BINS = 256
 BLOCK = 512
+# Partners of a set up to which they meet in a join, and those of a hub in one part.
+FEW_PAIRS = 16
+HUB_PAIRS = 256
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -72,7 +81,7 @@ class Words:
 
     A word is a polynomial in its bytes, each of which stands for a fixed random number,
     blanks for zero: one sum over a piece of text gives the hashes of all words in it.
-    Pieces end at blanks; words of PIECE bytes and more are hashed by themselves.
+    Pieces end at blanks; words of LONG_WORD bytes and more are hashed by themselves.
     """
 
     def __init__(self):
@@ -103,15 +112,25 @@ class Words:
 
         codes = np.frombuffer(raw, dtype=np.uint8)
         inside = self.inside[codes]
-        starts = np.flatnonzero(np.diff(inside, prepend=np.int8(0)) > 0)
+        steps = np.diff(inside, prepend=np.int8(0), append=np.int8(0))
+        starts = np.flatnonzero(steps > 0)
         if not len(starts):
             return np.empty(0, dtype=np.uint64)
         terms = self.letters[codes] * self.powers[: len(codes)]
-        return np.add.reduceat(terms, starts) * self.inverse[starts]
+        hashes = np.add.reduceat(terms, starts) * self.inverse[starts]
+        ends = np.flatnonzero(steps < 0)
+        for i in np.flatnonzero(ends - starts >= LONG_WORD).tolist():
+            hashes[i] = self.whole(raw[starts[i] : ends[i]])
+        return hashes
+
+    @staticmethod
+    def whole(word: bytes):
+        import xxhash
+
+        return xxhash.xxh3_64_intdigest(word.lower())
 
     def __call__(self, text: str | None):
         import numpy as np
-        import xxhash
 
         raw = text.encode() if text else b""
         if len(raw) < PIECE:
@@ -124,8 +143,7 @@ class Words:
             last = end - len(b"".join(raw[at:end].rsplit(None, 1)[-1:]))
             if end - last >= PIECE:
                 found.append(self._piece(raw[at:last]))
-                whole = xxhash.xxh3_64_intdigest(raw[last:end].lower())
-                found.append(np.array([whole], dtype=np.uint64))
+                found.append(np.array([self.whole(raw[last:end])], dtype=np.uint64))
             else:
                 found.append(self._piece(raw[at:end]))
             at = end
@@ -266,7 +284,8 @@ def spanning(left, right, weight):
 def across_blocks(batches, percent: int, forest: bool):
     """Rows (pair, side, set_id, size, need, root, hub, sketch, key) sorted by pair -> possible pairs.
 
-    With ``forest``, only pairs that connect what the possible ones of a block pair
+    Side 0 are the members of a block, side 1 the guests that each of them meets, side 2
+    the members of a bucket of one block, which meet each other. With ``forest``, only pairs that connect what the possible ones of a block pair
     connect, and a row with the key alone where others are left out.
     """
     import numpy as np
@@ -318,7 +337,10 @@ def across_blocks(batches, percent: int, forest: bool):
 
 
 def shingle_sets(documents: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
-    """(key, n_shingles, set_id, head): each document's set, and the shortest prefix by hash."""
+    """(key, digest, n_shingles, set_id, head): each row's set, and the shortest prefix by hash.
+
+    ``digest`` is that of the text (null counts as empty).
+    """
     kind = documents.schema[key].dataType.simpleString()
 
     def run(batches):
@@ -328,21 +350,33 @@ def shingle_sets(documents: DataFrame, key: str, text: str, n: int, percent: int
         shingles = Shingles(n)
         for batch in batches:
             sizes, ids, heads = [], [], []
-            for value in batch.column(1).to_pylist():
+            for value in batch.column(2).to_pylist():
                 own = shingles(value)
                 sizes.append(len(own))
                 ids.append(xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63))
                 heads.append(own[: losses(len(own), percent) // 2 + 1].view("int64"))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(heads, pa.list_(pa.int64()))],
-                names=[key, "n_shingles", "set_id", "head"],
+                [
+                    batch.column(0),
+                    batch.column(1),
+                    pa.array(sizes, pa.int64()),
+                    pa.array(ids, pa.int64()),
+                    pa.array(heads, pa.list_(pa.int64())),
+                ],
+                names=[key, "digest", "n_shingles", "set_id", "head"],
             )
 
-    return documents.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_shingles bigint, set_id bigint, head array<bigint>"
+    return documents.select(key, text_digest(text).alias("digest"), text).mapInArrow(
+        run, f"`{key}` {kind}, digest binary, n_shingles bigint, set_id bigint, head array<bigint>"
     )
 
 
+def text_digest(text: str) -> Column:
+    """The first half of the SHA-256 digest of a text, null as empty."""
+    whole = F.unhex(F.sha2(F.coalesce(text, F.lit("")).cast("binary"), 256))
+    return F.substring(whole, 1, 16)
+
+
 def set_signatures(documents: DataFrame, text: str, n: int, percent: int, frequent) -> DataFrame:
     """(set_id, size, keys, needs, sketch), at most once for each set and task."""
     import numpy as np
@@ -390,41 +424,88 @@ def set_signatures(documents: DataFrame, text: str, n: int, percent: int, freque
 
 
 def verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of sets whose texts really are similar."""
-    sides = pairs.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b"
+    """The pairs (a, b) of sets whose texts really are similar.
+
+    A set with few partners meets them in a join. The partners of a hub come to it in
+    parts of about HUB_PAIRS, each part with one copy of the text of the hub, so its
+    text is sent once per part and not once per pair.
+    """
+    counts = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n"))
+    hubs = counts.where(F.col("_n") > FEW_PAIRS).select(
+        "b", F.ceil(F.col("_n") / HUB_PAIRS).cast("int").alias("_parts")
     )
+    of_a = texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a"))
+    of_b = texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b"))
+    columns = ["b", "part", "a", "text"]
 
-    def run(batches):
-        import numpy as np
-        import pyarrow as pa
+    few = pairs.join(hubs, "b", "left_anti").join(of_a, "a").join(of_b, "b")
+    few = few.select("a", "b", "text_a", "text_b").mapInArrow(
+        partial(similar_pairs, n=n, percent=percent), "a bigint, b bigint"
+    )
 
-        shingles, kept, held = Shingles(n), {}, 0
-        for batch in batches:
-            names = [batch.column(i).to_pylist() for i in range(2)]
-            texts_ = [batch.column(i) for i in (2, 3)]
-            good = []
-            for row in range(batch.num_rows):
-                sets = []
-                for name, column in zip(names, texts_):
-                    own = kept.get(name[row])
-                    if own is None:
-                        own = shingles(column[row].as_py())
-                        if held > 4_000_000:
-                            kept.clear()
-                            held = 0
-                        kept[name[row]] = own
-                        held += len(own)
-                    sets.append(own)
-                small, large = sorted(sets, key=len)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                shared = int((large[at] == small).sum())
-                good.append(100 * shared >= percent * (len(small) + len(large) - shared))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v for v, g in zip(x, good) if g], pa.int64()) for x in names], names=["a", "b"]
-            )
+    part = F.pmod(F.xxhash64("a", F.lit(47)), F.col("_parts")).cast("int")
+    partners = (
+        pairs.join(hubs, "b")
+        .select("b", part.alias("part"), "a")
+        .join(of_a, "a")
+        .select("b", "part", "a", F.col("text_a").alias("text"))
+    )
+    own = (
+        hubs.select("b", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("part"))
+        .join(of_b, "b")
+        .select("b", "part", F.lit(None).cast("bigint").alias("a"), F.col("text_b").alias("text"))
+    )
+    many = (
+        own.select(*columns)
+        .unionByName(partners.select(*columns))
+        .repartition(partitions(pairs.sparkSession), "b", "part")
+        .sortWithinPartitions("b", "part", F.col("a").asc_nulls_first())
+        .mapInArrow(partial(similar_to_hub, n=n, percent=percent), "a bigint, b bigint")
+    )
+    return few.unionByName(many)
+
+
+def similar(one, other, percent: int) -> bool:
+    import numpy as np
+
+    small, large = sorted((one, other), key=len)
+    at = np.minimum(np.searchsorted(large, small), len(large) - 1)
+    shared = int((large[at] == small).sum())
+    return 100 * shared >= percent * (len(small) + len(large) - shared)
+
+
+def similar_pairs(batches, n: int, percent: int):
+    """Rows (a, b, text_a, text_b), those of one b together -> similar pairs."""
+    import pyarrow as pa
+
+    shingles, last, own = Shingles(n), None, None
+    for batch in batches:
+        good = ([], [])
+        names = (batch.column(i).to_pylist() for i in range(2))
+        for a, b, text_a, text_b in zip(*names, batch.column(2), batch.column(3)):
+            if b != last:
+                last, own = b, shingles(text_b.as_py())
+            if similar(own, shingles(text_a.as_py()), percent):
+                good[0].append(a)
+                good[1].append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in good], names=["a", "b"])
+
+
+def similar_to_hub(batches, n: int, percent: int):
+    """Rows (b, part, a, text), the hub of a part first, with a null a -> similar pairs."""
+    import pyarrow as pa
 
-    return sides.select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
+    shingles, own = Shingles(n), None
+    for batch in batches:
+        good = ([], [])
+        for b, a, text in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+            theirs = shingles(text.as_py())
+            if a is None:
+                own = theirs
+            elif similar(own, theirs, percent):
+                good[0].append(a)
+                good[1].append(b)
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in good], names=["a", "b"])
 
 
 def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -442,13 +523,31 @@ def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def block_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """``across_blocks`` of all buckets, dealt by pairs of blocks."""
+    """``across_blocks`` of all buckets, dealt by blocks.
+
+    A bucket is cut into blocks by a hash. Members outside its largest component go to
+    every block as guests; the others only stand in their own. A bucket of one block
+    needs no guests.
+    """
+    held = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = held.groupBy("key").agg(
+        F.max_by("root", F.struct("_n", "root")).alias("_largest"),
+        F.ceil(F.sum("_n") / BLOCK).cast("int").alias("_blocks"),
+    )
+    placed = members.join(buckets, "key")
+    own = F.pmod(F.xxhash64("set_id", F.lit(31)), F.col("_blocks")).cast("int")
+    alone = F.col("_blocks") == 1
+    hosts = placed.withColumns({"block": own, "side": F.when(alone, 2).otherwise(0)})
+    guests = placed.where(~alone & (F.col("root") != F.col("_largest"))).withColumns(
+        {"block": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)), "side": F.lit(1)}
+    )
+    columns = [
+        F.xxhash64("key", "block").alias("pair"), "side", "set_id", F.col("size").cast("bigint"),
+        F.col("need").cast("bigint"), "root", "hub", "sketch", "key",
+    ]
     return (
-        in_block_pairs(members, "key", "set_id", BLOCK)
-        .select(
-            "pair", "side", "set_id", F.col("size").cast("bigint"), F.col("need").cast("bigint"),
-            "root", "hub", "sketch", "key",
-        )
+        hosts.select(*columns)
+        .unionByName(guests.select(*columns))
         .repartition(partitions(members.sparkSession), "pair")
         .sortWithinPartitions("pair")
         .mapInArrow(
@@ -473,6 +572,15 @@ def components(
     Two documents link when 100 * intersection >= percent * union of their sets;
     component_id is the smallest key reachable by links.
     """
+    return rooted(documents, key, text, n, percent).select(key, "n_shingles", "component_id")
+
+
+def rooted(documents: DataFrame, key: str, text: str, n: int, percent: int) -> DataFrame:
+    """``components`` with the ``digest`` of the text and the ``root`` of the component.
+
+    The root names a component whatever the keys of its rows; it is null for rows
+    without shingles.
+    """
     sets = stored(shingle_sets(documents, key, text, n, percent), "sets")
     # The most frequent shingles, counted once for each different set.
     frequent = (
@@ -511,12 +619,16 @@ def components(
     )
     members = stored(rows.join(buckets, "key"), "members")
     nodes = members.select("set_id").distinct()
-    chosen = sets.groupBy("set_id").agg(F.min(key).alias("_chosen")).join(nodes, "set_id")
+    sketches = stored(
+        signed.groupBy("set_id").agg(F.first("sketch").alias("sketch")).join(nodes, "set_id"), "sketches"
+    )
+    dropped(rows, signed)
+    chosen = sets.groupBy("set_id").agg(F.min("digest").alias("digest")).join(nodes, "set_id")
     # One text for each set that is in a bucket with another.
     texts = stored(
-        documents.select(F.col(key).alias("_chosen"), F.col(text).alias("text"))
-        .join(chosen, "_chosen")
-        .dropDuplicates(["set_id"])
+        documents.select(text_digest(text).alias("digest"), F.col(text).alias("text"))
+        .dropDuplicates(["digest"])
+        .join(chosen, "digest")
         .select("set_id", "text"),
         "texts",
     )
@@ -526,26 +638,33 @@ def components(
         .select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
         .distinct()
     )
+    by_hub = stored(by_hub, "pairs")
     hub_links = stored(verified(by_hub, texts, n, percent), "links")
     first = stored(connected(hub_links), "roots")
 
     # Buckets that still hold members of different components: first the pairs that suffice
     # to connect what may be near, then, where pairs were left out, all that are still open.
-    sketches = signed.groupBy("set_id").agg(F.first("sketch").alias("sketch"))
     open_ = stored(still_open(members, first).join(sketches, "set_id"), "open")
+    dropped(members, sketches)
     tried = stored(block_pairs(open_, percent, forest=True), "tried")
-    links = hub_links.unionByName(stored(verified(pairs_of(tried), texts, n, percent), "links"))
+    near = stored(pairs_of(tried), "pairs")
+    links = hub_links.unionByName(stored(verified(near, texts, n, percent), "links"))
     second = stored(connected(links), "roots")
     again = tried.select(F.col("again").alias("key")).where("key is not null").distinct()
     left = still_open(open_.drop("root").join(again, "key", "left_semi"), second)
-    rest = pairs_of(block_pairs(left, percent, forest=False))
+    rest = stored(pairs_of(block_pairs(left, percent, forest=False)), "pairs")
     more = stored(verified(rest, texts, n, percent), "links")
+    dropped(open_, tried, texts)
     roots = connected(links.unionByName(more)).withColumnRenamed("node", "set_id")
 
-    placed = sets.select(key, "n_shingles", "set_id").join(roots, "set_id", "left")
+    placed = sets.select(key, "digest", "n_shingles", "set_id").join(roots, "set_id", "left")
     root = F.when(F.col("n_shingles") > 0, F.coalesce("root", "set_id"))
     placed = placed.withColumn("_root", root)
     least = placed.where("_root is not null").groupBy("_root").agg(F.min(key).alias("_component"))
     return placed.join(least, "_root", "left").select(
-        key, "n_shingles", F.coalesce("_component", key).alias("component_id")
+        key,
+        "digest",
+        "n_shingles",
+        F.col("_root").alias("root"),
+        F.coalesce("_component", key).alias("component_id"),
     )

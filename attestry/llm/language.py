@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 PROFILE = 300
 # Languages are a closed label set; profiles are PROFILE rows for each.
@@ -178,8 +179,13 @@ def predict(
                 names=[key, "lang_pred", "score"],
             )
 
-    kind = documents.schema[key].dataType.simpleString()
-    schema = f"`{key}` {kind}, lang_pred string, score double"
+    schema = T.StructType(
+        [
+            T.StructField(key, documents.schema[key].dataType),
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+        ]
+    )
     return documents.select(key, text).mapInArrow(run, schema)
 
 

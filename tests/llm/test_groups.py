@@ -73,6 +73,57 @@ def test_components_equal_brute_force(spark, monkeypatch):
     assert [rows[i]["component_id"] for i in range(len(texts))] == expected
 
 
+def test_components_go_by_rows_not_by_keys(spark):
+    """Rows that share an id, or have none, keep their own texts and links."""
+    base = [f"word{i}" for i in range(40)]
+    other = [f"else{i}" for i in range(40)]
+    a, b, c = " ".join(base), " ".join(other), " ".join(f"third{i}" for i in range(40))
+    rows = [(1, a), (1, b), (3, " ".join(other[1:])), (None, c), (4, c.rsplit(" ", 1)[0]), (None, "alone here"), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(jaccard_join.components(docs).select("doc_id", "component_id").collect(), key=str)
+    assert [tuple(r) for r in found] == sorted(
+        [(1, 1), (1, 1), (3, 1), (None, 4), (4, 4), (None, None), (None, None), (5, 5)], key=lambda r: str(spark_row(r))
+    )
+
+
+def spark_row(values):
+    from pyspark.sql import Row
+
+    return Row(doc_id=values[0], component_id=values[1])
+
+
+def test_long_words_that_a_sum_cannot_tell_apart(spark):
+    """Two words whose letters are summed to the same number, by the order of Thue and Morse."""
+    bits = [bin(i).count("1") % 2 for i in range(2048)]
+    one = "".join("ab"[x] for x in bits)
+    two = "".join("ba"[x] for x in bits)
+    words = jaccard_join.Words()
+    assert words(one)[0] != words(two)[0] and words(one.upper())[0] == words(one)[0]
+    docs = spark.createDataFrame([(1, one), (2, two), (3, one + " x"), (4, "y " + one.upper())], "doc_id bigint, text string")
+    rows = {r["doc_id"]: r["component_id"] for r in jaccard_join.components(docs).collect()}
+    assert rows == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_pipeline_stages_go_by_rows(spark, tmp_path):
+    """Nulls, repeated ids and rows, clashing columns: no unlike text is dropped, no copy stays."""
+    import corpus_pipeline
+
+    a, b, c, d, e = (" ".join(f"{x}{'abcdefghij'[i % 10]}{'klmnop'[i % 6]}" for i in range(30)) for x in "vwxyz")
+    rows = [(1, a, "en"), (1, b, "en"), (None, c, "de"), (None, d, None), (5, e, "en"), (6, e, "en"), (6, e, "en"), (7, a, "en")]
+    rows += [(8, None, "en"), (None, "", "en"), (9, "12 34 !", "de"), (None, c, "de"), (5, "... 7", "en"), (5, e.upper(), "en")]
+    docs = spark.createDataFrame([(*r, "s", 1, "x") for r in rows], "doc_id bigint, text string, lang string, source string, n_chars bigint, lang_pred string")
+    known = corpus_pipeline.known_language(spark, docs, "")
+    assert known.columns == docs.columns
+    texts = sorted(((r["doc_id"], r["text"]) for r in known.collect()), key=str)
+    assert texts == sorted(((r[0], r[1]) for r in rows if any(x.isalpha() for x in r[1] or "")), key=str)
+    kept = corpus_pipeline.no_near_copies(spark, docs, "")
+    left = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    one = min(e, e.upper(), key=lambda t: __import__("hashlib").sha256(t.encode()).digest())
+    assert left == sorted(
+        [(1, a), (1, b), (None, c), (None, d), (5, one), (8, None), (None, ""), (9, "12 34 !"), (5, "... 7")], key=str
+    )
+
+
 def test_components_of_an_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert jaccard_join.components(docs).count() == 0
