@@ -16,23 +16,37 @@ from attestry.llm.queries import MIX, vocabulary
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in which no language is recognised: no letters, or nothing shared."""
-    judged = language.identify(docs).select(F.col("doc_id").alias("_id"), "lang_pred", "score")
+    """Rejects documents in which no language is recognised: no letters, or nothing shared.
+
+    Every row is judged by itself and passes through whole, whatever its id.
+    """
+    profiles = language.learn_profiles(docs.where(~language.held_out("doc_id")))
+    rows = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    judged = language.predict(rows, profiles, key="_row")
     kept = judged.where((F.col("lang_pred") != language.UNKNOWN) & (F.col("score") > 0))
-    kept = kept.select("_id").distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"])).drop("_id")
+    return kept.select("_row.*")
 
 
 def no_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id.
+    """One document of each group of near copies: the one with the smallest id (null last).
 
-    Rows that share an id are one document.
+    Of rows with that id in the group, the one with the smallest digest of its text
+    stays, and of equal rows one. Rows that share an id but belong to no group stay.
     """
-    grouped = jaccard_join.components(docs, n=5, percent=80)
-    kept = grouped.where(F.col("component_id").eqNullSafe(F.col("doc_id")))
-    kept = kept.select(F.col("doc_id").alias("_id")).distinct()
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"])).drop("_id")
-    return joined.dropDuplicates(["doc_id"])
+    found = jaccard_join.rooted(docs, "doc_id", "text", n=5, percent=80)
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("digest"))
+    chosen = found.where("root is not null").groupBy("root").agg(F.min(order).alias("_first"))
+    def row(doc_id, digest):
+        return F.concat_ws("/", F.hex(digest), F.coalesce(doc_id.cast("string"), F.lit("none")))
+
+    kept = chosen.select(row(F.col("_first.doc_id"), F.col("_first.digest")).alias("_row"))
+    own = jaccard_join.text_digest("text")
+    marked = docs.withColumns({"_own": own, "_row": row(F.col("doc_id"), own)})
+    grouped = marked.join(kept, "_row").dropDuplicates(["_row"])
+    # Without words a text is in no group; the rows of such texts all stay.
+    bare = found.where("root is null").select(F.col("digest").alias("_digest")).distinct()
+    alone = marked.join(bare, marked["_own"] == bare["_digest"], "left_semi")
+    return grouped.select(*docs.columns).unionByName(alone.select(*docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
