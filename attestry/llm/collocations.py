@@ -221,6 +221,11 @@ def _bucket_of(grams, hashes, words: int, buckets: int):
     return mixed % np.uint64(buckets)
 
 
+def _id_width(words: int) -> int:
+    """Bytes of a number of one of so many words, or of none."""
+    return 2 if words < 1 << 16 else 4
+
+
 def _packed_rows(lang, kind: int, bucket, grams, counts, spelled):
     """One row for each bucket: words, numbers of words by column, counts."""
     import numpy as np
@@ -236,14 +241,15 @@ def _packed_rows(lang, kind: int, bucket, grams, counts, spelled):
         used[0] = False
         here = np.flatnonzero(used)
         number[here] = np.arange(1, len(here) + 1)
-        width = "<u4" if int(counts[start:stop].max()) < 2**32 else "<u8"
+        most = int(counts[start:stop].max())
+        width = next(w for w in (1, 2, 4, 8) if most < 1 << (8 * w))
         yield (
             lang,
             int(bucket[start]),
             kind,
             b"\n".join([spelled[i - 1] for i in here]),
-            number[part].astype("<u4").T.tobytes(),
-            counts[start:stop].astype(width).tobytes(),
+            number[part].astype(f"<u{_id_width(len(here))}").T.tobytes(),
+            counts[start:stop].astype(f"<u{width}").tobytes(),
         )
 
 
@@ -340,13 +346,12 @@ def _merging(min_count: int, pair_buckets: int):
         grams, counts, base = [], [], 0
         for ids, number, size in zip(packed.column("ids"), packed.column("counts"), sizes):
             own = np.concatenate([np.zeros(1, dtype=np.uint32), merged[base : base + size]])
-            rows = own[np.frombuffer(ids.as_py(), dtype="<u4").reshape(kind, -1).T]
+            rows = own[np.frombuffer(ids.as_py(), dtype=f"<u{_id_width(size)}").reshape(kind, -1).T]
             raw = number.as_py()
-            wide = len(raw) == 8 * len(rows)
             grams.append(rows)
-            counts.append(np.frombuffer(raw, dtype="<u8" if wide else "<u4"))
+            counts.append(np.frombuffer(raw, dtype=f"<u{len(raw) // len(rows)}").astype(np.int64))
             base += size
-        grams, counts = np.concatenate(grams), np.concatenate(counts).astype(np.int64)
+        grams, counts = np.concatenate(grams), np.concatenate(counts)
         names = words.dictionary
 
         out_k, out_phrase, out_f, partial = [], [], [], []
