@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from attestry.operators.crowded import crowded_groups
+
 # Length of the indexed sequences; shorter names are looked up whole.
 GRAM = 4
 
@@ -21,8 +23,27 @@ def containment_links(
     up under the rarest one the other side has there; one that the other side lacks
     settles it. What is met is then compared whole. Names that share nothing rare
     are the only ones that meet in number.
+
+    The index holds some sixty sequences per name, so only crowded groups have one.
+    The names of the others are compared one by one.
     """
     ours, theirs = _names(left, group), _names(right, group)
+    crowded = crowded_groups(ours, theirs, group)
+    found = _links_by_pairs(ours.join(crowded, group, "left_anti"), theirs, group)
+    indexed = (side.join(crowded, group, "left_semi") for side in (ours, theirs))
+    return found.unionByName(_links_by_index(*indexed, group, gram))
+
+
+def _links_by_pairs(ours: DataFrame, theirs: DataFrame, group: str) -> DataFrame:
+    pairs = ours.withColumnsRenamed({"low": "_left", "name": "left"}).join(
+        theirs.withColumnsRenamed({"low": "_right", "name": "right"}), group
+    )
+    one, other = F.col("_left"), F.col("_right")
+    linked = pairs.where(F.contains(one, other) | F.contains(other, one))
+    return linked.select(group, "left", "right")
+
+
+def _links_by_index(ours: DataFrame, theirs: DataFrame, group: str, gram: int) -> DataFrame:
     forth = _inside(ours, theirs, group, gram).select(group, "inner", "outer")
     back = _inside(theirs, ours, group, gram).select(
         group, F.col("outer").alias("inner"), F.col("inner").alias("outer")

@@ -248,3 +248,65 @@ def test_document_checks_sum_up_to_the_totals(reports):
     assert [totals[2 + i] for i in range(4)] == [grades.get(g, 0) for g in ("MAJOR", "MINOR", "SAME", "UNCLEAR")]
     plan = checks._jdf.queryExecution().optimizedPlan().toString()
     assert "NestedLoop" not in plan and checks.count() == checks.select("json_file").distinct().count()
+
+
+# ---- cases that make few pairs, and the others ----
+
+
+def _sides(spark, rng):
+    """Cases of one to forty prices a side, and names of all lengths."""
+    sizes = [rng.choice([1, 2, 3, 40]) for _ in range(12)]
+    ours = {(str(c), price) for c, n in enumerate(sizes) for _, price in _prices(rng, n, 1)}
+    stored = {(str(c), price): rng.randrange(1, 4) for c, n in enumerate(sizes) for _, price in _prices(rng, 41 - n, 1)}
+    left = spark.createDataFrame(sorted(ours), "ras_id string, extracted_price double")
+    right = spark.createDataFrame([(*k, n) for k, n in stored.items()], "ras_id string, original double, items bigint")
+    return left, right
+
+
+def test_crowded_groups_are_those_with_many_pairs(spark):
+    from attestry.operators.crowded import crowded_groups
+
+    sizes = {"few": (2, 3), "one": (1, 500), "many": (40, 40), "left": (50, 0)}
+    rows = [[(c,) for c, n in sizes.items() for _ in range(n[side])] for side in (0, 1)]
+    left, right = (spark.createDataFrame([*r, (None,)], "ras_id string") for r in rows)
+    assert [r[0] for r in crowded_groups(left, right).collect()] == ["many"]
+    found = crowded_groups(left, right, pairs_per_group=400).collect()
+    assert sorted(r[0] for r in found) == ["many", "one"]
+
+
+def test_names_of_small_cases_are_not_indexed(spark):
+    """The index holds some sixty rows per name; small cases bring none into it."""
+    from attestry.operators import containment, crowded
+
+    names = spark.range(3_000).selectExpr("id div 3 as ras_id", "'Supplier#' || id % 50 as name")
+    ours, theirs = (containment._names(side, "ras_id") for side in (names, names))
+    assert crowded.crowded_groups(ours, theirs).count() == 0
+    by_index = containment._links_by_index(ours, theirs, "ras_id", containment.GRAM).collect()
+    assert sorted(containment.containment_links(names, names).collect()) == sorted(by_index)
+
+
+def test_pairs_and_slices_find_the_same(spark):
+    from attestry.operators import ranges
+
+    left, right = _sides(spark, random.Random(12))
+    both = lambda found: {(r[0], r[1]): r[2] for r in found.collect() if r[2]}
+    assert both(ranges.hits_by_price(left, right)) == both(ranges.hits_by_slices(*_usable(left, right)))
+    right = right.drop("items")
+    assert both(ranges.nearest_prices(left, right)) == both(ranges.nearest_by_slices(*_usable(left, right)))
+
+
+def _usable(left, right):
+    return left.where("extracted_price > 0"), right.where("original > 0")
+
+
+def test_document_checks_are_the_same_by_pairs_and_by_totals(reports, monkeypatch):
+    """Also for documents that come twice."""
+    from attestry.operators import crowded, validate as v
+
+    docs, items = reports
+    docs = docs.unionByName(docs.limit(7))
+    ways = []
+    for per_row in (0, 10**6):
+        monkeypatch.setattr(v, "crowded_groups", lambda a, b, n=per_row: crowded.crowded_groups(a, b, "ras_id", n, n))
+        ways.append(sorted(map(str, v.document_checks(docs, items).collect())))
+    assert ways[0] == ways[1] and len(ways[0]) > 80
