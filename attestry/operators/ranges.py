@@ -1,6 +1,7 @@
-"""Prices of documents against prices of items, without building the pairs.
+"""Prices of documents against prices of items, without building many pairs.
 
-Both sides of a case are put into one order. Running totals over that order count
+Cases whose prices make few pairs are joined plainly. Of the others both sides are put
+into one order. Running totals over that order count
 the items between two bounds; the last and the next item before and behind a place
 are carried along it. The order is cut into slices of a bounded number of rows, so a
 case of any size, and prices however close, are spread over tasks.
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestry.functions.checks import PRICE_TOLERANCE, price_in_range, usable_price
+from attestry.operators.crowded import crowded_groups
 
 # Bounds are certain only up to this relative distance; what lies closer to a
 # bound is tested by the rule itself. It is far above the error of doubles.
@@ -69,6 +71,21 @@ def hits_by_price(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_RO
     original, items)`` with distinct prices and their counts. Prices without a hit
     may be missing.
 
+    The pairs of small cases are tested one by one; ``hits_by_slices`` serves the rest.
+    """
+    ours = ours.where(usable_price("extracted_price") > 0)
+    stored = stored.where(usable_price("original") > 0)
+    crowded = crowded_groups(ours, stored)
+    pairs = ours.join(crowded, "ras_id", "left_anti").join(stored, "ras_id")
+    passed = pairs.where(price_in_range("extracted_price", "original"))
+    few = passed.groupBy("ras_id", "extracted_price").agg(F.sum("items").alias("hits"))
+    many = (side.join(crowded, "ras_id", "left_semi") for side in (ours, stored))
+    return few.unionByName(hits_by_slices(*many, slice_rows))
+
+
+def hits_by_slices(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``hits_by_price`` without any pair of a price and an item.
+
     For a positive price e the originals in range form an interval about
     ``e / 1.2 .. e / 0.8``. Its sure part is counted by running totals, the two
     narrow edges by the rule, so the result is exactly that of the pairs.
@@ -172,6 +189,37 @@ def nearest_prices(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_R
     distinct. Of two originals equally close the smaller one counts. Only positive
     prices are compared; a case without an original has no row.
 
+    The pairs of small cases are looked at one by one; ``nearest_by_slices`` serves the rest.
+    """
+    ours = ours.where(usable_price("extracted_price") > 0)
+    stored = stored.where(usable_price("original") > 0)
+    crowded = crowded_groups(ours, stored)
+    pairs = ours.join(crowded, "ras_id", "left_anti").join(stored, "ras_id")
+    last, following = neighbours("extracted_price", "original")
+    few = (
+        pairs.groupBy("ras_id", "extracted_price")
+        .agg(last.alias("_last"), following.alias("_next"))
+        .select("ras_id", "extracted_price", closest("extracted_price").alias("nearest"))
+    )
+    many = (side.join(crowded, "ras_id", "left_semi") for side in (ours, stored))
+    return few.unionByName(nearest_by_slices(*many, slice_rows))
+
+
+def neighbours(price: str, original: str) -> tuple[Column, Column]:
+    """Aggregates: the last original not above a price, and the next one above it."""
+    value = F.col(original)
+    return F.max(F.when(value <= F.col(price), value)), F.min(F.when(value > F.col(price), value))
+
+
+def closest(price: str) -> Column:
+    """Of ``_last`` and ``_next`` the one closer to the price, ``_last`` if they are equally close."""
+    closer = F.col("_next") - F.col(price) < F.col(price) - F.col("_last")
+    return F.when(F.col("_last").isNull() | closer, F.col("_next")).otherwise(F.col("_last"))
+
+
+def nearest_by_slices(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """``nearest_prices`` without any pair of a price and an item.
+
     An as-of merge: in the common order each price sees the last item before it
     and the next one behind it, in its slice or carried over from others.
     """
@@ -208,9 +256,6 @@ def nearest_prices(ours: DataFrame, stored: DataFrame, slice_rows: int = SLICE_R
     met = placed.join(carried, ["ras_id", "slice"]).withColumns(
         {"_last": F.coalesce("_last", "_from"), "_next": F.coalesce("_next", "_to")}
     )
-    price = F.col("extracted_price")
-    closer = F.col("_next") - price < price - F.col("_last")
-    nearest = F.when(F.col("_last").isNull() | closer, F.col("_next")).otherwise(F.col("_last"))
-    return met.select("ras_id", "extracted_price", nearest.alias("nearest")).where(
-        F.col("nearest").isNotNull()
-    )
+    return met.select(
+        "ras_id", "extracted_price", closest("extracted_price").alias("nearest")
+    ).where(F.col("nearest").isNotNull())
