@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from attestry.catalog.fixtures import NUMBERED
 from attestry.functions.prompts import DEFAULT_TEMPLATE
 from attestry.functions.text import WHITESPACE
 from attestry.schemas import SIZE_BUCKETS
@@ -92,6 +93,19 @@ _GRADE = (
     " when abs(our_name_length - db_name_length) < 10 then 'SAME' else 'UNCLEAR' end"
 )
 
+# What makes the number and the id of an attachment: its row alone, or its place in the case.
+_ROW_NUMBER = """\
+                l_partkey * 3 + l_suppkey * 5 + l_linenumber as rn,
+                ('0x' || left(md5(l_orderkey || '|' || l_linenumber || '|' || l_partkey || '|'
+                  || l_suppkey || '|' || l_shipdate::date || '|' || l_returnflag || '|'
+                  || l_linestatus), 15))::bigint as att_id,
+"""
+_CASE_NUMBER = """\
+                row_number() over (partition by l_orderkey order by l_shipdate, l_linenumber,
+                  l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax,
+                  l_returnflag, l_linestatus) as rn,
+"""
+
 _TABLES = {
     "att": """
         select l_orderkey as ras_id, l_linenumber::bigint as dtl_id, att_id,
@@ -393,19 +407,28 @@ _TABLES = {
 }
 
 
-def _with_tables(sql: str) -> str:
+# Attachments with their place in the case as number, and an id of both.
+_NUMBERED_ATT = (
+    _TABLES["att"]
+    .replace("dtl_id, att_id,", "dtl_id, l_orderkey * 100 + rn as att_id,")
+    .replace(_ROW_NUMBER, _CASE_NUMBER)
+)
+
+
+def _with_tables(sql: str, numbered: bool) -> str:
     """Put the common tables a query needs, and those they need, in front of it."""
+    known = _TABLES | {"att": _NUMBERED_ATT} if numbered else _TABLES
     needed: list[str] = []
 
     def visit(text: str) -> None:
-        for name in _TABLES:
+        for name in known:
             if name not in needed and re.search(rf"(from|join)\s+{name}\b", text):
-                visit(_TABLES[name])
+                visit(known[name])
                 if name not in needed:
                     needed.append(name)
 
     visit(sql)
-    tables = ",\n".join(f"{name} as ({_TABLES[name]})" for name in needed)
+    tables = ",\n".join(f"{name} as ({known[name]})" for name in needed)
     return f"with {tables}\n{sql}" if needed else sql
 
 
@@ -698,4 +721,4 @@ _SQL = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with_tables(sql) for name, sql in _SQL.items()}
+    return {name: _with_tables(sql, name in NUMBERED) for name, sql in _SQL.items()}

@@ -4,9 +4,11 @@ import re
 from datetime import datetime
 
 import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from attestry import build_manifest, profile_inventory, select_cases
-from attestry.operators import inventory, resolve, sampling, sheets
+from attestry.operators import inventory, numbering, resolve, sampling, sheets
 
 MIB = 2**20
 
@@ -326,3 +328,38 @@ def test_row_texts_equal_a_printed_frame(spark, max_chars):
 def test_cells_are_cut_on_request(evaluate):
     assert evaluate([("x" * 60,)], "x string", sheets.bound_cell("x")) == ["x" * 60]
     assert evaluate([("x" * 60,)], "x string", sheets.bound_cell("x", 50)) == ["x" * 50]
+
+
+# ---- numbering ----
+
+
+@pytest.mark.parametrize("hot_rows", [1, 50, 10**9])
+def test_numbering_equals_a_plain_window(spark, hot_rows):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 200).alias("key"),
+        F.when(F.col("id") % 17 != 0, F.col("id") % 40).alias("lead"),
+        F.xxhash64("id").alias("rest"),
+    )
+    plain = F.row_number().over(Window.partitionBy("key").orderBy("lead", "rest"))
+    expected = rows.withColumn("rn", plain.cast("bigint"))
+    actual = numbering.number_within(rows, "key", ["lead", "rest"], hot_rows=hot_rows)
+    assert actual.columns == expected.columns
+    assert actual.exceptAll(expected).count() == 0 and expected.exceptAll(actual).count() == 0
+
+
+def test_hot_groups_are_bounded(spark):
+    rows = spark.range(20_000).select((F.col("id") % 10_000).alias("key"))
+    assert numbering.hot_groups(rows, "key", 1).count() == numbering.MAX_HOT
+
+
+def test_numbered_attachments_have_their_place_in_the_case(spark, sf_dir):
+    from attestry.catalog import fixtures as fx
+
+    with fx.numbered(True):
+        rows = fx.attachments(spark, sf_dir).select("ras_id", "att_id", "rn").collect()
+    places = {}
+    for case, att_id, place in rows:
+        assert att_id == case * 100 + place
+        places.setdefault(case, []).append(place)
+    assert all(sorted(found) == list(range(1, len(found) + 1)) for found in places.values())
+    assert "rn" in fx.attachments(spark, sf_dir).columns
