@@ -106,3 +106,9 @@ def test_a_hot_case_is_split_in_the_pair_join(spark, tmp_path):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_long_steps_stay_within_what_the_jvm_compiles(spark, sf_dir):
+    """A longer compiled step would be interpreted; such steps run operator by operator."""
+    QUERIES["q23_parse_status"](spark, sf_dir)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
