@@ -18,9 +18,9 @@ the part of the prefix that these sizes need. Candidates are verified on whole t
 Groups of copies: sets that are equal are one node. In each bucket every member is
 first compared with one hub, the member that needs the shortest prefix; components
 of these links are formed. Only buckets whose members are not yet of one component
-are looked at again, in blocks: all members of a block meet those members of the
-bucket that lie outside its largest component, as no pair inside one component can
-join components. Pairs of different components whose
+are looked at again, in blocks: members of the bucket that lie outside its largest
+component meet all members of the blocks that sizes and prefixes leave open, as no pair
+inside one component can join components. Pairs of different components count whose
 sizes, prefixes and sketches (numbers of shingles by hash bin, whose differences
 cannot exceed those of the sets) allow a link. Of these, each pair of blocks first
 gives a spanning forest, the nearest sketches before others; these are verified and
@@ -39,7 +39,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from attestry.llm.common import dropped, partitions, runs, stored, whole_groups
@@ -285,8 +285,9 @@ def across_blocks(batches, percent: int, forest: bool):
     """Rows (pair, side, set_id, size, need, root, hub, sketch, key) sorted by pair -> possible pairs.
 
     Side 0 are the members of a block, side 1 the guests that each of them meets, side 2
-    the members of a bucket of one block, which meet each other. With ``forest``, only pairs that connect what the possible ones of a block pair
-    connect, and a row with the key alone where others are left out.
+    members that meet each other too. With ``forest``, only pairs that connect what the
+    possible ones of a block pair connect, and a row with the key alone where others are
+    left out.
     """
     import numpy as np
     import pyarrow as pa
@@ -301,8 +302,7 @@ def across_blocks(batches, percent: int, forest: bool):
             left, right = part[side[start:end] != 1], part[side[start:end] != 0]
             a, b = left[:, None], right[None, :]
             good = (root[a] != root[b]) & (ids[a] != hub[a]) & (ids[b] != hub[b])
-            if side[start] == 2:
-                good &= ids[a] < ids[b]
+            good &= (side[b] == 1) | (ids[a] < ids[b])
             if not good.any():
                 continue
             good &= possible(size[a], size[b], need[a], need[b], percent)
@@ -522,38 +522,89 @@ def still_open(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(keys, "key")
 
 
-def block_pairs(members: DataFrame, percent: int, forest: bool) -> DataFrame:
-    """``across_blocks`` of all buckets, dealt by blocks.
+def reach(size: Column, need: Column, percent: int) -> Column:
+    """Size of the largest set that may be similar, given the prefix needed here.
 
-    A bucket is cut into blocks by a hash. Members outside its largest component go to
-    every block as guests; the others only stand in their own. A bucket of one block
-    needs no guests.
+    Two members are ``possible`` where each one's size is within the reach of the other.
+    """
+    size, need = size.cast("bigint"), need.cast("bigint")
+    return F.floor((size - need + 1) * (100 + percent) / F.lit(percent)) - size
+
+
+def in_blocks(members: DataFrame, buckets: DataFrame, percent: int) -> DataFrame:
+    """Members of crowded buckets with ``inner``, ``reach`` and ``block``.
+
+    ``inner`` members are those of the largest component. Inner and other members are cut
+    into blocks of about BLOCK rows each, in order of reach, those of one reach by a hash.
+    """
+    crowded = members.join(buckets.where(F.col("_rows") > BLOCK), "key").withColumns(
+        {
+            "inner": F.col("root") == F.col("_largest"),
+            "reach": reach(F.col("size"), F.col("need"), percent),
+        }
+    )
+    cells = crowded.groupBy("key", "inner", "reach").agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy("key", "inner").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    cells = cells.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    place = F.col("_start") + F.pmod(F.xxhash64("set_id", F.lit(31)), F.col("_n"))
+    return crowded.join(cells, ["key", "inner", "reach"]).select(
+        *members.columns, "inner", "reach", F.floor(place / BLOCK).cast("int").alias("block")
+    )
+
+
+def dealt(placed: DataFrame) -> DataFrame:
+    """Rows of ``in_blocks`` as hosts of their block and as guests of others.
+
+    Members outside the largest component go as guests to the blocks of it, and to later
+    blocks of their own kind, where sizes and reaches leave a possible pair.
+    """
+    blocks = placed.groupBy("key", "inner", "block").agg(
+        F.min("size").alias("_least"), F.max("reach").alias("_most")
+    )
+    of = F.xxhash64("key", "inner", "block").alias("pair")
+    columns = ["set_id", "size", "need", "root", "hub", "key"]
+    hosts = placed.select(of, F.when(F.col("inner"), 0).otherwise(2).alias("side"), *columns)
+    visiting = placed.where(~F.col("inner")).select(*columns, "reach", F.col("block").alias("_own"))
+    guests = visiting.join(blocks, "key").where(
+        (F.col("size") <= F.col("_most"))
+        & (F.col("_least") <= F.col("reach"))
+        & (F.col("inner") | (F.col("block") > F.col("_own")))
+    )
+    return hosts.unionByName(guests.select(of, F.lit(1).alias("side"), *columns))
+
+
+def block_pairs(members: DataFrame, sketches: DataFrame, percent: int, forest: bool) -> DataFrame:
+    """``across_blocks`` of all buckets, dealt by blocks, stored.
+
+    A bucket of one block needs no guests. Sketches join the dealt rows last, as they are
+    most of the bytes: only the shuffle by pair carries them.
     """
     held = members.groupBy("key", "root").agg(F.count(F.lit(1)).alias("_n"))
     buckets = held.groupBy("key").agg(
-        F.max_by("root", F.struct("_n", "root")).alias("_largest"),
-        F.ceil(F.sum("_n") / BLOCK).cast("int").alias("_blocks"),
+        F.max_by("root", F.struct("_n", "root")).alias("_largest"), F.sum("_n").alias("_rows")
     )
-    placed = members.join(buckets, "key")
-    own = F.pmod(F.xxhash64("set_id", F.lit(31)), F.col("_blocks")).cast("int")
-    alone = F.col("_blocks") == 1
-    hosts = placed.withColumns({"block": own, "side": F.when(alone, 2).otherwise(0)})
-    guests = placed.where(~alone & (F.col("root") != F.col("_largest"))).withColumns(
-        {"block": F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)), "side": F.lit(1)}
+    placed = stored(in_blocks(members, buckets, percent), "placed")
+    alone = members.join(buckets.where(F.col("_rows") <= BLOCK), "key").select(
+        F.xxhash64("key").alias("pair"), F.lit(2).alias("side"), "set_id", "size", "need", "root", "hub", "key"
     )
-    columns = [
-        F.xxhash64("key", "block").alias("pair"), "side", "set_id", F.col("size").cast("bigint"),
-        F.col("need").cast("bigint"), "root", "hub", "sketch", "key",
-    ]
-    return (
-        hosts.select(*columns)
-        .unionByName(guests.select(*columns))
+    found = (
+        alone.unionByName(dealt(placed))
+        .join(sketches, "set_id")
+        .select(
+            "pair", "side", "set_id", F.col("size").cast("bigint"), F.col("need").cast("bigint"),
+            "root", "hub", "sketch", "key",
+        )
         .repartition(partitions(members.sparkSession), "pair")
         .sortWithinPartitions("pair")
         .mapInArrow(
             partial(across_blocks, percent=percent, forest=forest), "a bigint, b bigint, again bigint"
         )
     )
+    found = stored(found, "tried")
+    dropped(placed)
+    return found
 
 
 def pairs_of(found: DataFrame) -> DataFrame:
@@ -644,17 +695,17 @@ def rooted(documents: DataFrame, key: str, text: str, n: int, percent: int) -> D
 
     # Buckets that still hold members of different components: first the pairs that suffice
     # to connect what may be near, then, where pairs were left out, all that are still open.
-    open_ = stored(still_open(members, first).join(sketches, "set_id"), "open")
-    dropped(members, sketches)
-    tried = stored(block_pairs(open_, percent, forest=True), "tried")
+    open_ = stored(still_open(members, first), "open")
+    dropped(members)
+    tried = block_pairs(open_, sketches, percent, forest=True)
     near = stored(pairs_of(tried), "pairs")
     links = hub_links.unionByName(stored(verified(near, texts, n, percent), "links"))
     second = stored(connected(links), "roots")
     again = tried.select(F.col("again").alias("key")).where("key is not null").distinct()
     left = still_open(open_.drop("root").join(again, "key", "left_semi"), second)
-    rest = stored(pairs_of(block_pairs(left, percent, forest=False)), "pairs")
+    rest = stored(pairs_of(block_pairs(left, sketches, percent, forest=False)), "pairs")
     more = stored(verified(rest, texts, n, percent), "links")
-    dropped(open_, tried, texts)
+    dropped(open_, sketches, tried, texts)
     roots = connected(links.unionByName(more)).withColumnRenamed("node", "set_id")
 
     placed = sets.select(key, "digest", "n_shingles", "set_id").join(roots, "set_id", "left")

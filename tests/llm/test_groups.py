@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from attestry.llm import jaccard_join, near_vectors
 from attestry.llm.components import connected
@@ -155,6 +156,52 @@ def test_similar_sets_share_a_possible_signature(percent):
         )
 
 
+@pytest.mark.parametrize("percent", [80, 85])
+def test_members_of_a_bucket_meet_only_where_sizes_and_prefixes_allow(spark, monkeypatch, percent):
+    """All possible pairs of different components meet; guests do not go to every block."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    draw = random.Random(3)
+    rows = []
+    for i in range(600):
+        size = draw.randint(100, 110) if i % 2 else draw.randint(10, 2000)
+        need = draw.randint(1, jaccard_join.losses(size, percent) + 1)
+        rows.append((7, i, size, need, 0 if i % 5 == 0 else i, 0))
+    members = spark.createDataFrame(
+        rows, "key bigint, set_id bigint, size int, need int, root bigint, hub bigint"
+    )
+    buckets = spark.createDataFrame([(7, 0, len(rows))], "key bigint, _largest bigint, _rows bigint")
+    met, guests = set(), 0
+    groups = {}
+    for r in jaccard_join.dealt(jaccard_join.in_blocks(members, buckets, percent)).collect():
+        groups.setdefault(r["pair"], []).append((r["side"], r["set_id"]))
+        guests += r["side"] == 1
+    for group in groups.values():
+        hosts = [i for side, i in group if side != 1]
+        assert len(hosts) <= 48
+        among = [(a, b) for a in hosts for side, b in group if side != 0]
+        met |= {(min(x), max(x)) for x in among}
+    for (_, a, size_a, need_a, root_a, _), (_, b, size_b, need_b, root_b, _) in itertools.combinations(rows, 2):
+        if root_a != root_b and jaccard_join.possible(size_a, size_b, need_a, need_b, percent):
+            assert (a, b) in met
+    everywhere = sum(r[4] != 0 for r in rows) * -(-len(rows) // 16)
+    assert guests < everywhere / 4
+
+
+def test_sketches_join_the_dealt_rows_last(spark):
+    members = spark.createDataFrame(
+        [(k, i, 100, 3, i, 0) for k in range(3) for i in range(20)],
+        "key bigint, set_id bigint, size int, need int, root bigint, hub bigint",
+    )
+    buckets = members.groupBy("key").agg(F.max("root").alias("_largest"), F.count("*").alias("_rows"))
+    rows = jaccard_join.dealt(jaccard_join.in_blocks(members, buckets, 85))
+    assert "sketch" not in rows.columns
+    bins = bytes([1] * 100 + [0] * (jaccard_join.BINS - 100))
+    sketches = spark.createDataFrame([(i, bytearray(bins)) for i in range(20)], "set_id bigint, sketch binary")
+    found = jaccard_join.block_pairs(members, sketches, 85, forest=False)
+    pairs = {(r["a"], r["b"]) for r in found.where("a is not null").collect()}
+    assert pairs == {(a, b) for a in range(1, 20) for b in range(a + 1, 20)}
+
+
 def test_connected_on_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 80)] + [(300, 300)]
     frame = spark.createDataFrame(links, "a bigint, b bigint")
