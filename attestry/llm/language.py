@@ -23,9 +23,11 @@ PROFILE = 300
 # Languages are a closed label set; profiles are PROFILE rows for each.
 MAX_LANGUAGES = 2_000
 UNKNOWN = "und"
-# Counts a task holds back, and characters of a text that are taken at a time.
-FLUSH = 4_000_000
+# Counts a task holds back before it sums them up, characters of a text that are taken at a
+# time, and rows that are judged at a time.
+FLUSH = 500_000
 PART = 1_000_000
+ROWS = 256
 BLANK = 1
 
 
@@ -91,27 +93,38 @@ def learn_profiles(
 
         grams, held, total = Grams(), {}, 0
 
+        def summed(parts):
+            codes = np.concatenate([c for c, _ in parts])
+            counts = np.concatenate([n for _, n in parts])
+            order = np.argsort(codes, kind="stable")
+            codes = codes[order]
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]][: len(codes)])
+            return codes[starts], np.add.reduceat(counts[order], starts) if len(codes) else counts
+
         def flush():
             for name, parts in held.items():
-                codes = np.concatenate([c for c, _ in parts])
-                counts = np.concatenate([n for _, n in parts])
-                unique, at = np.unique(codes, return_inverse=True)
-                sums = np.zeros(len(unique), dtype=np.int64)
-                np.add.at(sums, at, counts)
+                codes, sums = summed(parts)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name] * len(unique), pa.string()), pa.array(unique), pa.array(sums)],
+                    [pa.array([name] * len(codes), pa.string()), pa.array(codes), pa.array(sums)],
                     names=["lang", "code", "n"],
                 )
             held.clear()
 
         for batch in batches:
-            for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                codes, counts = grams.counts(value)
-                held.setdefault(name, []).append((codes, counts))
-                total += len(codes)
-                if total > FLUSH:
-                    yield from flush()
-                    total = 0
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                for name, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                    codes, counts = grams.counts(value)
+                    held.setdefault(name, []).append((codes, counts))
+                    total += len(codes)
+                    if total > FLUSH:
+                        # Few codes are new in a further text: sums stay small for long.
+                        for known, parts in held.items():
+                            held[known] = [summed(parts)]
+                        total = sum(len(parts[0][0]) for parts in held.values())
+                        if total > FLUSH // 2:
+                            yield from flush()
+                            total = 0
         yield from flush()
 
     counted = (
@@ -133,8 +146,9 @@ def predict(
     key: str = "doc_id",
     text: str = "text",
     size: int = PROFILE,
+    with_text: bool = False,
 ) -> DataFrame:
-    """``key``, lang_pred and score for every row of ``documents``.
+    """``key``, lang_pred and score for every row of ``documents``; its text too, if asked for.
 
     The score is one minus the distance as a share of the largest possible one.
     Profiles are fetched and sent to the tasks: at most MAX_LANGUAGES of ``size`` rows.
@@ -169,21 +183,25 @@ def predict(
             return name, 1.0 - best / (size * len(own))
 
         for batch in batches:
-            found = [judge(value) for value in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([f[0] for f in found], pa.string()),
-                    pa.array([f[1] for f in found], pa.float64()),
-                ],
-                names=[key, "lang_pred", "score"],
-            )
+            for start in range(0, batch.num_rows, ROWS):
+                part = batch.slice(start, ROWS)
+                found = [judge(value) for value in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0),
+                        pa.array([f[0] for f in found], pa.string()),
+                        pa.array([f[1] for f in found], pa.float64()),
+                        *([part.column(1)] if with_text else []),
+                    ],
+                    names=schema.names,
+                )
 
     schema = T.StructType(
         [
             T.StructField(key, documents.schema[key].dataType),
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
+            *([documents.schema[text]] if with_text else []),
         ]
     )
     return documents.select(key, text).mapInArrow(run, schema)
