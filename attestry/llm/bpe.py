@@ -39,6 +39,10 @@ MAX_PIECES = 300_000
 MAX_CHUNKS = 500_000
 # Bytes of a match that are taken in one step once they have been met.
 STRIDE = 6
+# What a byte string may be: a token, the beginning of a longer one, or both.
+TOKEN, BEGINS = 1, 2
+# Characters of texts that are split at a time.
+SPLIT = 4_000_000
 # Matches taken from a text at a time, and ids decoded at a time.
 CHUNK = 200_000
 
@@ -90,6 +94,9 @@ class Transducer:
         self.remember = remember
         self.packed = {token: rank.to_bytes(4, "little") for token, rank in ranks.items()}
         self.starts = {token[:i] for token in ranks for i in range(1, len(token))}
+        self.kinds = dict.fromkeys(self.starts, BEGINS)
+        for token in ranks:
+            self.kinds[token] = self.kinds.get(token, 0) | TOKEN
         self.made: dict[bytes, list[bytes]] = {}
         self.pairs: dict[tuple, bool] = {}
         self.start = State(None, b"", [(0, ())])
@@ -150,18 +157,32 @@ class Transducer:
 
     def finish(self, state: State, left: bytes) -> bytes:
         """All packed ids still to come when ``left`` ends the match; builds no states."""
-        rest, last, chains, starts = state.rest, state.last, state.chains, self.starts
-        for i in range(1, len(left)):
-            grown = rest + left[:i]
-            chains = [
-                *(c for c in chains if grown[c[0] :] in starts),
-                (len(grown), self.closing(chains, last, grown)),
-            ]
-        if left:
-            chain = self.closing(chains, last, rest + left)
-        else:
-            chain = chains[-1][1]
-        return b"".join([self.packed[t] for t in chain])
+        if not left:
+            return b"".join([self.packed[t] for t in state.chains[-1][1]])
+        kinds, pairs, chains = self.kinds, self.pairs, state.chains
+        rest, until = state.rest + left, len(state.rest) + len(left)
+        for end in range(len(state.rest) + 1, until + 1):
+            still, closed = [], None
+            for opened in chains:  # the longest last token first
+                token = rest[opened[0] : end]
+                kind = kinds.get(token)
+                if kind is None:
+                    continue
+                if closed is None and kind & TOKEN:
+                    chain = opened[1]
+                    before = chain[-1] if chain else state.last
+                    known = pairs.get((before, token))
+                    if known or known is None and self.fits(before, token):
+                        closed = (*chain, token)
+                        if end == until:
+                            break
+                if kind & BEGINS:
+                    still.append(opened)
+            if closed is None:
+                raise ValueError(f"byte {rest[end - 1]} cannot be encoded")
+            still.append((end, closed))
+            chains = still
+        return b"".join([self.packed[t] for t in closed])
 
     def step(self, state: State, byte: int) -> tuple[State, bytes]:
         """The transition of ``state`` by ``byte``, built once."""
@@ -259,19 +280,24 @@ class Chunks(dict):
         return packed
 
     def prepare(self, texts: list[str]) -> None:
-        """Encode the new chunks of these texts in order, so that neighbours share their states."""
+        """Encode the new chunks of these texts."""
+        self.learn([text.split(" ") for text in texts])
+
+    def learn(self, texts: list[list[str]]) -> None:
+        """Encode the new chunks of these split texts in order, so that neighbours share their states."""
+        met = set().union(*texts)
         if len(self) > MAX_CHUNKS * self.pieces.transducer.remember:
+            # What these texts hold is likely to be met again.
+            kept = {chunk: self[chunk] for chunk in met if chunk in self}
             self.clear()
-        new = set()
-        for text in texts:
-            new.update(text.split(" "))
-        for chunk in sorted(new.difference(self)):
+            self.update(kept)
+        for chunk in sorted(met.difference(self)):
             if chunk.isalpha() or chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
                 self[chunk]
 
-    def encode(self, text: str) -> bytes:
-        """Packed ids of a whole text."""
-        first, *rest = text.split(" ")
+    def encode(self, text: str, split: list[str] | None = None) -> bytes:
+        """Packed ids of a whole text; ``split`` is the text split at single spaces."""
+        first, *rest = text.split(" ") if split is None else split
         if first and not first[-1].isspace():
             try:
                 packed = b"".join(map(self.__getitem__, rest))
@@ -280,6 +306,19 @@ class Chunks(dict):
                 pass
         return self.match(text)
 
+    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Packed ids of each text; each is split once, some texts together."""
+        start = 0
+        while start < len(texts):
+            stop, size = start, 0
+            while stop < len(texts) and (stop == start or size + len(texts[stop]) <= SPLIT):
+                size += len(texts[stop])
+                stop += 1
+            split = [text.split(" ") for text in texts[start:stop]]
+            self.learn(split)
+            yield from map(self.encode, texts[start:stop], split)
+            start = stop
+
     def match(self, text: str) -> bytes:
         lookup = self.pieces.__getitem__
         if len(text) <= CHUNK:
@@ -382,9 +421,7 @@ def encode_decode(
                 part = batch.slice(start, 512)
                 columns = {name: [] for name in wanted}
                 texts_ = [value or "" for value in part.column(1).to_pylist()]
-                chunks.prepare(texts_)
-                for value in texts_:
-                    packed = chunks.encode(value)
+                for packed in chunks.encode_all(texts_):
                     ids = np.frombuffer(packed, dtype="<u4")
                     row = {"n_tokens": len(ids), "ids_sha256": hashlib.sha256(packed).hexdigest()}
                     if "ids" in columns:

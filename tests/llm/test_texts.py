@@ -276,3 +276,22 @@ def test_fingerprints_of_one_text_in_any_company():
     texts = ["ab" * n for n in (1, 50, 400, 3000)]
     alone = [edit_embedding.embed([t])[0] for t in texts]
     assert edit_embedding.embed(texts) == alone
+
+
+def test_texts_are_split_once_and_chunks_in_use_survive(monkeypatch, tokenizer):
+    monkeypatch.setattr(bpe, "MAX_CHUNKS", 3)
+    monkeypatch.setattr(bpe, "SPLIT", 40, raising=False)
+    with open(vocabulary()[0], "rb") as file:
+        chunks, _ = bpe.machinery(file.read(), vocabulary()[1])
+    encoded, encode = [], chunks.pieces.transducer.encode
+    chunks.pieces.transducer.encode = lambda piece: encoded.append(piece) or encode(piece)
+    chunks.prepare(["a qwzu trlk mnop"])
+    encoded.clear()
+    chunks.prepare(["a qwzu trlk vxyj"])
+    assert encoded == [b" vxyj"]
+    texts = ["", *_random_texts(60)]
+    found = [
+        [int.from_bytes(packed[i : i + 4], "little") for i in range(0, len(packed), 4)]
+        for packed in chunks.encode_all(texts)
+    ]
+    assert found == [tokenizer.encode_ordinary(text) for text in texts]
