@@ -537,20 +537,27 @@ def in_blocks(members: DataFrame, buckets: DataFrame, percent: int) -> DataFrame
     ``inner`` members are those of the largest component. Inner and other members are cut
     into blocks of about BLOCK rows each, in order of reach, those of one reach by a hash.
     """
-    crowded = members.join(buckets.where(F.col("_rows") > BLOCK), "key").withColumns(
-        {
-            "inner": F.col("root") == F.col("_largest"),
-            "reach": reach(F.col("size"), F.col("need"), percent),
-        }
+    sized = members.withColumn("reach", reach(F.col("size"), F.col("need"), percent))
+    counts = sized.groupBy("key", "root", "reach").agg(F.count(F.lit(1)).alias("_n"))
+    inner = F.col("root") == F.col("_largest")
+    # One row for each reach of a bucket, so that the members are joined only once.
+    cells = (
+        counts.join(buckets.where(F.col("_rows") > BLOCK).select("key", "_largest"), "key")
+        .groupBy("key", "_largest", "reach")
+        .agg(
+            F.sum(F.when(inner, F.col("_n")).otherwise(0)).alias("_inner"),
+            F.sum(F.when(inner, 0).otherwise(F.col("_n"))).alias("_outer"),
+        )
     )
-    cells = crowded.groupBy("key", "inner", "reach").agg(F.count(F.lit(1)).alias("_n"))
-    before = (
-        Window.partitionBy("key", "inner").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("key").orderBy("reach").rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumns(
+        {f"{kind}_start": F.coalesce(F.sum(kind).over(before), F.lit(0)) for kind in ("_inner", "_outer")}
     )
-    cells = cells.withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    place = F.col("_start") + F.pmod(F.xxhash64("set_id", F.lit(31)), F.col("_n"))
-    return crowded.join(cells, ["key", "inner", "reach"]).select(
-        *members.columns, "inner", "reach", F.floor(place / BLOCK).cast("int").alias("block")
+    start = F.when(inner, F.col("_inner_start")).otherwise(F.col("_outer_start"))
+    count = F.when(inner, F.col("_inner")).otherwise(F.col("_outer"))
+    place = start + F.pmod(F.xxhash64("set_id", F.lit(31)), count)
+    return sized.join(cells, ["key", "reach"]).select(
+        *members.columns, inner.alias("inner"), "reach", F.floor(place / BLOCK).cast("int").alias("block")
     )
 
 

@@ -347,3 +347,18 @@ def test_places_of_words_count():
     shingles = jaccard_join.Shingles(8)
     made = {tuple(shingles(" ".join(words)).tolist()) for words in itertools.product("ab", repeat=8)}
     assert len(made) == 2**8
+
+
+def test_members_meet_their_places_in_one_join(spark):
+    """Rows of crowded buckets are joined once; before, once for their counts and twice for themselves."""
+    members = spark.createDataFrame(
+        [(7, i, 100, 3, i, 0) for i in range(700)],
+        "key bigint, set_id bigint, size int, need int, root bigint, hub bigint",
+    )
+    buckets = spark.createDataFrame([(7, 0, 700)], "key bigint, _largest bigint, _rows bigint")
+    placed = jaccard_join.in_blocks(members, buckets, 85)
+    plan = placed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join Inner") == 2  # reaches with their bucket, members with their reach
+    rows = placed.collect()
+    assert len(rows) == 700 and {r["inner"] for r in rows if r["root"] == 0} == {True}
+    assert sum(r["inner"] for r in rows) == 1 and {r["block"] for r in rows} == {0, 1}
