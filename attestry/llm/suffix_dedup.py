@@ -150,8 +150,13 @@ def _marks(docs: DataFrame, length: int, hot: int, block_bytes: int):
     owners = stored(owners, "owners")
 
     blocks = max(1, -(-bytes_ // block_bytes))
-    unique = given.where(F.octet_length("text") >= length).select("digest", "text").dropDuplicates(["digest"])
-    texts = unique.join(owners.select("digest", "rank"), "digest").select(
+    # Only the row that owns a text is kept, so copies need not be sorted before they are sent; rows
+    # equal in id and text are made one in the order of the join.
+    named = F.when(F.col("doc_id").isNotNull(), F.concat(F.lit("="), F.col("doc_id").cast("string")))
+    row = F.concat("digest", F.coalesce(named, F.lit("")).cast("binary")).alias("_row")
+    held = given.where(F.octet_length("text") >= length).select(row, "text")
+    unique = held.join(owners.select(row, "rank"), "_row").dropDuplicates(["_row"])
+    texts = unique.select(
         "rank", F.pmod(F.xxhash64("rank"), F.lit(blocks)).cast("int").alias("block"), "text"
     )
     texts = stored(texts, "texts")

@@ -215,3 +215,21 @@ def test_collocations_of_nothing(spark):
     frame = spark.createDataFrame([(None, "en"), ("a b", "en")], "text string, lang string")
     assert collocations.mine(frame).collect() == []
     assert collocations.mine(frame.limit(0)).collect() == []
+
+
+def test_copies_of_a_text_are_not_sorted_before_they_are_sent(spark, monkeypatch):
+    """Texts are sorted once, where they meet their owner; other copies end there."""
+    plans, stored = {}, suffix_dedup.stored
+
+    def watched(frame, label):
+        plans[label] = frame._jdf.queryExecution().executedPlan().toString()
+        return stored(frame, label)
+
+    monkeypatch.setattr(suffix_dedup, "stored", watched)
+    text = " ".join(str(i) for i in range(60))
+    rows = [(i, text) for i in (3, 1, 1, 2, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r["doc_id"], r["n_removed"] == r["n_bytes"]) for r in suffix_dedup.remove_repeats(docs).collect()}
+    assert found == {(1, False), (1, True), (2, True), (3, True), (None, True)}
+    below = plans["texts"].split("Join", 1)[1]
+    assert "Aggregate" not in below
