@@ -18,13 +18,18 @@ def normalise_locations(attachments: DataFrame, container: str) -> DataFrame:
 
 
 def locate(attachments: DataFrame, objects: DataFrame, container: str) -> DataFrame:
-    """All attachments with the size of their object and why a row fails, if it does.
+    """All attachments with the size of their object and why a row fails, if it does."""
+    return with_objects(normalise_locations(attachments, container), objects)
+
+
+def with_objects(normalised: DataFrame, objects: DataFrame) -> DataFrame:
+    """``locate`` for attachments that have their ``blob_path`` already.
 
     Object names are unique, so the join keeps one row per attachment. Rows
     without a usable location or name stay out of it: they would all meet on
     one null key.
     """
-    located = normalise_locations(attachments, container).withColumn(
+    located = normalised.withColumn(
         "_wanted",
         F.when(F.coalesce(F.col("file_name"), F.lit("")) != "", F.col("blob_path")),
     )

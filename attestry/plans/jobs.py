@@ -16,6 +16,11 @@ from attestry.operators.calls import ClientFactory, ContentStore
 from attestry.operators.extract import ExtractOptions
 from attestry.operators.storage import stored
 
+# Columns of an attachment, its object name among them, that the manifest is made of.
+MANIFEST_SOURCE = (
+    "ras_id", "att_id", "file_name", "att_type", "supplier_id", "uploaded_on", "blob_path"
+)
+
 select_cases = sampling.select_cases
 summarise_extraction = extract.summarise_extraction
 
@@ -41,8 +46,10 @@ def build_manifest(
     Attachments meet objects once; direct rows, cases without a hit and reasons all
     come from that stored table, so the objects are read twice at most.
     """
-    wanted = sampling.attachments_of_cases(attachments, cases)
-    located = stored(resolve.locate(wanted, objects, container), "located")
+    # Only what the two tables hold travels to the cases and on to the objects.
+    needed = resolve.normalise_locations(attachments, container).select(*MANIFEST_SOURCE)
+    wanted = sampling.attachments_of_cases(needed, cases)
+    located = stored(resolve.with_objects(wanted, objects), "located")
     direct = resolve.direct_rows(located)
     fallback = resolve.resolve_fallback(cases, direct, objects)
     return direct.unionByName(fallback), resolve.unresolved_rows(located)
