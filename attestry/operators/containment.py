@@ -34,6 +34,13 @@ def containment_links(
     return found.unionByName(_links_by_index(*indexed, group, gram))
 
 
+def links_by_index(
+    left: DataFrame, right: DataFrame, group: str = "ras_id", gram: int = GRAM
+) -> DataFrame:
+    """``containment_links`` of groups that are known to be crowded."""
+    return _links_by_index(_names(left, group), _names(right, group), group, gram)
+
+
 def _links_by_pairs(ours: DataFrame, theirs: DataFrame, group: str) -> DataFrame:
     pairs = ours.withColumnsRenamed({"low": "_left", "name": "left"}).join(
         theirs.withColumnsRenamed({"low": "_right", "name": "right"}), group
